@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +16,7 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -47,14 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/townhall/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df):
-    """Materialise a small intermediate result so later passes do not recompute it.
+def settle(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the written table.
 
-    Reliable checkpoints live in the shared folder, so a lost executor costs
-    nothing but a re-read.
+    The steps after it do not compute it again, a lost executor costs a re-read
+    only, and its size is known to the optimizer.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
