@@ -15,7 +15,7 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_CSV = {"header": True, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_posts_json(spark: SparkSession, path: str, array: bool = True, schema: StructType = POST) -> DataFrame:
@@ -37,7 +37,7 @@ def read_posts_csv(
     A quoted field may span lines, which keeps a file in one task; pass
     ``multiline=False`` for data without line breaks so large files are split.
     """
-    raw = spark.read.schema(all_strings(schema)).options(**_CSV).option("multiLine", multiline).csv(path)
+    raw = spark.read.schema(all_strings(schema)).options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
     known = raw.select(
         *[F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c)).alias(c) for c in raw.columns]
     )
@@ -81,7 +81,7 @@ def spread(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "errorifexists") -> None:
     """Header, fixed column order, quotes doubled."""
     out = df.select(*columns) if columns else df
-    out.write.mode(mode).options(**_CSV).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_flat_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
