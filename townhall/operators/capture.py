@@ -195,11 +195,16 @@ def project_channel_posts(df: DataFrame, keep: list[str] | None = None, channel:
     return df.select(*(keep or []), *wanted)
 
 
-def split_rejects(df: DataFrame, required=("id", "title")) -> tuple[DataFrame, DataFrame]:
-    """(rows with every required column, rows missing one)."""
+def item_id(item: str = "item") -> Column:
+    """The id of an untyped record, as a key."""
+    return payloads.field(F.col(item), "id")
+
+
+def split_rejects(df: DataFrame, required=("id", "title"), item: str = "item") -> tuple[DataFrame, DataFrame]:
+    """(records with every required field, records missing one)."""
     complete = F.lit(True)
     for name in required:
-        complete = complete & F.col(name).isNotNull()
+        complete = complete & payloads.field(F.col(item), name).isNotNull()
     return df.where(complete), df.where(~complete)
 
 

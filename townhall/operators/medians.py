@@ -26,10 +26,11 @@ _SPREAD = 32
 
 
 def _lookup(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Values under a wanted prefix: broadcast when the table is known to be small,
-    else a join in which each prefix is split over ``_SPREAD`` tasks."""
+    """Values under a wanted prefix: broadcast when the table is known to be small, else
+    a join of distinct values in which each prefix is split over ``_SPREAD`` tasks."""
     if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return values.join(F.broadcast(wanted), keys)
+    values = values.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
     copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
     salted = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(_SPREAD)).cast("int"))
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
@@ -76,10 +77,11 @@ def exact_medians(
 
 def _select_middle(data: DataFrame, group: list[str]) -> DataFrame:
     """The two middle values of ``_v`` in each group."""
+    data = data.withColumn("_n", F.lit(1).cast("bigint"))
 
     def counted(rows: DataFrame, carried: list[str], unread: int) -> DataFrame:
         return rows.groupBy(*group, *carried, F.shiftright("_v", unread).alias("_p")).agg(
-            F.count(F.lit(1)).alias("_n"))
+            F.sum("_n").alias("_n"))
 
     # positions (0-based) of the two middle values among _total sorted ones
     low = F.floor((F.col("_total") - 1) / 2)

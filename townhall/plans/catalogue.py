@@ -442,9 +442,9 @@ def capture_counts(spark, sf):
 def _extracted(spark, sf):
     wanted = capture.url_contains(tb.captures(spark, sf), "mainLayout")
     rows = capture.resources(wanted, keep=["capture_ord"])
-    posts = capture.project_posts(rows, keep=["capture_ord", "pos"])
-    complete, _ = capture.split_rejects(posts)
-    return identity.keep_first(complete, ["id"], ["capture_ord", "pos"])
+    complete, _ = capture.split_rejects(rows)
+    first = identity.keep_first(complete, [capture.item_id()], ["capture_ord", "pos"])
+    return capture.project_posts(first, keep=["capture_ord", "pos"])
 
 
 @query
@@ -460,8 +460,8 @@ def capture_preview(spark, sf):
 
 def _channel_extracted(spark, sf):
     rows = capture.conversations(tb.captures(spark, sf), ["channel_name", "capture_ord"])
-    posts = capture.project_channel_posts(rows, keep=["channel_name", "capture_ord", "pos"])
-    return identity.keep_first(posts, ["id"], ["channel_name", "capture_ord", "pos"])
+    first = identity.keep_first(rows, [capture.item_id()], ["channel_name", "capture_ord", "pos"])
+    return capture.project_channel_posts(first, keep=["channel_name", "capture_ord", "pos"])
 
 
 @query
@@ -537,9 +537,10 @@ def dedupe_across_channels(spark, sf):
 
 @query
 def incremental_new(spark, sf):
-    """Events of users never seen with an error."""
-    events = tb.table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return identity.new_rows(events, events.where(F.col("event_type") == "error"), "user_id")
+    """Documents whose text the first source had not brought already."""
+    docs = tb.table(spark, sf, "documents").select(
+        "doc_id", "source", identity.text_digest(F.col("text")).alias("digest"))
+    return identity.new_rows(docs, docs.where(F.col("source") == "src0"), "digest").drop("digest")
 
 
 @query

@@ -372,8 +372,8 @@ SELECT source, count(*) AS n
 FROM (SELECT source FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY source, doc_id) = 1)
 GROUP BY source"""
 ORACLE["incremental_new"] = """
-SELECT event_id, user_id, event_type FROM events e
-WHERE NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type = 'error' AND s.user_id = e.user_id)"""
+SELECT doc_id, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM documents s WHERE s.source = 'src0' AND s.text = d.text)"""
 ORACLE["accumulate"] = """
 SELECT event_id, user_id, event_type FROM events
 QUALIFY row_number() OVER (
