@@ -24,7 +24,12 @@ def list_or_empty(payload: Column, key: str) -> Column:
 
 
 def is_object(payload: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(payload).startswith("OBJECT"), F.lit(False))
+    """True for objects only. Reading no fields is enough to tell."""
+    return F.try_variant_get(payload, "$", "struct<>").isNotNull()
+
+
+def json_text(payload: Column) -> Column:
+    return F.to_json(payload)
 
 
 def members(payload: Column) -> Column:

@@ -26,21 +26,32 @@ NESTED_KEYS = ("enrichedContentResources", "allContent", "conversations", "resul
 # Content types that may carry a payload.
 PAYLOAD_TYPES = ("json", "javascript", "text")
 
-# Payload path, post column, default. Title and body are handled apart.
+# A JSON value that counts as "nothing".
+_FALSY = r'^(null|false|""|\[\]|\{\}|-?0(\.0+)?)$'
+
+# The fields of a nested post that are read.
+_RESOURCE = """struct<
+    id: bigint, title: string, bodyHTML: string, body: string, authorName: string, conversationType: string,
+    channel: struct<name: string>, createdDate: string, latestResponseDate: string,
+    latestResponseAuthorName: string, viewCount: bigint, responseCount: bigint, replyCount: bigint,
+    reactionSummary: struct<reactionCount: bigint>, hasModeratorOrEndorsedResponse: boolean,
+    isAnonymous: boolean, isArchived: boolean>"""
+
+# Post column, field it is read from, default.
 _PATHS = {
-    "author": ("authorName", "string", ""),
-    "type": ("conversationType", "string", ""),
-    "channel": ("channel.name", "string", ""),
-    "created_date": ("createdDate", "string", ""),
-    "last_response": ("latestResponseDate", "string", ""),
-    "last_responder": ("latestResponseAuthorName", "string", ""),
-    "view_count": ("viewCount", "bigint", 0),
-    "response_count": ("responseCount", "bigint", 0),
-    "reply_count": ("replyCount", "bigint", 0),
-    "reaction_count": ("reactionSummary.reactionCount", "bigint", 0),
-    "has_answer": ("hasModeratorOrEndorsedResponse", "boolean", False),
-    "is_anonymous": ("isAnonymous", "boolean", False),
-    "is_archived": ("isArchived", "boolean", False),
+    "author": ("authorName", ""),
+    "type": ("conversationType", ""),
+    "channel": ("channel.name", ""),
+    "created_date": ("createdDate", ""),
+    "last_response": ("latestResponseDate", ""),
+    "last_responder": ("latestResponseAuthorName", ""),
+    "view_count": ("viewCount", 0),
+    "response_count": ("responseCount", 0),
+    "reply_count": ("replyCount", 0),
+    "reaction_count": ("reactionSummary.reactionCount", 0),
+    "has_answer": ("hasModeratorOrEndorsedResponse", False),
+    "is_anonymous": ("isAnonymous", False),
+    "is_archived": ("isArchived", False),
 }
 
 
@@ -119,21 +130,9 @@ def only_if_objects(items: Column) -> Column:
 
 
 def has_usable_id(item: Column) -> Column:
-    """Objects whose id is present and neither null, false, 0 nor ''. The text "0" counts."""
-    ident = F.try_variant_get(item, "$.id", "variant")
-    as_text = F.try_variant_get(item, "$.id", "string")
-    kind = F.schema_of_variant(ident)
-    number = F.try_variant_get(item, "$.id", "double")
-    falsy = F.coalesce(
-        (as_text == "")
-        | ((kind == "BOOLEAN") & (as_text == "false"))
-        | (~kind.isin("STRING", "BOOLEAN") & F.coalesce(number == 0, F.lit(False)))
-        | kind.startswith("ARRAY<VOID>")
-        | (kind == "OBJECT<>"),
-        F.lit(False),
-    )
-    present = ident.isNotNull() & ~F.coalesce(F.is_variant_null(ident), F.lit(False))
-    return payloads.is_object(item) & present & ~falsy
+    """Objects whose id is present and neither null, false, 0 nor empty. The text "0" counts."""
+    ident = payloads.json_text(F.try_variant_get(item, "$.id", "variant"))
+    return F.coalesce(~ident.rlike(_FALSY), F.lit(False))
 
 
 def explode_items(df: DataFrame, items: Column, keep: list[str] | None = None) -> DataFrame:
@@ -164,35 +163,44 @@ def resources(df: DataFrame, key: str = "enrichedContentResources", keep: list[s
 # -- fixed projection --------------------------------------------------------
 
 
-def _column(item: Column, name: str) -> Column:
-    path, kind, default = _PATHS[name]
-    return F.coalesce(payloads.field(item, path, kind), F.lit(default).cast(kind)).alias(name)
+def _resource(df: DataFrame, keep) -> DataFrame:
+    """The known fields of every item, read in one go; a field of another type is null."""
+    return df.select(*keep, F.try_variant_get("item", "$", _RESOURCE).alias("_r"))
+
+
+def _columns(names, special: dict[str, Column]) -> list[Column]:
+    out = []
+    for name in names:
+        if name in special:
+            out.append(special[name].alias(name))
+        else:
+            path, default = _PATHS[name]
+            out.append(F.coalesce(F.col(f"_r.{path}"), F.lit(default)).alias(name))
+    return out
 
 
 def project_posts(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Nested resources -> the 16-column table; tags are dropped from the body."""
-    item = F.col("item")
-    fixed = {
-        "id": payloads.field(item, "id", "bigint").alias("id"),
-        "title": payloads.field(item, "title").alias("title"),
-        "body": tx.strip_tags(F.coalesce(payloads.field(item, "bodyHTML"), F.lit(""))).alias("body"),
+    keep = keep or []
+    special = {
+        "id": F.col("_r.id"),
+        "title": F.col("_r.title"),
+        "body": tx.strip_tags(F.coalesce("_r.bodyHTML", F.lit(""))),
     }
-    wanted = [fixed[n] if n in fixed else _column(item, n) for n in POST.fieldNames()]
-    return df.select(*(keep or []), *wanted)
+    return _resource(df, keep).select(*keep, *_columns(POST.fieldNames(), special))
 
 
 def project_channel_posts(df: DataFrame, keep: list[str] | None = None, channel: str = "channel_name") -> DataFrame:
     """Conversations -> the 15-column table; the channel comes from provenance, texts are cleaned."""
-    item = F.col("item")
-    body = tx.or_else(payloads.field(item, "bodyHTML"), payloads.field(item, "body"))
-    fixed = {
-        "id": payloads.field(item, "id", "bigint").alias("id"),
-        "channel": F.coalesce(F.col(channel), F.lit("")).alias("channel"),
-        "title": tx.clean(payloads.field(item, "title")).alias("title"),
-        "body": tx.clean(body).alias("body"),
+    keep = keep or []
+    special = {
+        "id": F.col("_r.id"),
+        "channel": F.coalesce(F.col("_channel"), F.lit("")),
+        "title": tx.clean(F.col("_r.title")),
+        "body": tx.clean(tx.or_else(F.col("_r.bodyHTML"), F.col("_r.body"))),
     }
-    wanted = [fixed[n] if n in fixed else _column(item, n) for n in CHANNEL_POST_COLUMNS]
-    return df.select(*(keep or []), *wanted)
+    rows = _resource(df, [*keep, F.col(channel).alias("_channel")])
+    return rows.select(*keep, *_columns(CHANNEL_POST_COLUMNS, special))
 
 
 def item_id(item: str = "item") -> Column:

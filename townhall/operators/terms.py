@@ -63,35 +63,34 @@ def _is_stopword(word: Column, stopwords) -> Column:
 
 
 def form_counts(df: DataFrame, text: str, stopwords=(), singles: bool = True, pairs: bool = True) -> DataFrame:
-    """Words (and neighbouring pairs) without stop words -> is_pair, key, form, n.
+    """Words (and neighbouring pairs, with a space) without stop words -> form, n.
 
-    One pass over the texts serves both. ``key`` is the lower-case form; counts
-    are pre-added in every map task, so a frequent word is one row per task.
+    One pass over the texts serves both. Counts are pre-added in every map task,
+    so a frequent word is one row per task.
     """
     w, v = F.col("p.w"), F.col("p.v")
-    kinds = []
+    forms = []
     if singles:
-        kinds.append(F.when(~_is_stopword(w, stopwords), F.struct(F.lit(False).alias("is_pair"), w.alias("form"))))
+        forms.append(F.when(~_is_stopword(w, stopwords), w))
     if pairs:
         usable = v.isNotNull() & ~_is_stopword(w, stopwords) & ~_is_stopword(v, stopwords)
-        kinds.append(F.when(usable, F.struct(F.lit(True).alias("is_pair"), F.concat_ws(" ", w, v).alias("form"))))
+        forms.append(F.when(usable, F.concat_ws(" ", w, v)))
     shifted = F.slice("w", F.lit(2), F.size("w")).alias("v")
     found = (
         df.select(words(F.col(text)).alias("w"))
         .select(F.explode(F.arrays_zip("w", shifted)).alias("p"))
-        .select(F.explode(F.array(*kinds)).alias("t"))
-        .where(F.col("t").isNotNull())
-        .select("t.is_pair", "t.form")
+        .select(F.explode(F.array(*forms)).alias("form"))
+        .where(F.col("form").isNotNull())
     )
-    return found.groupBy("is_pair", F.lower("form").alias("key"), "form").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("form").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unigrams(df: DataFrame, text: str, stopwords=()) -> DataFrame:
-    return form_counts(df, text, stopwords, pairs=False).drop("is_pair")
+    return form_counts(df, text, stopwords, pairs=False)
 
 
 def bigrams(df: DataFrame, text: str, stopwords=()) -> DataFrame:
-    return form_counts(df, text, stopwords, singles=False).drop("is_pair")
+    return form_counts(df, text, stopwords, singles=False)
 
 
 def fold(counts: DataFrame, merge_plurals: bool = True) -> DataFrame:
@@ -101,6 +100,7 @@ def fold(counts: DataFrame, merge_plurals: bool = True) -> DataFrame:
     lists the lower-case forms a term stands for (one or two). A word and its
     plural meet in one small group, so no self-join is needed.
     """
+    counts = counts.select(F.lower("form").alias("key"), "form", "n")
     key = F.col("key")
     if merge_plurals:
         plural = key.endswith("s") & ~key.endswith("ss") & (F.length(key) > 1)
@@ -189,18 +189,12 @@ def _with_word(pairs: DataFrame, lookup: DataFrame, total: Column, key: str, nam
 
 def _vocabulary(df: DataFrame, text: str, stopwords) -> tuple[DataFrame, DataFrame]:
     """(words, pairs), folded and written down: the texts are read once."""
-    counts = settle(form_counts(df, text, stopwords), "forms")
-    singles = settle(fold(counts.where(~F.col("is_pair"))), "words")
-    pairs = settle(
-        fold(counts.where("is_pair")).select(
-            F.col("term").alias("bigram"),
-            F.col("n").alias("n_bigram"),
-            F.split_part("term_key", F.lit(" "), F.lit(1)).alias("key_1"),
-            F.split_part("term_key", F.lit(" "), F.lit(2)).alias("key_2"),
-        ),
-        "pairs",
-    )
-    return singles, pairs
+    terms = settle(fold(form_counts(df, text, stopwords)), "terms")
+    first, second = (F.split_part("term_key", F.lit(" "), F.lit(i)) for i in (1, 2))
+    is_pair = F.col("term_key").contains(" ")
+    pairs = terms.where(is_pair).select(
+        F.col("term").alias("bigram"), F.col("n").alias("n_bigram"), first.alias("key_1"), second.alias("key_2"))
+    return terms.where(~is_pair), pairs
 
 
 def _score(singles: DataFrame, pairs: DataFrame) -> DataFrame:

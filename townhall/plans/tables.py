@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from townhall.functions import payloads
 from townhall.operators.typed import with_derived, with_response_time
+from townhall.sources.files import spread
 from townhall.sources.links import page_links
 
 # order status and the post type it plays
@@ -110,7 +111,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 1, "application/javascript")
         .otherwise("application/json; charset=utf-8")
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         key.alias("capture_ord"),
         F.col("o_orderpriority").alias("channel_name"),
         url.alias("url"),
@@ -154,7 +155,7 @@ def channel_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_links(table(spark, sf_dir, "pages"), ["page_id"])
+    return page_links(spread(table(spark, sf_dir, "pages")), ["page_id"])
 
 
 def channel_links(spark: SparkSession, sf_dir: str) -> DataFrame:
