@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from townhall.functions import payloads, text as tx
+from townhall.operators.identity import keep_first
 from townhall.schema import CHANNEL_POST_COLUMNS, POST
 
 # Key preference when the whole payload may be any list.
@@ -141,10 +142,15 @@ def explode_items(df: DataFrame, items: Column, keep: list[str] | None = None) -
     return df.select(*carried, F.posexplode(items).alias("pos", "item"))
 
 
-def records(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Generic extraction: any list of objects, each element tagged with its source."""
+def records(df: DataFrame, keep: list[str] | None = None, unique_by: list[str] | None = None) -> DataFrame:
+    """Generic extraction: any list of objects, each element tagged with its source.
+
+    Records are not deduplicated unless ``unique_by`` names the kept columns that
+    order the copies of an id.
+    """
     kept = keep if keep is not None else [c for c in df.columns if c != "data"]
-    return explode_items(df, only_if_objects(first_list(F.col("data"))), kept)
+    rows = explode_items(df, only_if_objects(first_list(F.col("data"))), kept)
+    return keep_first(rows, [item_id()], [*unique_by, "pos"]) if unique_by else rows
 
 
 def conversations(df: DataFrame, keep: list[str] | None = None) -> DataFrame:

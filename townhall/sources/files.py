@@ -44,20 +44,22 @@ def read_posts_csv(
     return known.withColumn("id", F.col("id").try_cast("bigint"))
 
 
-def read_captures(spark: SparkSession, path: str, array: bool = True) -> DataFrame:
-    """Captures (url, data) with data as VARIANT and an arrival order.
+def read_captures(spark: SparkSession, path: str, array: bool = True, ordered: bool = True) -> DataFrame:
+    """Captures (url, data) with data as VARIANT and, if ``ordered``, their arrival order.
 
-    The order is file path, then position in the file: files are written as
-    the capture goes on, and names sort by time.
+    The order is file path, then position in the file: files are written as the
+    capture goes on, and names sort by time. A file holding one JSON array is
+    read by one task; write one record per line (``array=False``) for large files.
     """
     raw = spark.read.schema(CAPTURE).option("multiLine", array).json(path)
-    return raw.select(
-        F.struct(
-            F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")
-        ).alias("capture_ord"),
-        "url",
-        "data",
+    if not ordered:
+        return raw
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    return raw.select(order.alias("capture_ord"), "url", "data")
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -68,8 +70,8 @@ def kept(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out over all cores when a scan has fewer splits than there are cores.
 
-    For work that is heavy per row (whole texts). A large table has more splits
-    than cores and is returned as it is.
+    For plain scans whose rows are heavy to work on (whole texts). A large table
+    has more splits than cores and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
