@@ -45,7 +45,7 @@ def test_dedupe(spark, events):
 
 def test_first_copies_and_new_posts(spark, events):
     want = {(r.id, r.row, r.kind) for r in keep_first(spark.read.parquet(events), ["id"], ["row"]).collect()}
-    out = jobs.run_complete(jobs.first_copies(stream(spark, events), "id", "row", ["kind"]), "t-first")
+    out = jobs.run_update(jobs.first_copies(stream(spark, events), "id", "row", ["kind"]), "id", "t-first")
     assert {(r.id, r.row, r.kind) for r in out.collect()} == want
     loaded = jobs.run_new_posts(stream(spark, events), "id", ["row"], "t-new")
     ids = [r.id for r in loaded.collect()]

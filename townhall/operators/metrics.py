@@ -12,6 +12,7 @@ from townhall.functions import dates, numbers, text as tx
 from townhall.functions.labels import QUESTION
 from townhall.operators.filters import having, questions
 from townhall.operators.medians import attach, exact_medians
+from townhall.session import settle
 
 
 def _rows() -> Column:
@@ -29,8 +30,20 @@ def _positive_micros() -> Column:
 # -- headline figures --------------------------------------------------------
 
 
-def overview(posts: DataFrame) -> DataFrame:
+def _once(posts: DataFrame, stored: bool, *columns: str) -> DataFrame:
+    """What a figure needs of the posts, to be read more than once.
+
+    Unless the posts are a table or kept in memory, the columns are written
+    down, so the steps that led to them run once.
+    """
+    needed = posts.select(*columns)
+    return needed if stored else settle(needed, "figures")
+
+
+def overview(posts: DataFrame, stored: bool = False) -> DataFrame:
     """Counts, views, answers, authors and mean response time of all posts."""
+    posts = _once(
+        posts, stored, "view_count", "response_count", "has_answer", "author", "latest_response_micros")
     base = posts.agg(
         _rows().alias("posts"),
         F.coalesce(F.sum("view_count"), F.lit(0)).alias("total_views"),
@@ -42,7 +55,7 @@ def overview(posts: DataFrame) -> DataFrame:
             F.sum("latest_response_micros") / F.count("latest_response_micros")
         ).alias("mean_response_hours"),
     )
-    medians = exact_medians(posts, {"median_views": F.col("view_count")})
+    medians = exact_medians(posts, {"median_views": F.col("view_count")}, stored=True)
     return attach(base, medians, ["median_views"])
 
 
@@ -59,8 +72,10 @@ def overview_text(figures: DataFrame) -> DataFrame:
     )
 
 
-def support_figures(posts: DataFrame) -> DataFrame:
+def support_figures(posts: DataFrame, stored: bool = False) -> DataFrame:
     """Posts, views, questions, response rate, median positive response time, channels."""
+    posts = _once(
+        posts, stored, "view_count", "type_label", "has_responses", "channel", "latest_response_micros")
     is_question = _is_question()
     base = posts.agg(
         _rows().alias("posts"),
@@ -71,7 +86,7 @@ def support_figures(posts: DataFrame) -> DataFrame:
     )
     base = base.withColumn("response_rate", numbers.percent_floor(F.col("responded"), F.col("questions")))
     base = base.withColumn("unanswered_rate", numbers.complement(F.col("response_rate")))
-    medians = exact_medians(posts, {"_median": _positive_micros()})
+    medians = exact_medians(posts, {"_median": _positive_micros()}, stored=True)
     return (
         attach(base, medians, ["_median"])
         .withColumn("median_response_hours",
@@ -80,11 +95,12 @@ def support_figures(posts: DataFrame) -> DataFrame:
     )
 
 
-def response_lines(posts: DataFrame, positive_only: bool = False) -> DataFrame:
+def response_lines(posts: DataFrame, positive_only: bool = False, stored: bool = False) -> DataFrame:
     """Mean and median response time, the reference lines of the distribution."""
+    posts = _once(posts, stored, "latest_response_micros")
     micros = _positive_micros() if positive_only else F.col("latest_response_micros")
     base = posts.agg(dates.micros_to_hours(F.sum(micros) / F.count(micros)).alias("mean_hours"))
-    medians = exact_medians(posts, {"_median": micros})
+    medians = exact_medians(posts, {"_median": micros}, stored=True)
     return attach(base, medians, ["_median"]).select(
         "mean_hours", dates.micros_to_hours(F.col("_median")).alias("median_hours"))
 
@@ -166,10 +182,10 @@ def answered_by_channel(posts: DataFrame) -> DataFrame:
     return rows.withColumn("answered", F.col("questions") - F.col("unanswered"))
 
 
-def median_response_by(posts: DataFrame, by: str = "channel") -> DataFrame:
+def median_response_by(posts: DataFrame, by: str = "channel", stored: bool = False) -> DataFrame:
     """Median of the positive response times per group, one decimal, half-even."""
     slow = having(posts.where(F.col("latest_response_micros") > 0), by)
-    medians = exact_medians(slow, {"_median": F.col("latest_response_micros")}, [by])
+    medians = exact_medians(slow, {"_median": F.col("latest_response_micros")}, [by], stored=stored)
     hours = numbers.round_even(dates.micros_to_hours(F.col("_median")), 1)
     return medians.select(by, hours.alias("median_hours"))
 

@@ -678,7 +678,7 @@ def stream_dedupe(spark, sf):
 @query
 def stream_first_copies(spark, sf):
     rows = jobs.first_copies(_events(spark, sf), "user_id", "event_id", ["event_type", "value"])
-    return jobs.run_complete(rows, "first")
+    return jobs.run_update(rows, "user_id", "first")
 
 
 @query

@@ -10,15 +10,18 @@ from townhall.plans.report import post_text
 
 
 def dashboard(posts: DataFrame, chosen: PostFilter | None = None) -> dict[str, DataFrame]:
-    """Frames of the multi-channel report for one choice of filters."""
+    """Frames of the multi-channel report for one choice of filters.
+
+    Keep ``posts`` in memory or as a table.
+    """
     shown = (chosen or PostFilter()).apply(posts)
     asked = questions(shown).select(post_text().alias("text"))
     return {
-        "support_figures": metrics.support_figures(shown),
+        "support_figures": metrics.support_figures(shown, stored=True),
         "hardest_question": ranking.hardest_question(shown),
         "answered_by_channel": metrics.answered_by_channel(shown).orderBy("questions", "channel"),
         "top_unanswered": ranking.ascending(ranking.top_unanswered(shown), "view_count"),
-        "median_response": metrics.median_response_by(shown).orderBy("median_hours", "channel"),
+        "median_response": metrics.median_response_by(shown, stored=True).orderBy("median_hours", "channel"),
         "top_questions": ranking.ascending(ranking.top_questions(shown), "view_count"),
         "type_share": metrics.type_share(shown),
         "top_shares": ranking.top_shares(shown),

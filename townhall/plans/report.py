@@ -35,11 +35,11 @@ def report(posts: DataFrame, stopwords=terms.ENGLISH_STOPWORDS) -> dict[str, Dat
     """Sections of the single-community report. Keep ``posts`` in memory or as a table."""
     texts = posts.select(post_text().alias("text"))
     return {
-        "overview": metrics.overview(posts),
+        "overview": metrics.overview(posts, stored=True),
         "top_posts": ranking.top_posts(posts),
         "views_vs_responses": distributions.views_vs_responses(posts),
         "response_times": distributions.histogram(having(posts, "latest_response_hours"), "latest_response_hours"),
-        "response_lines": metrics.response_lines(posts),
+        "response_lines": metrics.response_lines(posts, stored=True),
         "monthly_posts": metrics.monthly_posts(posts).orderBy("month"),
         "terms": terms.most_frequent(
             terms.cloud_counts(texts, "text", stopwords), terms.OVERVIEW_TERMS),

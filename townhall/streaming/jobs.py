@@ -57,7 +57,7 @@ def dedupe(stream: DataFrame, key: str, event_time: str, spread_by: Column, dela
 
 def first_copies(stream: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """The first copy of every key in ``order``, corrected when an earlier one arrives
-    late (update or complete mode). Copies are reduced in every task before the shuffle."""
+    late (update mode). Copies are reduced in every task before the shuffle."""
     return stream.groupBy(key).agg(
         F.min(order).alias(order),
         *[F.min_by(c, order).alias(c) for c in columns],
@@ -111,6 +111,26 @@ def run_append(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_update(stream: DataFrame, key: str, label: str) -> DataFrame:
+    """Process all that is there in update mode: a batch writes the keys it changed.
+
+    The result is the latest version of every key, so no batch rewrites the rest.
+    """
+    spark = stream.sparkSession
+    out = scratch_path(spark, label)
+    done: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        done.append(batch_id)
+
+    _start(stream.writeStream.outputMode("update").foreachBatch(write), spark, label).awaitTermination()
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    versions = spark.read.option("basePath", out).parquet(*[f"{out}/batch={i}" for i in range(done[-1] + 1)])
+    return keep_first(versions, [key], [F.desc("batch")]).select(*stream.columns)
+
+
 def _run_batches(stream: DataFrame, mode: str, label: str, merge) -> DataFrame:
     """Run ``merge(batch, so_far)`` for every batch and read what the last one wrote.
 
