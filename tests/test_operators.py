@@ -255,3 +255,10 @@ def test_whole_reports_also_on_nothing(posts):
         rows = df.collect()
         assert all(r is not None for r in rows), name
     assert dashboard(texts, chosen)["support_figures"].first().response_rate == 0
+
+
+def test_mean_of_sums_beyond_64_bits(spark):
+    huge = 2**62
+    df = spark.range(8).select(F.lit(huge).alias("latest_response_micros"))
+    row = metrics.response_lines(df).first()
+    assert row.mean_hours == row.median_hours == huge / 3.6e9

@@ -27,6 +27,12 @@ def _positive_micros() -> Column:
     return F.when(F.col("latest_response_micros") > 0, F.col("latest_response_micros"))
 
 
+def _mean_hours(micros: Column) -> Column:
+    """Mean in hours. The sum is a wide decimal: microseconds of a large table pass 64 bits."""
+    total = F.sum(micros.cast("decimal(20,0)")).cast("double")
+    return dates.micros_to_hours(total / F.count(micros))
+
+
 # -- headline figures --------------------------------------------------------
 
 
@@ -51,9 +57,7 @@ def overview(posts: DataFrame, stored: bool = False) -> DataFrame:
         F.coalesce(F.sum("response_count"), F.lit(0)).alias("total_responses"),
         F.count_if("has_answer").alias("answered"),
         F.count_distinct("author").alias("authors"),
-        dates.micros_to_hours(
-            F.sum("latest_response_micros") / F.count("latest_response_micros")
-        ).alias("mean_response_hours"),
+        _mean_hours(F.col("latest_response_micros")).alias("mean_response_hours"),
     )
     medians = exact_medians(posts, {"median_views": F.col("view_count")}, stored=True)
     return attach(base, medians, ["median_views"])
@@ -99,7 +103,7 @@ def response_lines(posts: DataFrame, positive_only: bool = False, stored: bool =
     """Mean and median response time, the reference lines of the distribution."""
     posts = _once(posts, stored, "latest_response_micros")
     micros = _positive_micros() if positive_only else F.col("latest_response_micros")
-    base = posts.agg(dates.micros_to_hours(F.sum(micros) / F.count(micros)).alias("mean_hours"))
+    base = posts.agg(_mean_hours(micros).alias("mean_hours"))
     medians = exact_medians(posts, {"_median": micros}, stored=True)
     return attach(base, medians, ["_median"]).select(
         "mean_hours", dates.micros_to_hours(F.col("_median")).alias("median_hours"))

@@ -10,7 +10,7 @@ from townhall.functions import dates, labels, numbers, payloads, text as tx
 from townhall.functions.labels import QUESTION
 from townhall.operators import capture, distributions, filters, identity, metrics, ranking, terms
 from townhall.operators.filters import PostFilter, having
-from townhall.operators.typed import single_community_posts
+from townhall.operators.typed import multi_channel_posts, single_community_posts
 from townhall.plans import report
 from townhall.plans import tables as tb
 from townhall.schema import CHANNEL_POST_COLUMNS
@@ -618,6 +618,26 @@ def json_round_trip(spark, sf):
     return back.select("id", "title", "channel", "view_count", "reaction_count", "month", "has_answer")
 
 
+@query
+def channel_csv(spark, sf):
+    """The 15-column table written as CSV, read back and typed for the multi-channel report."""
+    path = scratch_path(spark, "channel-csv")
+    files.write_csv(_channel_extracted(spark, sf), path, CHANNEL_POST_COLUMNS)
+    back = multi_channel_posts(files.read_posts_csv(spark, path, multiline=False))
+    return back.select(
+        "id", "channel", "title", "author", "type_label", "month", "view_count", "response_count",
+        "has_responses", "last_responder", "short_title", "is_anonymous")
+
+
+@query
+def capture_files(spark, sf):
+    """Captures written as files, read back and listed by address."""
+    path = scratch_path(spark, "captures")
+    files.write_json(tb.captures(spark, sf).select("url", "data"), path)
+    back = files.read_captures(spark, path, array=False)
+    return capture.stage_counts(capture.conversations(back, ["url"]), "url")
+
+
 @query
 def flat_csv_round_trip(spark, sf):
     path = scratch_path(spark, "flat")

@@ -475,6 +475,16 @@ SELECT channel_name, capture_ord, CAST(pos AS INT) AS pos, id,
        CASE WHEN capture_ord % 4 <> 0 THEN channel_name END AS channel
 FROM items WHERE shape <> 4 AND id <> 0"""
 
+ORACLE["channel_csv"] = _CHANNEL_EXTRACTED + """
+SELECT id, channel, title, author,
+       CASE type WHEN 'helpQuestion' THEN 'Help / Question' WHEN 'sharePost' THEN 'Share / Resource'
+            ELSE 'Live Session' END AS type_label,
+       created_date[:7] AS month, view_count, response_count, response_count > 0 AS has_responses,
+       '' AS last_responder, title AS short_title, false AS is_anonymous
+FROM extracted"""
+ORACLE["capture_files"] = _CAPTURES + """
+SELECT url, count(*) AS n FROM items WHERE shape <> 4 AND id <> 0 GROUP BY url"""
+
 # -- streams (each against the batch answer) ---------------------------------
 
 ORACLE["stream_ingest"] = _CAPTURES + """
