@@ -21,6 +21,17 @@ _NUMERIC = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
 _NAMED = "^[^\\t\\n\\f <&#;]{1,32};?"
 
 
+# The handful that make up nearly all references in practice, looked at first.
+_COMMON = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\u00a0"}
+
+
+def _is_common(piece: Column) -> Column:
+    found = F.lit(False)
+    for name in _COMMON:
+        found = found | piece.startswith(name)
+    return found
+
+
 def _c1_characters() -> list[str]:
     out = []
     for code in _C1_RANGE:
@@ -95,13 +106,11 @@ def _decode_piece(piece: Column) -> Column:
     def after(matched: Column) -> Column:
         return F.substr(text, F.length(matched) + 1)
 
+    common = F.when(F.lit(False), F.lit(""))
+    for name, char in _COMMON.items():
+        common = common.when(text.startswith(name), F.concat(F.lit(char), F.substr(text, F.lit(len(name) + 1))))
     return (
-        # the handful that make up nearly all references in practice
-        F.when(text.startswith("amp;"), F.concat(F.lit("&"), F.substr(text, F.lit(5))))
-        .when(text.startswith("lt;"), F.concat(F.lit("<"), F.substr(text, F.lit(4))))
-        .when(text.startswith("gt;"), F.concat(F.lit(">"), F.substr(text, F.lit(4))))
-        .when(text.startswith("quot;"), F.concat(F.lit('"'), F.substr(text, F.lit(6))))
-        .when(text.startswith("nbsp;"), F.concat(F.lit("\u00a0"), F.substr(text, F.lit(6))))
+        common
         .when(numeric != "", F.concat(_character(piece["code"]), after(numeric)))
         .when(full.isNotNull(), F.concat(full, after(named)))
         .when(prefix != "", F.concat(F.try_element_at(legacy_map, prefix), after(prefix)))
@@ -119,7 +128,7 @@ def decode_entities(c: Column) -> Column:
             s.alias("text"),
             F.when(s.startswith("#"), F.regexp_extract(s, _NUMERIC, 0)).otherwise("").alias("numeric"),
             F.when(s.startswith("#"), _code_point(s)).alias("code"),
-            F.when(s.startswith("#"), "").otherwise(F.regexp_extract(s, _NAMED, 0)).alias("named"),
+            F.when(s.startswith("#") | _is_common(s), "").otherwise(F.regexp_extract(s, _NAMED, 0)).alias("named"),
         ),
     )
     decoded = F.concat(F.get(pieces, 0), F.array_join(F.transform(parsed, _decode_piece), ""))
