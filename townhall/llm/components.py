@@ -76,6 +76,5 @@ def connected(links: DataFrame) -> DataFrame:
             break
         mark = now
     roots = edges.select(F.col("b").alias("node")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
-    )
+    found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return settle(found.unionByName(roots.select("node", F.col("node").alias("component"))), "components")

@@ -135,10 +135,15 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame
     return id_and_text(docs, id_col, text_col, *more).withColumn("node", F.unhex(F.md5(spaced)))
 
 
-def _confirmed(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of nodes, those whose full sets are similar enough."""
+def _confirmed(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of nodes, those whose full sets are similar enough.
+
+    One row stands for all copies of a node, so a text with many copies is read once.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = keyed.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "text")
+    one = nodes.join(wanted, "node").select(F.col("node").alias("one_node"), "one_id")
+    same = (F.col("node") == F.col("one_node")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
+    texts = keyed.join(one, same, "left_semi").dropDuplicates(["doc_id", "node"]).select("node", "text")
     sets = settle(texts.mapInArrow(_sets, "node binary, shingles array<long>"), "shingle-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
@@ -158,12 +163,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "signatures",
     )
     # copies of one word sequence are one node from here on
-    nodes = signed.where("n_shingles > 0").groupBy("node").agg(F.first("bands").alias("bands"))
+    nodes = signed.where("n_shingles > 0").groupBy("node").agg(
+        F.first("bands").alias("bands"), F.min("doc_id").alias("one_id")
+    )
+    nodes = settle(nodes, "nodes")
     entries = nodes.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    members = settle(entries.join(shared.select("band", "pivot"), "band"), "buckets")
+    # small sides are written first: a join of plain tables can split a bucket with many members
+    shared = settle(shared.select("band", "pivot"), "shared-bands")
+    members = settle(entries.join(shared, "band"), "buckets")
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = settle(_confirmed(stars, keyed), "links")
+    links = settle(_confirmed(stars, keyed, nodes), "links")
     groups = connected(links)
 
     # buckets that still hold several groups: members outside the largest group meet the other groups
@@ -174,10 +184,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         held.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high"))
         .where("low <> high").select("band")
     )
-    held = settle(held.join(mixed, "band"), "mixed-buckets")
+    held = settle(held.join(settle(mixed, "mixed"), "band"), "mixed-buckets")
     sizes = held.groupBy("band", "group").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("n", "group"))["group"].alias("most"))
-    split = held.join(largest, "band")
+    split = held.join(settle(largest, "largest"), "band")
     outside = split.where(F.col("group") != F.col("most")).select(
         "band", F.col("node").alias("x"), F.col("group").alias("x_group")
     )
@@ -190,7 +200,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
     pairs = settle(pairs, "crossing")
-    groups = connected(links.unionByName(_confirmed(pairs, keyed)))
+    groups = connected(links.unionByName(_confirmed(pairs, keyed, nodes)))
 
     rows = signed.select("doc_id", "node", "n_shingles")
     # a row without words stays alone, whatever else is empty
@@ -201,7 +211,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min("doc_id").alias("component_id"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))["node"].alias("head"),
     )
-    linked = worded.join(names, "component").select(
+    linked = worded.join(settle(names, "names"), "component").select(
         "doc_id", "node", "n_shingles", "component_id",
         ((F.col("node") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first"),
     )
