@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from townhall.llm.frames import table
+from townhall.llm.quality import keep_good
 from townhall.llm.repeats import drop_repeats
 from townhall.llm.shipping import ship
 from townhall.llm.superminhash import drop_near_duplicates
 from townhall.session import settle
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a quality rule rejects go."""
+    return keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest id."""
     ship(spark)
@@ -24,6 +30,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("suffix_dedup", suffix_dedup),
 ]

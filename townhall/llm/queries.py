@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import repeats, superminhash
+from townhall.llm import quality, repeats, superminhash, syncmers
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -23,11 +23,21 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op4_quality_cascade(spark, sf):
+    return quality.judged(table(spark, sf, "documents")).drop("rejected_by")
+
+
 @query
 def op6_superminhash(spark, sf):
     return superminhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op7_closed_syncmers(spark, sf):
+    return syncmers.edit_check(table(spark, sf, "documents"))
+
+
 @query
 def op8_suffix_dedup(spark, sf):
     return repeats.repeat_digest(table(spark, sf, "documents"))
