@@ -78,26 +78,32 @@ def _induce_by_bucket(text: np.ndarray, small: np.ndarray, heads: np.ndarray, se
 
 
 def _induce_by_entry(text: np.ndarray, small: np.ndarray, heads: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    t, s, n = text.tolist(), small.tolist(), len(text)
+    n = len(text)
     order = [-1] * n
     front, back = heads[:-1].tolist(), heads[1:].tolist()
     fill = list(back)
-    for i in reversed(seeds.tolist()):
-        c = t[i]
+    for i, c in zip(reversed(seeds.tolist()), reversed(text[seeds].tolist())):
         fill[c] -= 1
         order[fill[c]] = i
-    for r in range(n):
-        j = order[r] - 1
-        if j >= 0 and not s[j]:
-            c = t[j]
-            order[front[c]] = j
-            front[c] += 1
-    for r in range(n - 1, -1, -1):
-        j = order[r] - 1
-        if j >= 0 and s[j]:
-            c = t[j]
-            back[c] -= 1
-            order[back[c]] = j
+    # symbol to the left where it starts a suffix of the kind wanted, else -1; the spare place at
+    # the end answers for places of the order that are still empty (-1)
+    left = np.full(n + 1, -1, np.int64)
+    left[1:n] = np.where(small[:-1], -1, text[:-1])
+    wanted = left.tolist()
+    for i in order:
+        c = wanted[i]
+        if c >= 0:
+            at = front[c]
+            order[at] = i - 1
+            front[c] = at + 1
+    left[1:n] = np.where(small[:-1], text[:-1], -1)
+    wanted = left.tolist()
+    for i in reversed(order):
+        c = wanted[i]
+        if c >= 0:
+            at = back[c] - 1
+            order[at] = i - 1
+            back[c] = at
     order[0] = n - 1
     return np.array(order, np.int64)
 
