@@ -194,12 +194,15 @@ def _settled(docs: DataFrame) -> DataFrame:
         "stretches",
     )
     often = filed.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1").select("anchor")
+    often = settle(often, "often")  # a plain table, so that a join can split an anchor with many holders
     held = settle(filed.join(often, "anchor"), "shared-anchors")
     kinds = held.groupBy("anchor", "stretch").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "first", "last")).alias("one")
     )
     kinds = settle(kinds, "kinds")
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
+    # sorting is for stretches that occur once beside others; whole repeats are settled already
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
+    several = several.where("kinds > 1 and least = 1").select("anchor")
     asked = kinds.join(several, "anchor").select(
         "one.doc", F.struct("anchor", "stretch", "n", "one.first", "one.last").alias("ask")
     ).groupBy("doc").agg(F.collect_list("ask").alias("asked"))
