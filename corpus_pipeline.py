@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from townhall.llm.frames import table
+from townhall.llm.packing import packed_documents
 from townhall.llm.quality import keep_good
 from townhall.llm.repeats import drop_repeats
 from townhall.llm.shipping import ship
@@ -29,10 +31,17 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return drop_repeats(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, tokenized, cut and packed into sequences."""
+    ship(spark)
+    return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("suffix_dedup", suffix_dedup),
+    ("packing", packing),
 ]
 
 ORACLE_SQL = None

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import quality, repeats, superminhash, syncmers
+from townhall.llm import packing, quality, repeats, superminhash, syncmers, tree_bpe
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -23,6 +24,11 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op3_best_fit_packing(spark, sf):
+    return packing.packed_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op4_quality_cascade(spark, sf):
     return quality.judged(table(spark, sf, "documents")).drop("rejected_by")
@@ -41,3 +47,8 @@ def op7_closed_syncmers(spark, sf):
 @query
 def op8_suffix_dedup(spark, sf):
     return repeats.repeat_digest(table(spark, sf, "documents"))
+
+
+@query
+def op10_tree_bpe(spark, sf):
+    return tree_bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
