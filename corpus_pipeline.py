@@ -10,6 +10,7 @@ from townhall.llm.packing import packed_documents
 from townhall.llm.quality import keep_good
 from townhall.llm.repeats import drop_repeats
 from townhall.llm.shipping import ship
+from townhall.llm.skip_chain import mask_personal_data
 from townhall.llm.superminhash import drop_near_duplicates
 from townhall.session import settle
 
@@ -31,6 +32,12 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return drop_repeats(docs)
 
 
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to its kind."""
+    ship(spark)
+    return mask_personal_data(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, tokenized, cut and packed into sequences."""
     ship(spark)
@@ -41,6 +48,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("suffix_dedup", suffix_dedup),
+    ("pii", pii),
     ("packing", packing),
 ]
 

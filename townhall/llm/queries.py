@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import packing, quality, repeats, superminhash, syncmers, tree_bpe, warc
+from townhall.llm import packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -24,6 +24,11 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op1_skip_chain_pii(spark, sf):
+    return skip_chain.span_digest(table(spark, sf, "documents"))
+
+
 @query
 def op2_warc_source(spark, sf):
     return warc.archive_round_trip(table(spark, sf, "pages"))
