@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc
+from townhall.llm import language_crf, packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -59,6 +59,11 @@ def op8_suffix_dedup(spark, sf):
     return repeats.repeat_digest(table(spark, sf, "documents"))
 
 
+@query
+def op9_language_crf(spark, sf):
+    return language_crf.languages(table(spark, sf, "documents"))
+
+
 @query
 def op10_tree_bpe(spark, sf):
     return tree_bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
