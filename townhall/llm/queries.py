@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import language_crf, packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc
+from townhall.llm import language_crf, packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc, wrappers
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -44,6 +44,11 @@ def op4_quality_cascade(spark, sf):
     return quality.judged(table(spark, sf, "documents")).drop("rejected_by")
 
 
+@query
+def op5_page_wrappers(spark, sf):
+    return wrappers.main_text(table(spark, sf, "pages"))
+
+
 @query
 def op6_superminhash(spark, sf):
     return superminhash.near_duplicates(table(spark, sf, "documents"))
