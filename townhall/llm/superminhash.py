@@ -6,9 +6,10 @@ round ``j`` a shingle offers a value in ``[j, j + 1)`` to the ``j``-th place of
 and the rounds stop once every place holds a value no later round can beat.
 
 Signatures are cut into bands. Within a bucket of equal bands every member is confirmed against
-one pivot on the full sets; what that joins is grouped, and only members outside a bucket's
-largest group then meet the members of other groups. So a bucket of copies costs as many
-confirmations as it has members, and no pair whose texts are not yet in one group is left out.
+one pivot on the full sets. Members that are not linked to their pivot may be linked to each
+other; their differences to the pivot are joined by a prefix filter that misses no such link and
+lets independent edits of one text apart. So a bucket costs about as many confirmations as it
+has members. Banding itself misses a pair at exactly the threshold with probability 5e-6.
 
 Defined results: a null or empty text, or one of white space only, has an empty set and stays
 alone; repeated rows are copies of one another; rows with a null id take part, their group's
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from townhall.llm.byte_arrays import Block, blocks, mix, words
 from townhall.llm.components import connected
@@ -128,36 +129,121 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+def _with_node(texts: DataFrame) -> DataFrame:
     """Rows with their node: 128 bits of the lowered words, equal for equal word sequences."""
     plain = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     spaced = F.trim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " "))
-    return id_and_text(docs, id_col, text_col, *more).withColumn("node", F.unhex(F.md5(spaced)))
+    return texts.withColumn("node", F.unhex(F.md5(spaced)))
 
 
-def _confirmed(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of nodes, those whose full sets are similar enough.
-
-    One row stands for all copies of a node, so a text with many copies is read once.
-    """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    one = nodes.join(wanted, "node").select(F.col("node").alias("one_node"), "one_id")
+def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Full sets of nodes. One row stands for all copies of a node, so a text with many copies is read once."""
+    one = settle(nodes.join(wanted, "node").select(F.col("node").alias("one_node"), "one_id"), "one-each")
+    ids = one.select("one_id").distinct()
+    near = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("one_id")), "left_semi")  # then nodes of these rows only
     same = (F.col("node") == F.col("one_node")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
-    texts = keyed.join(one, same, "left_semi").dropDuplicates(["doc_id", "node"]).select("node", "text")
-    sets = settle(texts.mapInArrow(_sets, "node binary, shingles array<long>"), "shingle-sets")
+    texts = _with_node(near).join(one, same, "left_semi").dropDuplicates(["doc_id", "node"])
+    return settle(texts.select("node", "text").mapInArrow(_sets, "node binary, shingles array<long>"), "shingle-sets")
+
+
+def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sets left and right; a is the side that many pairs share."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(right, "b").join(left, "a")  # a is the shared side: its set travels once
+    return pairs.join(right, "b").join(left, "a")
+
+
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with ``linked``: whether the full sets are similar enough."""
     shared = F.size(F.array_intersect("left", "right")).cast("long")
     either = F.size("left") + F.size("right") - shared
-    return both.where(100 * shared >= PERCENT * either).select("a", "b")
+    return _both_sets(pairs, sets).select("a", "b", (100 * shared >= PERCENT * either).alias("linked"))
+
+
+def _stars(nodes: DataFrame) -> DataFrame:
+    """Distinct (a, b) such that any two members of a bucket are, or share, an ``a``.
+
+    The pivot of a bucket is the member that meets most others over all its buckets, and the
+    root of a node the most connected of the pivots it meets. A text that others were made from
+    is the root of nearly all of them, so one star stands for the many buckets of such a
+    family. Only a bucket whose members have different roots gets a star of its own.
+    """
+    entries = nodes.select("node", F.explode("bands").alias("band"))
+    shared = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    # small sides are written first: a join of plain tables can split a bucket with many members
+    members = settle(entries.join(settle(shared, "shared-bands"), "band"), "buckets")
+    degrees = settle(members.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    ranked = members.join(degrees, "node")
+    pivots = settle(ranked.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("pivot")), "pivots")
+    met = members.join(pivots, "band").select("band", "node", "pivot")
+    roots = settle(met.groupBy("node").agg(F.max("pivot")["node"].alias("root")), "roots")
+    rooted = met.join(roots, "node")
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = settle(mixed.where("low <> high").select("band"), "mixed-bands")
+    own = met.join(mixed, "band").select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+    pairs = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(own)
+    return settle(pairs.where("a <> b").distinct(), "stars")
+
+
+def _crossing(stars: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of one star, not in one group so far, that may be linked.
+
+    At least one of such a pair is outside the pivot's group, so not linked to the pivot.
+
+    ``d(x)`` is the difference of a member to its pivot: what it adds and what it lacks. Two sets are
+    linked exactly if ``7 |d(x) ^ d(y)| <= |x| + |y|``, so linked ones share at least
+    ``need = (|d(x)| + |d(y)| - (|x| + |y|) / 7) / 2`` elements of their differences. In any common
+    order of the elements the first ``|d| - need + 1`` of both then have one in common. The order
+    here is by how many members of the star have the element: what an edit of one member alone
+    brings in comes first. A member that is not linked to the pivot has a large difference, which
+    leaves the other at most about half of its own: copies with edits of their own do not meet,
+    however many share the pivot.
+    """
+    of_a = groups.select(F.col("node").alias("a"), F.col("component").alias("group_a"))
+    of_b = groups.select(F.col("node").alias("b"), F.col("component").alias("group_b"))
+    stars = stars.join(of_b, "b", "left").join(of_a, "a", "left").select(
+        "a", "b", F.coalesce("group_b", "b").alias("group"),
+        (F.coalesce("group_a", "a") == F.coalesce("group_b", "b")).alias("inside"),
+    )
+    stars = settle(stars, "grouped-stars")
+    open_ = stars.groupBy("a").agg(F.count("*").alias("n"), F.count_if(~F.col("inside")).alias("outside"))
+    open_ = settle(open_.where("n > 1 and outside > 0").select("a"), "open-stars")
+    rows = _both_sets(stars.join(open_, "a"), sets)
+    added, lacked = F.array_except("right", "left"), F.array_except("left", "right")
+    rows = rows.select(
+        F.xxhash64("a").alias("star"), "b", F.xxhash64("group").alias("group"), "inside",
+        F.size("right").alias("n"), F.size("left").alias("of"), F.concat(added, lacked).alias("difference"),
+    )
+    d, n = F.size("difference"), F.col("n")
+    # the least need against any member outside, and of a member outside against any other
+    index = d - F.ceil((7 * d + F.col("of") + 1 - n) / 14) + 1
+    probe = F.when(F.col("inside"), 0).otherwise(F.least(d, F.floor(n / 3) + 1))
+    rows = rows.withColumn("d", d).withColumn("index", index.cast("int")).withColumn("probe", probe.cast("int"))
+    flat = settle(rows.where("index > 0 or probe > 0").select(
+        "star", "b", "group", "n", "d", "index", "probe", F.explode("difference").alias("element")
+    ), "differences")
+    held = settle(flat.groupBy("star", "element").agg(F.count("*").alias("held")).where("held > 1"), "held")
+    order = Window.partitionBy("star", "b").orderBy(F.coalesce("held", F.lit(1)), "element")
+    flat = flat.join(held, ["star", "element"], "left").withColumn("at", F.row_number().over(order) - 1)
+    # an element of one member only takes its place in the order but meets nothing
+    flat = settle(flat.where("held is not null and at < greatest(index, probe)").drop("held"), "prefixes")
+    x = flat.where("at < probe").select("star", "element", F.col("b").alias("x"), F.col("group").alias("xg"), F.col("n").alias("xn"),
+                                        F.col("d").alias("xd"), F.col("at").alias("xat"))
+    y = flat.where("at < index").select("star", "element", F.col("b").alias("y"), F.col("group").alias("yg"), F.col("n").alias("yn"),
+                                        F.col("d").alias("yd"), F.col("at").alias("yat"))
+    need = F.ceil((7 * (F.col("xd") + F.col("yd")) - F.col("xn") - F.col("yn")) / 14)
+    meet = (
+        (x["star"] == y["star"]) & (x["element"] == y["element"]) & (F.col("xg") != F.col("yg"))
+        & (F.col("xat") <= F.col("xd") - need) & (F.col("yat") <= F.col("yd") - need)
+    )
+    return x.join(y, meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, node, n_shingles, component_id (smallest id reachable), first (the one node to keep)."""
-    keyed = _keyed(docs, id_col, text_col)
+    plain = id_and_text(docs, id_col, text_col)
     signed = settle(
-        keyed.select("doc_id", "node", "text").mapInArrow(
+        _with_node(plain).select("doc_id", "node", "text").mapInArrow(
             _sign, "doc_id long, node binary, n_shingles long, bands array<long>"
         ),
         "signatures",
@@ -167,40 +253,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.first("bands").alias("bands"), F.min("doc_id").alias("one_id")
     )
     nodes = settle(nodes, "nodes")
-    entries = nodes.select("node", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    # small sides are written first: a join of plain tables can split a bucket with many members
-    shared = settle(shared.select("band", "pivot"), "shared-bands")
-    members = settle(entries.join(shared, "band"), "buckets")
-    stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = settle(_confirmed(stars, keyed, nodes), "links")
+    stars = _stars(nodes)
+    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), plain, nodes)
+    stars = settle(_measured(stars, sets), "measured")
+    links = stars.where("linked").select("a", "b")
     groups = connected(links)
-
-    # buckets that still hold several groups: members outside the largest group meet the other groups
-    held = members.join(groups, "node", "left").select(
-        "band", "pivot", "node", F.coalesce("component", "node").alias("group")
-    )
-    mixed = (
-        held.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        .where("low <> high").select("band")
-    )
-    held = settle(held.join(settle(mixed, "mixed"), "band"), "mixed-buckets")
-    sizes = held.groupBy("band", "group").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "group"))["group"].alias("most"))
-    split = held.join(settle(largest, "largest"), "band")
-    outside = split.where(F.col("group") != F.col("most")).select(
-        "band", F.col("node").alias("x"), F.col("group").alias("x_group")
-    )
-    others = split.select("band", "pivot", F.col("node").alias("y"), F.col("group").alias("y_group"),
-                          (F.col("group") == F.col("most")).alias("main"))
-    pairs = (
-        outside.join(others, "band")
-        .where((F.col("x_group") != F.col("y_group")) & (F.col("main") | (F.col("x") < F.col("y"))))
-        .where((F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot")))  # met in the first pass
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    )
-    pairs = settle(pairs, "crossing")
-    groups = connected(links.unionByName(_confirmed(pairs, keyed, nodes)))
+    crossing = settle(_measured(_crossing(stars, sets, groups), sets), "crossing")
+    groups = connected(links.unionByName(crossing.where("linked").select("a", "b")))
 
     rows = signed.select("doc_id", "node", "n_shingles")
     # a row without words stays alone, whatever else is empty
@@ -237,7 +296,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     first = similar_groups(docs, id_col, text_col).where("first and n_shingles > 0")
     first = first.select(F.col("doc_id").alias("first_id"), F.col("node").alias("first_node")).distinct()
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    own = _keyed(whole.select("row", f"row.`{id_col}`", f"row.`{text_col}`"), id_col, text_col, "row")
+    flat = whole.select("row", f"row.`{id_col}`", f"row.`{text_col}`")
+    own = _with_node(id_and_text(flat, id_col, text_col, "row"))
     worded = own.where(r"text rlike '[^\\x20\\x09-\\x0D]'")
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node"))
     kept = worded.join(first, same, "left_semi").dropDuplicates(["doc_id", "node"])
