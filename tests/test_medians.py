@@ -1,4 +1,4 @@
-"""Exact medians on every path against pandas."""
+"""Exact medians against a sort, one group holding most rows."""
 
 import numpy as np
 import pandas as pd
@@ -27,35 +27,28 @@ def middle(s):
     return (float(s[(n - 1) // 2]) + float(s[n // 2])) / 2
 
 
-@pytest.mark.parametrize("path", ["small", "digits", "salted"])
-def test_groups(spark, frame, path, monkeypatch):
-    if path == "salted":
-        monkeypatch.setattr(medians, "BROADCAST_ROWS", 0)
+def test_groups(spark, frame):
     df = spark.createDataFrame(frame).repartition(5)
-    small_rows = 10**6 if path == "small" else 0
-    got = medians.exact_medians(
-        df, {"mv": F.col("v"), "mw": F.col("w")}, ["g"], small_rows=small_rows).collect()
+    got = medians.exact_medians(df, {"mv": F.col("v"), "mw": F.col("w")}, ["g"]).collect()
     want = frame.groupby("g").agg(mv=("v", middle), mw=("w", middle))
     assert {r.g: (r.mv, r.mw) for r in got} == {g: tuple(r) for g, r in want.iterrows()}
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
 @pytest.mark.parametrize("values", [[5], [1, 2], [3, None, 1, 9], [-4, -4, 2, 2], [None, None]])
-def test_whole_table(spark, values, small_rows):
+def test_whole_table(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
-    got = medians.exact_medians(df, {"m": F.col("v")}, small_rows=small_rows).collect()
+    got = medians.exact_medians(df, {"m": F.col("v")}).collect()
     known = [v for v in values if v is not None]
     assert [r.m for r in got] == [middle(known) if known else None]
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_empty(spark, small_rows):
+def test_empty(spark):
     df = spark.createDataFrame([], "g string, v bigint")
-    assert medians.exact_medians(df, {"m": F.col("v")}, ["g"], small_rows=small_rows).count() == 0
-    assert [r.m for r in medians.exact_medians(df, {"m": F.col("v")}, small_rows=small_rows).collect()] == [None]
+    assert medians.exact_medians(df, {"m": F.col("v")}, ["g"]).count() == 0
+    assert [r.m for r in medians.exact_medians(df, {"m": F.col("v")}).collect()] == [None]
 
 
-def test_null_group_is_kept_apart(spark):
+def test_groups_are_kept_apart(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 8)], "g string, v bigint")
-    got = medians.exact_medians(df, {"m": F.col("v")}, ["g"], stored=True, small_rows=0).collect()
+    got = medians.exact_medians(df, {"m": F.col("v")}, ["g"]).collect()
     assert {r.g: r.m for r in got} == {"a": 2.0, "b": 8.0}

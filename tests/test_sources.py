@@ -21,7 +21,7 @@ def post(i, **kw):
 def test_json_array(spark, tmp_path):
     path = tmp_path / "posts.json"
     path.write_text(json.dumps([post(6755399441055744), post(2, view_count="abc", title=None)], indent=2))
-    df = files.read_posts_json(spark, str(path))
+    df = files.read_posts_json(spark, str(path), array=True)
     assert df.columns == POST.fieldNames()
     rows = {r.id: r for r in single_community_posts(df).collect()}
     assert rows[6755399441055744].latest_response_hours == 6.0 and rows[6755399441055744].has_answer is True
@@ -34,7 +34,7 @@ def test_csv_quotes_newlines_and_missing(spark, tmp_path):
     rows = [tuple({**post(i), "title": t}[c] for c in CHANNEL_POST_COLUMNS) for i, t in enumerate(texts)]
     schema = ", ".join(f"{c} {POST[c].dataType.simpleString()}" for c in CHANNEL_POST_COLUMNS)
     files.write_csv(spark.createDataFrame(rows, schema), path, CHANNEL_POST_COLUMNS)
-    back = files.read_posts_csv(spark, path)
+    back = files.read_posts_csv(spark, path, multiline=True)
     got = {r.id: r.title for r in back.collect()}
     assert got == {0: texts[0], 1: texts[1], 2: texts[2], 3: None, 4: None, 5: None, 6: texts[6]}
     typed = {r.id: r for r in multi_channel_posts(back).collect()}
@@ -45,9 +45,9 @@ def test_captures_keep_their_order(spark, tmp_path):
     for name, ids in (("2024-01-01.json", [3, 1]), ("2024-01-02.json", [2, 3])):
         (tmp_path / name).write_text(json.dumps(
             [{"url": f"u{i}", "data": {"enrichedContentResources": [{"id": i, "src": name}]}} for i in ids]))
-    df = files.read_captures(spark, str(tmp_path))
+    df = files.read_captures(spark, str(tmp_path), array=True)
     assert [r.url for r in df.orderBy("capture_ord").collect()] == ["u3", "u1", "u2", "u3"]
-    assert files.read_captures(spark, str(tmp_path), ordered=False).columns == ["url", "data"]
+    assert files.read_captures(spark, str(tmp_path), array=True, ordered=False).columns == ["url", "data"]
 
 
 def test_flat_csv_raw_and_partitions(spark, tmp_path):
@@ -71,14 +71,34 @@ def test_json_lines(spark, tmp_path):
     assert {(r.id, r.t) for r in spark.read.json(str(tmp_path / "j")).collect()} == {(1, "a"), (2, None)}
 
 
-def test_kept_and_spread(spark):
-    df = files.kept(spark.range(10))
-    assert df.storageLevel.useMemory and df.storageLevel.useDisk
+def test_kept(spark):
+    df = files.kept(spark.range(10).selectExpr("id AS a"))
+    assert df.count() == 10 and df.storageLevel.useMemory and df.storageLevel.useDisk
     df.unpersist()
-    one = spark.range(0, 100, 1, 1)
-    assert files.spread(one).count() == 100 and files.spread(one).rdd.getNumPartitions() > 1
-    many = spark.range(0, 100, 1, 64)
-    assert files.spread(many) is many
+
+
+def test_json_arrays(spark, tmp_path):
+    rows = [tuple(post(i)[c] for c in POST.fieldNames()) for i in range(20)]
+    files.write_json_arrays(spark.createDataFrame(rows, POST), str(tmp_path / "a"), 3)
+    back = files.read_posts_json(spark, str(tmp_path / "a"), array=True)
+    assert sorted(r.id for r in back.collect()) == list(range(20))
+
+
+def test_links_in_all_quotings(spark):
+    html = (
+        '<a data-href="/wrong" href="/right">one</a><A HREF=\'/single?a=1&amp;b=2\'>two &amp; 2</A>'
+        '<a class=x href=/bare>three</a><a title="href=/no" href="sub/page">four</a><a name="x">none</a>'
+        '<abbr href="/no">no</abbr><a\nhref = "">five</a><a href="//cdn.example.org/x">six</a><a href="#top">seven</a>'
+    )
+    pages = spark.createDataFrame([(1, "https://h.example/dir/p?q=1", html)], "page_id int, url string, html string")
+    rows = page_links(pages, ["page_id"], base="url").orderBy("pos").collect()
+    assert [(r.href, r.text) for r in rows] == [
+        ("/right", "one"), ("/single?a=1&b=2", "two & 2"), ("/bare", "three"), ("sub/page", "four"), ("", "five"),
+        ("//cdn.example.org/x", "six"), ("#top", "seven")]
+    assert [r.address for r in rows] == [
+        "https://h.example/right", "https://h.example/single?a=1&b=2", "https://h.example/bare",
+        "https://h.example/dir/sub/page", "https://h.example/dir/p?q=1", "https://cdn.example.org/x",
+        "https://h.example/dir/p?q=1#top"]
 
 
 def test_links(spark):

@@ -91,12 +91,21 @@ def test_counts_and_scores(texts, stop):
     assert {r.term: r.n for r in terms.cloud_counts(texts, "text", stop, 10).collect()} == want
 
 
-def test_hot_words_join_apart(texts, monkeypatch):
-    _, scores, _, _ = cloud(TEXTS, set(), 10)
-    for share in (1.0, 0.03, 1e-9):  # no word hot, some, all
-        monkeypatch.setattr(terms, "_HOT_SHARE", share)
-        got = {r.bigram: r.score for r in terms.scored_bigrams(texts, "text").collect()}
-        assert got == pytest.approx(scores, abs=1e-6)
+def test_frequent_words_are_split(spark):
+    """One word is in most pairs; the join may split its rows, the scores stay."""
+    rows = ["hub a%d hub" % (i % 40) for i in range(400)] + ["x y z"] * 5
+    _, scores, _, _ = cloud(rows, set(), 10)
+    keep = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1")
+    try:
+        df = spark.createDataFrame([(t,) for t in rows], "text string").repartition(4)
+        got = {r.bigram: r.score for r in terms.scored_bigrams(df, "text").collect()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert got == pytest.approx(scores, abs=1e-6)
 
 
 def test_top_terms(texts):

@@ -116,11 +116,25 @@ def with_batch_number(url: Column, batch: Column) -> Column:
 
 
 def channel_url(href: Column, base: str, slug: Column) -> Column:
-    """The link itself, or the address built from its parts when there is no link."""
-    built = F.concat_ws("/", F.lit(base), F.url_encode(slug), F.lit("all-content"))
+    """The link itself, or the address built from its parts when there is no link.
+
+    A slug comes out of an address, so it goes into the new one as it is.
+    """
+    built = F.concat_ws("/", F.lit(base), slug, F.lit("all-content"))
     return or_else(href, built)
 
 
+def with_query(base: str, **parts) -> Column:
+    """An address with a query string of the given parts in order; values go in as they are."""
+    pairs = [F.concat(F.lit(f"{name}="), p.cast("string") if isinstance(p, Column) else F.lit(str(p)))
+             for name, p in parts.items()]
+    return F.concat(F.lit(f"{base}?"), F.concat_ws("&", *pairs))
+
+
+def batch_number(url: Column) -> Column:
+    return F.regexp_extract(url, "[?&]batchNumber=([0-9]+)", 1).try_cast("int")
+
+
 def label_length_ok(c: Column, limit: int = 60) -> Column:
     """Non-empty after trimming and shorter than ``limit``."""
     return F.length(F.trim(collapse_space(c))).between(1, limit - 1)

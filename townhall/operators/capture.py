@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from townhall.functions import payloads, text as tx
+from townhall.functions import labels, payloads, text as tx
 from townhall.operators.identity import keep_first
 from townhall.schema import CHANNEL_POST_COLUMNS, POST
 
@@ -24,9 +24,6 @@ CONVERSATION_KEYS = (
     "enrichedContentResources", "allContent", "conversations", "results", "items", "posts", "content", "data",
 )
 NESTED_KEYS = ("enrichedContentResources", "allContent", "conversations", "results", "items")
-# Content types that may carry a payload.
-PAYLOAD_TYPES = ("json", "javascript", "text")
-
 # A JSON value that counts as "nothing".
 _FALSY = r'^(null|false|""|\[\]|\{\}|-?0(\.0+)?)$'
 
@@ -71,13 +68,24 @@ def content_type_has(df: DataFrame, *parts: str, column: str = "ct") -> DataFram
     return df.where(wanted)
 
 
+# What the address of a channel's content has in it.
+_CONTENT_PATH, _FIRST_BATCH, _CHANNEL_PARTS = "mainLayout/data", "batchNumber=1", ("channelSlugName", "channel=")
+
+
+def is_content_page(url: Column) -> Column:
+    """The address of any content batch of a channel."""
+    return url.contains(_CONTENT_PATH) & (url.contains(_CHANNEL_PARTS[0]) | url.contains(_CHANNEL_PARTS[1]))
+
+
 def is_first_page(url: Column) -> Column:
     """The address of a channel's first content batch."""
-    return (
-        url.contains("mainLayout/data")
-        & url.contains("batchNumber=1")
-        & (url.contains("channelSlugName") | url.contains("channel="))
-    )
+    return is_content_page(url) & url.contains(_FIRST_BATCH)
+
+
+def last_batches(df: DataFrame, by: list[str]) -> DataFrame:
+    """The highest batch number seen in any content address of a group."""
+    pages = df.where(is_content_page(F.col("url")))
+    return pages.groupBy(*by).agg(F.max(tx.batch_number(F.col("url"))).alias("last_batch"))
 
 
 def page_templates(df: DataFrame, order: str, by: list[str] | None = None) -> DataFrame:
@@ -146,11 +154,14 @@ def records(df: DataFrame, keep: list[str] | None = None, unique_by: list[str] |
     """Generic extraction: any list of objects, each element tagged with its source.
 
     Records are not deduplicated unless ``unique_by`` names the kept columns that
-    order the copies of an id.
+    order the copies of an id. Records without an id are no copies of each other.
     """
     kept = keep if keep is not None else [c for c in df.columns if c != "data"]
     rows = explode_items(df, only_if_objects(first_list(F.col("data"))), kept)
-    return keep_first(rows, [item_id()], [*unique_by, "pos"]) if unique_by else rows
+    if not unique_by:
+        return rows
+    alone = F.when(item_id().isNull(), F.struct(*unique_by, "pos"))
+    return keep_first(rows, [item_id(), alone], [*unique_by, "pos"])
 
 
 def conversations(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -169,9 +180,16 @@ def resources(df: DataFrame, key: str = "enrichedContentResources", keep: list[s
 # -- fixed projection --------------------------------------------------------
 
 
-def _resource(df: DataFrame, keep) -> DataFrame:
-    """The known fields of every item, read in one go; a field of another type is null."""
-    return df.select(*keep, F.try_variant_get("item", "$", _RESOURCE).alias("_r"))
+def read_known(df: DataFrame, keep=()) -> DataFrame:
+    """The known fields of every item, read in one go, and the id as text; the item itself goes.
+
+    A field of another type is null. Do this before rows are shuffled.
+    """
+    return df.select(*keep, item_id().alias("_id"), F.try_variant_get("item", "$", _RESOURCE).alias("_r"))
+
+
+def _known(df: DataFrame, keep) -> DataFrame:
+    return df.select(*keep, "_r") if "_r" in df.columns else read_known(df, keep)
 
 
 def _columns(names, special: dict[str, Column]) -> list[Column]:
@@ -181,7 +199,7 @@ def _columns(names, special: dict[str, Column]) -> list[Column]:
             out.append(special[name].alias(name))
         else:
             path, default = _PATHS[name]
-            out.append(F.coalesce(F.col(f"_r.{path}"), F.lit(default)).alias(name))
+            out.append(labels.filled(F.col(f"_r.{path}"), default).alias(name))
     return out
 
 
@@ -193,7 +211,7 @@ def project_posts(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "title": F.col("_r.title"),
         "body": tx.strip_tags(F.coalesce("_r.bodyHTML", F.lit(""))),
     }
-    return _resource(df, keep).select(*keep, *_columns(POST.fieldNames(), special))
+    return _known(df, keep).select(*keep, *_columns(POST.fieldNames(), special))
 
 
 def project_channel_posts(df: DataFrame, keep: list[str] | None = None, channel: str = "channel_name") -> DataFrame:
@@ -205,7 +223,7 @@ def project_channel_posts(df: DataFrame, keep: list[str] | None = None, channel:
         "title": tx.clean(F.col("_r.title")),
         "body": tx.clean(tx.or_else(F.col("_r.bodyHTML"), F.col("_r.body"))),
     }
-    rows = _resource(df, [*keep, F.col(channel).alias("_channel")])
+    rows = _known(df, [*keep, F.col(channel).alias("_channel")])
     return rows.select(*keep, *_columns(CHANNEL_POST_COLUMNS, special))
 
 
@@ -214,12 +232,22 @@ def item_id(item: str = "item") -> Column:
     return payloads.field(F.col(item), "id")
 
 
+_WHOLE = r"^-?[0-9]{1,18}$"
+
+
+def problems(required=("id", "title"), item: str = "item") -> Column:
+    """Names of the required fields a record lacks, and ``id type`` for an id that is no whole number."""
+    found = [F.when(payloads.field(F.col(item), name).isNull(), F.lit(name)) for name in required]
+    if "id" in required:
+        ident = payloads.field(F.col(item), "id")
+        found.append(F.when(ident.isNotNull() & ~ident.rlike(_WHOLE), F.lit("id type")))
+    return F.array_compact(F.array(*found))
+
+
 def split_rejects(df: DataFrame, required=("id", "title"), item: str = "item") -> tuple[DataFrame, DataFrame]:
-    """(records with every required field, records missing one)."""
-    complete = F.lit(True)
-    for name in required:
-        complete = complete & payloads.field(F.col(item), name).isNotNull()
-    return df.where(complete), df.where(~complete)
+    """(complete records, the others with their ``problems``)."""
+    checked = df.withColumn("problems", problems(required, item))
+    return checked.where(F.size("problems") == 0).drop("problems"), checked.where(F.size("problems") > 0)
 
 
 # -- open-ended projection ---------------------------------------------------
@@ -257,22 +285,38 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[out[name].alias(name) for name in sorted(out)])
 
 
-def payload_schema(df: DataFrame, payload: str = "item") -> T.DataType:
-    """Union of all keys over all payloads. One row of schema text reaches the driver."""
+def top_level_keys(df: DataFrame, payload: str = "item") -> DataFrame:
+    """Every key of any payload with how many payloads have it: rows, however many keys there are."""
+    keys = df.select(F.explode(F.map_keys(payloads.members(F.col(payload)))).alias("key"))
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def payload_schema(df: DataFrame, payload: str = "item", most: int = 10_000) -> T.StructType:
+    """Union of all keys over all payloads, as the schema of a wide table.
+
+    One row of schema text reaches the driver, so it is for records with known kinds of keys.
+    More than ``most`` columns (ids used as keys, say) raise an error; nothing is left out.
+    """
     row = df.agg(F.schema_of_variant_agg(F.col(payload)).alias("s")).first()
     ddl = row.s or "OBJECT<>"
     # a key seen only as null, or with clashing types, is carried as text
     ddl = re.sub(r"\b(VOID|VARIANT)\b(?=[,>]|$)", "STRING", ddl)
-    return T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", ddl))
+    schema = T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", ddl))
+    columns = sum(1 for _ in _leaves(schema))
+    if columns > most:
+        raise ValueError(f"{columns} columns; give a schema, or look at top_level_keys")
+    return schema
 
 
-def flatten_payloads(df: DataFrame, payload: str = "item", tag: str | None = "url") -> DataFrame:
-    """Untyped records -> one flat table over the union of their keys.
+def flatten_payloads(
+    df: DataFrame, payload: str = "item", tag: str | None = "url", schema: T.StructType | None = None
+) -> DataFrame:
+    """Untyped records -> one flat table over the union of their keys, or over a given schema.
 
     ``tag`` names the provenance column; it is written as ``_source``.
     """
-    schema = payload_schema(df, payload)
-    typed = F.from_json(F.to_json(F.col(payload)), schema).alias("_r")
+    schema = schema or payload_schema(df, payload)
+    typed = F.try_variant_get(F.col(payload), "$", schema.simpleString()).alias("_r")
     carried = [F.col(tag).alias("_source")] if tag else []
     return flatten(df.select(*carried, typed).select(*[c for c in (["_source"] if tag else [])], "_r.*"))
 
@@ -280,12 +324,10 @@ def flatten_payloads(df: DataFrame, payload: str = "item", tag: str | None = "ur
 # -- looking at captures -----------------------------------------------------
 
 
-def payload_profile(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Per capture: the top-level keys, or the name of the payload's type."""
+def payload_profile(df: DataFrame) -> DataFrame:
+    """Per capture: all top-level keys, or the name of the payload's type."""
     kind = F.regexp_extract(F.schema_of_variant(F.col("data")), "^[A-Z]+", 0)
     keys = F.array_sort(F.map_keys(payloads.members(F.col("data"))))
-    if limit is not None:
-        keys = F.slice(keys, 1, limit)
     carried = [c for c in df.columns if c != "data"]
     # Type names as the capture log spells them.
     names = F.create_map(*[F.lit(x) for x in (

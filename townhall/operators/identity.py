@@ -28,9 +28,18 @@ def text_digest(c: Column) -> Column:
     return F.sha2(F.coalesce(c, F.lit("")), 256)
 
 
-def new_rows(batch: DataFrame, seen: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of ``batch`` whose key was never seen."""
-    return batch.join(seen.select(key).distinct(), key, "left_anti")
+def new_rows(batch: DataFrame, seen: DataFrame, key: str = "id", spread: int = 16) -> DataFrame:
+    """Rows of ``batch`` whose key was never seen; all copies of a new key are kept.
+
+    Copies of one key are dealt out over ``spread`` tasks, each of which gets the seen keys,
+    so a key held by a third of the batch does not meet in one task.
+    """
+    known = seen.select(key).distinct()
+    if spread == 1:
+        return batch.join(known, key, "left_anti")
+    known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    salted = batch.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in batch.columns]), F.lit(spread)).cast("int"))
+    return salted.join(known, [key, "_salt"], "left_anti").select(*batch.columns)
 
 
 def append_new(seen: DataFrame, batch: DataFrame, order: list, key: str = "id") -> DataFrame:
@@ -39,7 +48,7 @@ def append_new(seen: DataFrame, batch: DataFrame, order: list, key: str = "id")
     The batch is cut to one row per key before the anti join, so neither side
     of the join has a hot key.
     """
-    fresh = new_rows(keep_first(batch, [key], order), seen, key)
+    fresh = new_rows(keep_first(batch, [key], order), seen, key, spread=1)
     return seen.unionByName(fresh, allowMissingColumns=True)
 
 

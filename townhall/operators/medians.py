@@ -1,11 +1,10 @@
 """Exact medians without gathering a large group in one place.
 
-``median`` keeps every distinct value of a group in one task's memory, which is
-fine up to a known number of rows. Beyond it the two middle values are found
-digit by digit: each pass counts values by their leading bits, keeps the one or
-two prefixes the middle falls in, and the next pass looks only inside those. A
-pass shuffles counts, never values, and no group has more than 2**22 of them,
-whatever its size.
+Values are first added up to (group, value, count). The two middle values are then found
+digit by digit: each pass counts values by their leading bits, keeps the one or two prefixes the
+middle falls in, and the next pass looks only inside those. No group has more than 2**22 counts
+in a pass, whatever its size, and all passes read the one shuffled table of counts. Nothing
+runs before the result is asked for.
 """
 
 from __future__ import annotations
@@ -14,26 +13,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from townhall.session import settle
-
 # How many low bits are still unread after each pass over a 64-bit integer.
 _UNREAD = (42, 21, 0)
-# Up to this many values in all, the built-in median holds them in memory.
-SMALL_ROWS = 1_000_000
-# A lookup table up to this many rows is sent to every executor.
-BROADCAST_ROWS = 100_000
-_SPREAD = 32
-
-
-def _lookup(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Values under a wanted prefix: broadcast when the table is known to be small, else
-    a join of distinct values in which each prefix is split over ``_SPREAD`` tasks."""
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return values.join(F.broadcast(wanted), keys)
-    values = values.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
-    copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
-    salted = values.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(_SPREAD)).cast("int"))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 def _middle(position: Column, low: Column, high: Column, name: str) -> Column:
@@ -42,19 +23,11 @@ def _middle(position: Column, low: Column, high: Column, name: str) -> Column:
     return ((F.min(F.when(mine, low)) + F.max(F.when(mine, high))) / 2).alias(name)
 
 
-def exact_medians(
-    df: DataFrame,
-    values: dict[str, Column],
-    by: list[str] | None = None,
-    stored: bool = False,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def exact_medians(df: DataFrame, values: dict[str, Column], by: list[str] | None = None) -> DataFrame:
     """Medians of whole-number columns, nulls skipped: one row per group.
 
     ``values`` names each result. All of them share the passes. Groups in which
     every value is null are absent; without ``by`` there is always one row.
-    ``stored`` says that ``df`` is a plain table, cheap to read several times;
-    otherwise the needed columns are written down first.
     """
     by = list(by or [])
     pairs = F.explode(
@@ -62,22 +35,17 @@ def exact_medians(
             F.struct(F.lit(i).alias("_m"), c.cast("bigint").alias("_v")) for i, c in enumerate(values.values())
         ])
     )
-    data = df.select(*by, pairs.alias("_x")).select(*by, "_x.*").where(F.col("_v").isNotNull())
-    if not stored:
-        data = settle(data, "values")
     group = [*by, "_m"]
-    if data.count() <= small_rows:
-        found = data.groupBy(*group).agg(F.median("_v").alias("_low")).withColumn("_high", F.col("_low"))
-    else:
-        found = _select_middle(data, group)
+    data = df.select(*by, pairs.alias("_x")).select(*by, "_x.*").where(F.col("_v").isNotNull())
+    counts = data.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    found = _select_middle(counts, group)
     return found.groupBy(*by).agg(
         *[_middle(F.lit(i), F.col("_low"), F.col("_high"), name) for i, name in enumerate(values)]
     )
 
 
 def _select_middle(data: DataFrame, group: list[str]) -> DataFrame:
-    """The two middle values of ``_v`` in each group."""
-    data = data.withColumn("_n", F.lit(1).cast("bigint"))
+    """The two middle values of ``_v``, counted by ``_n``, in each group."""
 
     def counted(rows: DataFrame, carried: list[str], unread: int) -> DataFrame:
         return rows.groupBy(*group, *carried, F.shiftright("_v", unread).alias("_p")).agg(
@@ -102,9 +70,9 @@ def _select_middle(data: DataFrame, group: list[str]) -> DataFrame:
     wanted = holding_middle(first)
 
     for previous, unread in zip(_UNREAD, _UNREAD[1:]):
-        wanted = settle(wanted, "middle").withColumnRenamed("_p", "_q")
-        prefixed = data.withColumn("_q", F.shiftright("_v", previous))
-        inside = _lookup(prefixed, wanted.select(*group, "_q", "_before", "_total"), [*group, "_q"])
+        # one or two rows per group: the engine sends them to the counts, or splits a large group
+        inside = data.withColumn("_q", F.shiftright("_v", previous)).join(
+            wanted.withColumnRenamed("_p", "_q"), [*group, "_q"])
         counts = counted(inside, ["_q", "_before", "_total"], unread)
         window = Window.partitionBy(*group, "_q").orderBy("_p").rowsBetween(
             Window.unboundedPreceding, Window.currentRow)

@@ -12,7 +12,6 @@ from townhall.functions import dates, numbers, text as tx
 from townhall.functions.labels import QUESTION
 from townhall.operators.filters import having, questions
 from townhall.operators.medians import attach, exact_medians
-from townhall.session import settle
 
 
 def _rows() -> Column:
@@ -36,20 +35,8 @@ def _mean_hours(micros: Column) -> Column:
 # -- headline figures --------------------------------------------------------
 
 
-def _once(posts: DataFrame, stored: bool, *columns: str) -> DataFrame:
-    """What a figure needs of the posts, to be read more than once.
-
-    Unless the posts are a table or kept in memory, the columns are written
-    down, so the steps that led to them run once.
-    """
-    needed = posts.select(*columns)
-    return needed if stored else settle(needed, "figures")
-
-
-def overview(posts: DataFrame, stored: bool = False) -> DataFrame:
+def overview(posts: DataFrame) -> DataFrame:
     """Counts, views, answers, authors and mean response time of all posts."""
-    posts = _once(
-        posts, stored, "view_count", "response_count", "has_answer", "author", "latest_response_micros")
     base = posts.agg(
         _rows().alias("posts"),
         F.coalesce(F.sum("view_count"), F.lit(0)).alias("total_views"),
@@ -59,7 +46,7 @@ def overview(posts: DataFrame, stored: bool = False) -> DataFrame:
         F.count_distinct("author").alias("authors"),
         _mean_hours(F.col("latest_response_micros")).alias("mean_response_hours"),
     )
-    medians = exact_medians(posts, {"median_views": F.col("view_count")}, stored=True)
+    medians = exact_medians(posts, {"median_views": F.col("view_count")})
     return attach(base, medians, ["median_views"])
 
 
@@ -76,10 +63,8 @@ def overview_text(figures: DataFrame) -> DataFrame:
     )
 
 
-def support_figures(posts: DataFrame, stored: bool = False) -> DataFrame:
+def support_figures(posts: DataFrame) -> DataFrame:
     """Posts, views, questions, response rate, median positive response time, channels."""
-    posts = _once(
-        posts, stored, "view_count", "type_label", "has_responses", "channel", "latest_response_micros")
     is_question = _is_question()
     base = posts.agg(
         _rows().alias("posts"),
@@ -90,7 +75,7 @@ def support_figures(posts: DataFrame, stored: bool = False) -> DataFrame:
     )
     base = base.withColumn("response_rate", numbers.percent_floor(F.col("responded"), F.col("questions")))
     base = base.withColumn("unanswered_rate", numbers.complement(F.col("response_rate")))
-    medians = exact_medians(posts, {"_median": _positive_micros()}, stored=True)
+    medians = exact_medians(posts, {"_median": _positive_micros()})
     return (
         attach(base, medians, ["_median"])
         .withColumn("median_response_hours",
@@ -99,12 +84,24 @@ def support_figures(posts: DataFrame, stored: bool = False) -> DataFrame:
     )
 
 
-def response_lines(posts: DataFrame, positive_only: bool = False, stored: bool = False) -> DataFrame:
+def support_text(figures: DataFrame, channels_in_all: Column) -> DataFrame:
+    """The support figures as they are displayed; channels out of all there are without a filter."""
+    c = F.col
+    return figures.select(
+        tx.thousands(c("posts")).alias("posts"),
+        tx.thousands(c("total_views")).alias("total_views"),
+        tx.thousands(c("questions")).alias("questions"),
+        tx.percent_text(c("response_rate")).alias("response_rate"),
+        F.concat(tx.fixed(c("median_response_hours"), 0), F.lit(" hrs")).alias("median_response_time"),
+        tx.ratio_text(c("channels"), channels_in_all, " / ").alias("channels"),
+    )
+
+
+def response_lines(posts: DataFrame, positive_only: bool = False) -> DataFrame:
     """Mean and median response time, the reference lines of the distribution."""
-    posts = _once(posts, stored, "latest_response_micros")
     micros = _positive_micros() if positive_only else F.col("latest_response_micros")
     base = posts.agg(_mean_hours(micros).alias("mean_hours"))
-    medians = exact_medians(posts, {"_median": micros}, stored=True)
+    medians = exact_medians(posts, {"_median": micros})
     return attach(base, medians, ["_median"]).select(
         "mean_hours", dates.micros_to_hours(F.col("_median")).alias("median_hours"))
 
@@ -186,10 +183,10 @@ def answered_by_channel(posts: DataFrame) -> DataFrame:
     return rows.withColumn("answered", F.col("questions") - F.col("unanswered"))
 
 
-def median_response_by(posts: DataFrame, by: str = "channel", stored: bool = False) -> DataFrame:
+def median_response_by(posts: DataFrame, by: str = "channel") -> DataFrame:
     """Median of the positive response times per group, one decimal, half-even."""
     slow = having(posts.where(F.col("latest_response_micros") > 0), by)
-    medians = exact_medians(slow, {"_median": F.col("latest_response_micros")}, [by], stored=stored)
+    medians = exact_medians(slow, {"_median": F.col("latest_response_micros")}, [by])
     hours = numbers.round_even(dates.micros_to_hours(F.col("_median")), 1)
     return medians.select(by, hours.alias("median_hours"))
 

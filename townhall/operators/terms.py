@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from townhall.session import settle
-
 # The stop words of the multi-channel report.
 REPORT_STOPWORDS = (
     "the a an and or in of to is it for i this that "
@@ -48,9 +46,6 @@ _WORD = (
     rf"(?<![{_W}])(?<![{_W}]')(?![{_DIGITS}]+(?:'[sS])?(?![{_W}']))"
     rf"([{_W}][{_W}']*?)(?:'[sS])?(?![{_W}'])"
 )
-# A word with more than this share of all words is "hot"; there can be no more than
-# 1 / share of them.
-_HOT_SHARE = 1 / 1000
 
 
 def words(text: Column) -> Column:
@@ -162,34 +157,19 @@ def collocation_score(both: Column, first: Column, second: Column, total: Column
     return F.when((total <= first) | (total <= second), F.lit(0.0)).otherwise(score)
 
 
-def _with_word(pairs: DataFrame, lookup: DataFrame, total: Column, key: str, name: str) -> DataFrame:
+def _with_word(pairs: DataFrame, lookup: DataFrame, key: str, name: str) -> DataFrame:
     """Add a word's term and count to the pairs it occurs in.
 
-    Pairs of a hot word would meet in one task, so hot words come from a
-    broadcast table: counts add up to the total, hence it has at most
-    2 / _HOT_SHARE rows (a term has at most two forms). Their pairs then go
-    through the other join under their own, unmatched key, which spreads them.
+    Both sides are shuffled for this join alone, so the pairs of a frequent word are split
+    over several tasks by their size when the job runs.
     """
-    hot = lookup.where(F.col("n") > total * _HOT_SHARE).select(
-        F.col("form").alias(key), F.col("term").alias("_hot_term"), F.col("n").alias("_hot_n"))
-    rest = lookup.select(
-        F.col("form").alias("_find"), F.col("term").alias("_term"), F.col("n").alias("_n"))
-    find = F.when(F.col("_hot_n").isNull(), F.col(key)).otherwise(F.col("bigram"))
-    return (
-        pairs.join(F.broadcast(hot), key, "left")
-        .withColumn("_find", find)
-        .join(rest, "_find", "left")
-        .withColumns({
-            f"term_{name}": F.coalesce("_hot_term", "_term"),
-            f"n_{name}": F.coalesce("_hot_n", "_n"),
-        })
-        .drop("_find", "_term", "_n", "_hot_term", "_hot_n")
-    )
+    found = lookup.select(F.col("form").alias(key), F.col("term").alias(f"term_{name}"), F.col("n").alias(f"n_{name}"))
+    return pairs.join(found, key, "left")
 
 
 def _vocabulary(df: DataFrame, text: str, stopwords) -> tuple[DataFrame, DataFrame]:
-    """(words, pairs), folded and written down: the texts are read once."""
-    terms = settle(fold(form_counts(df, text, stopwords)), "terms")
+    """(words, pairs), folded. Both come from one shuffled table of counts: the texts are read once."""
+    terms = fold(form_counts(df, text, stopwords))
     first, second = (F.split_part("term_key", F.lit(" "), F.lit(i)) for i in (1, 2))
     is_pair = F.col("term_key").contains(" ")
     pairs = terms.where(is_pair).select(
@@ -200,8 +180,8 @@ def _vocabulary(df: DataFrame, text: str, stopwords) -> tuple[DataFrame, DataFra
 def _score(singles: DataFrame, pairs: DataFrame) -> DataFrame:
     lookup = singles.select(F.explode("keys").alias("form"), "term", "n")
     total = singles.agg(F.sum("n").alias("t")).scalar()
-    pairs = _with_word(pairs, lookup, total, "key_1", "1")
-    pairs = _with_word(pairs, lookup, total, "key_2", "2")
+    pairs = _with_word(pairs, lookup, "key_1", "1")
+    pairs = _with_word(pairs, lookup, "key_2", "2")
     return pairs.select(
         "bigram", "n_bigram", "term_1", "n_1", "term_2", "n_2",
         collocation_score(F.col("n_bigram"), F.col("n_1"), F.col("n_2"), total).alias("score"),

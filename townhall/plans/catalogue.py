@@ -11,7 +11,7 @@ from townhall.functions.labels import QUESTION
 from townhall.operators import capture, distributions, filters, identity, metrics, ranking, terms
 from townhall.operators.filters import PostFilter, having
 from townhall.operators.typed import multi_channel_posts, single_community_posts
-from townhall.plans import report
+from townhall.plans import dashboard, report
 from townhall.plans import tables as tb
 from townhall.schema import CHANNEL_POST_COLUMNS
 from townhall.session import scratch_path
@@ -209,6 +209,42 @@ def filtered_dashboard(spark, sf):
     return shown.select("id", "title", "month", "view_count", "response_count")
 
 
+def _section(name: str):
+    """One view of the dashboard under the chosen filters."""
+
+    def view(spark, sf):
+        out = dashboard.sections(tb.posts(spark, sf), CHOSEN)[name]()
+        return out.select(*_LISTED) if name == "top_questions" else out
+
+    view.__name__ = f"chosen_{name}"
+    return query(view)
+
+
+for _name in ("support_figures", "support_text", "channel_summary", "top_questions", "answered_by_channel", "median_response", "terms"):
+    _section(_name)
+
+
+@query
+def report_overview(spark, sf):
+    return report.sections(tb.posts(spark, sf))["overview"]()
+
+
+@query
+def empty_histogram(spark, sf):
+    """A choice that no post meets gives a histogram without bins."""
+    nothing = PostFilter("no such channel").apply(tb.posts(spark, sf))
+    return distributions.histogram(nothing, "latest_response_hours").agg(F.count(F.lit(1)).alias("bins"))
+
+
+@query
+def kept_report(spark, sf):
+    """Two figures over one kept frame."""
+    # a frame of its own, so that other queries do not read it in place of the tables
+    posts = files.kept(tb.posts(spark, sf).select("channel", "id", "type_label", "has_responses", F.lit(1).alias("one")))
+    sizes = metrics.group_sizes(posts, "channel")
+    return sizes.join(metrics.answered_by_channel(posts), "channel")
+
+
 @query
 def filter_options(spark, sf):
     return filters.filter_options(tb.posts(spark, sf))
@@ -322,19 +358,19 @@ def short_text(spark, sf):
 
 @query
 def clean_html(spark, sf):
-    pages = files.spread(tb.table(spark, sf, "pages"))
+    pages = tb.table(spark, sf, "pages")
     return pages.select("page_id", tx.tidy(F.col("html")).alias("text"))
 
 
 @query
 def clean_html_full(spark, sf):
-    pages = files.spread(tb.table(spark, sf, "pages"))
+    pages = tb.table(spark, sf, "pages")
     return pages.select("page_id", tx.clean(F.col("html")).alias("text"))
 
 
 @query
 def strip_tags(spark, sf):
-    pages = files.spread(tb.table(spark, sf, "pages"))
+    pages = tb.table(spark, sf, "pages")
     return pages.select("page_id", tx.strip_tags(F.col("html")).alias("text"))
 
 
@@ -376,7 +412,7 @@ def channel_urls(spark, sf):
 
 @query
 def short_link_texts(spark, sf):
-    return tb.links(spark, sf).where(tx.label_length_ok(F.col("text"), 6)).select("page_id", "pos", "text")
+    return tb.links(spark, sf).where(tx.label_length_ok(F.col("text"))).select("page_id", "pos", "text")
 
 
 @query
@@ -386,12 +422,25 @@ def page_templates(spark, sf):
 
 @query
 def next_pages(spark, sf):
-    firsts = capture.page_templates(tb.captures(spark, sf), "capture_ord", ["channel_name"])
-    batches = F.explode(F.sequence(F.lit(2), F.lit(49)))
-    return firsts.select("channel_name", "url", batches.alias("batch")).select(
+    """The addresses of all further batches of a channel, up to the last one its pages name."""
+    seen = tb.captures(spark, sf)
+    firsts = capture.page_templates(seen, "capture_ord", ["channel_name"])
+    last = capture.last_batches(seen, ["channel_name"]).where("last_batch >= 2")
+    batches = F.explode(F.sequence(F.lit(2), F.col("last_batch")))
+    return firsts.join(last, "channel_name").select("channel_name", "url", batches.alias("batch")).select(
         "channel_name", "batch", tx.with_batch_number(F.col("url"), F.col("batch")).alias("url"))
 
 
+@query
+def batch_addresses(spark, sf):
+    """The address of a page's batch, built from its parts."""
+    slug = F.concat(F.lit("c%20"), F.col("page_id"))
+    address = tx.with_query(
+        "https://community.example.org/views/mainLayout/data", org="org", comm="comm", channelSlugName=slug,
+        contentId=0, batchNumber=F.pmod("page_id", F.lit(5)) + 1, preferredTimezone="America%2FDenver")
+    return tb.table(spark, sf, "pages").select("page_id", address.alias("address"), tx.batch_number(address).alias("batch"))
+
+
 # -- payloads ----------------------------------------------------------------
 
 
@@ -403,7 +452,7 @@ def json_path(spark, sf):
 
 @query
 def payload_keys(spark, sf):
-    profile = capture.payload_profile(tb.captures(spark, sf), limit=10)
+    profile = capture.payload_profile(tb.captures(spark, sf))
     return capture.stage_counts(profile, "keys")
 
 
@@ -443,8 +492,16 @@ def _extracted(spark, sf):
     wanted = capture.url_contains(tb.captures(spark, sf), "mainLayout")
     rows = capture.resources(wanted, keep=["capture_ord"])
     complete, _ = capture.split_rejects(rows)
-    first = identity.keep_first(complete, [capture.item_id()], ["capture_ord", "pos"])
-    return capture.project_posts(first, keep=["capture_ord", "pos"])
+    known = capture.read_known(complete, ["capture_ord", "pos"])
+    return capture.project_posts(identity.keep_first(known, ["_id"], ["capture_ord", "pos"]), keep=["capture_ord", "pos"])
+
+
+@query
+def capture_rejects(spark, sf):
+    """Records that are no posts, with what is wrong with them."""
+    items = tb.id_cases(spark, sf)
+    _, rejects = capture.split_rejects(items, required=("id",))
+    return rejects.select("ord", F.array_join("problems", ",").alias("problems"))
 
 
 @query
@@ -460,8 +517,9 @@ def capture_preview(spark, sf):
 
 def _channel_extracted(spark, sf):
     rows = capture.conversations(tb.captures(spark, sf), ["channel_name", "capture_ord"])
-    first = identity.keep_first(rows, [capture.item_id()], ["channel_name", "capture_ord", "pos"])
-    return capture.project_channel_posts(first, keep=["channel_name", "capture_ord", "pos"])
+    known = capture.read_known(rows, ["channel_name", "capture_ord", "pos"])
+    first = identity.keep_first(known, ["_id"], ["channel_name", "capture_ord", "pos"])
+    return capture.project_channel_posts(first, keep=["capture_ord", "pos"])
 
 
 @query
@@ -510,12 +568,19 @@ def flatten_union(spark, sf):
     return capture.flatten_payloads(rows)
 
 
+@query
+def flatten_union_csv(spark, sf):
+    """The union of all keys written as CSV and read back."""
+    path = scratch_path(spark, "union")
+    flat = flatten_union(spark, sf)
+    files.write_csv(flat, path)
+    return spark.read.schema(flat.schema).options(**files.CSV_OPTIONS).csv(path)
+
+
 @query
 def key_union(spark, sf):
-    """All keys that occur in any extracted record."""
-    rows = capture.records(tb.captures(spark, sf), ["capture_ord"])
-    keys = rows.select(F.explode(F.map_keys(payloads.members(F.col("item")))).alias("key"))
-    return keys.distinct()
+    """All keys that occur in any extracted record, with how many records have them."""
+    return capture.top_level_keys(capture.records(tb.captures(spark, sf), ["capture_ord"]))
 
 
 # -- identity ----------------------------------------------------------------
@@ -568,7 +633,7 @@ def conversation_posts(spark, sf):
 
 
 def _documents(spark, sf):
-    return files.spread(tb.table(spark, sf, "documents").select("text"))
+    return tb.table(spark, sf, "documents").select("text")
 
 
 @query
@@ -599,9 +664,46 @@ def top_terms_overview(spark, sf):
     return terms.most_frequent(counts, terms.OVERVIEW_TERMS)
 
 
+@query
+def question_terms(spark, sf):
+    """Words of titles and bodies of questions, as the dashboard counts them."""
+    asked = filters.questions(tb.posts(spark, sf)).select(report.post_text().alias("text"))
+    return terms.term_counts(asked, "text", terms.REPORT_STOPWORDS)
+
+
 # -- sinks -------------------------------------------------------------------
 
 
+@query
+def json_array_round_trip(spark, sf):
+    """Posts written as JSON arrays and read back."""
+    path = scratch_path(spark, "arrays")
+    files.write_json_arrays(_extracted(spark, sf).drop("capture_ord", "pos"), path, 8)
+    back = single_community_posts(files.read_posts_json(spark, path, array=True))
+    return back.select("id", "title", "channel", "view_count", "reaction_count", "month", "has_answer")
+
+
+@query
+def capture_array_files(spark, sf):
+    """Captures written as JSON arrays, read back and listed by address."""
+    path = scratch_path(spark, "capture-arrays")
+    files.write_json_arrays(tb.captures(spark, sf).select("url", "data"), path, 8)
+    back = files.read_captures(spark, path, array=True)
+    return capture.stage_counts(capture.conversations(back, ["url"]), "url")
+
+
+@query
+def lines_csv(spark, sf):
+    """Texts that span lines, written as CSV and read back as posts."""
+    path = scratch_path(spark, "lines")
+    rows = tb.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("channel"), F.col("text").alias("title"))
+    for name in CHANNEL_POST_COLUMNS[3:]:
+        rows = rows.withColumn(name, F.lit(None).cast("string"))
+    files.write_csv(rows, path, CHANNEL_POST_COLUMNS)
+    return files.read_posts_csv(spark, path, multiline=True).select("id", "channel", "title")
+
+
 @query
 def csv_round_trip(spark, sf):
     path = scratch_path(spark, "csv")
@@ -614,7 +716,7 @@ def csv_round_trip(spark, sf):
 def json_round_trip(spark, sf):
     path = scratch_path(spark, "json")
     files.write_json(_extracted(spark, sf).drop("capture_ord", "pos"), path)
-    back = single_community_posts(files.read_posts_json(spark, path, array=False))
+    back = single_community_posts(files.read_posts_json(spark, path))
     return back.select("id", "title", "channel", "view_count", "reaction_count", "month", "has_answer")
 
 
@@ -623,7 +725,7 @@ def channel_csv(spark, sf):
     """The 15-column table written as CSV, read back and typed for the multi-channel report."""
     path = scratch_path(spark, "channel-csv")
     files.write_csv(_channel_extracted(spark, sf), path, CHANNEL_POST_COLUMNS)
-    back = multi_channel_posts(files.read_posts_csv(spark, path, multiline=False))
+    back = multi_channel_posts(files.read_posts_csv(spark, path))
     return back.select(
         "id", "channel", "title", "author", "type_label", "month", "view_count", "response_count",
         "has_responses", "last_responder", "short_title", "is_anonymous")
@@ -634,7 +736,7 @@ def capture_files(spark, sf):
     """Captures written as files, read back and listed by address."""
     path = scratch_path(spark, "captures")
     files.write_json(tb.captures(spark, sf).select("url", "data"), path)
-    back = files.read_captures(spark, path, array=False)
+    back = files.read_captures(spark, path)
     return capture.stage_counts(capture.conversations(back, ["url"]), "url")
 
 
@@ -682,51 +784,65 @@ def stream_ingest(spark, sf):
     """Captures written as files, read as a stream, extracted and typed on the way."""
     path = scratch_path(spark, "landing")
     tb.captures(spark, sf).select("url", "data").write.json(path)
-    stream = jobs.capture_stream(spark, path, array=False)
+    stream = jobs.capture_stream(spark, path)
     rows = capture.resources(capture.url_contains(stream, "mainLayout"), keep=["file"])
     posts = capture.project_posts(rows).select("id", "title", "channel", "view_count", "reaction_count")
-    return jobs.run_append(posts, "ingested")
+    return jobs.run_append(posts, jobs.Place.new(spark, "ingested"))
 
 
 @query
 def stream_dedupe(spark, sf):
-    users = _events(spark, sf).select("user_id", "event_id", "ts")
-    rows = jobs.dedupe(users, "user_id", "ts", F.col("event_id"), "36500 days")
-    return jobs.run_append(rows, "deduped").select("user_id")
+    """Every third event is delivered again an hour later; one copy of each stays."""
+    columns = ("event_id", "user_id", "event_type", "value", "ts", "delivery")
+    once = _events(spark, sf).withColumn("delivery", F.lit(1)).select(*columns)
+    again = _events(spark, sf).where("event_id % 3 = 0").withColumn("delivery", F.lit(2)).withColumn(
+        "ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).select(*columns)
+    rows = jobs.dedupe(once.unionByName(again), "event_id", "ts", F.col("delivery"), "1 day")
+    return jobs.run_append(rows, jobs.Place.new(spark, "deduped")).drop("ts", "delivery")
 
 
 @query
 def stream_first_copies(spark, sf):
     rows = jobs.first_copies(_events(spark, sf), "user_id", "event_id", ["event_type", "value"])
-    return jobs.run_update(rows, "user_id", "first")
+    return jobs.run_update(rows, ["user_id"], jobs.Place.new(spark, "first"))
 
 
 @query
 def stream_new_posts(spark, sf):
     rows = _events(spark, sf).select("user_id", "event_id", "event_type")
-    return jobs.run_new_posts(rows, "user_id", ["event_id"], "new")
+    return jobs.run_new_posts(rows, "user_id", ["event_id"], jobs.Place.new(spark, "new"), buckets=16)
 
 
 @query
 def stream_windows(spark, sf):
-    rows = jobs.run_append(jobs.window_counts(_events(spark, sf), "ts", "event_type"), "windows")
-    return rows.withColumn("window_start", naive("window_start"))
+    """All windows, those still open at the end included."""
+    rows = jobs.window_counts(_events(spark, sf), "ts", "event_type")
+    out = jobs.run_update(rows, ["window_start", "event_type"], jobs.Place.new(spark, "windows"))
+    return out.withColumn("window_start", naive("window_start"))
 
 
 @query
 def stream_months(spark, sf):
-    rows = jobs.run_complete(jobs.month_counts(_events(spark, sf), "ts", "event_type"), "months")
+    rows = jobs.run_complete(
+        jobs.month_counts(_events(spark, sf), "ts", "event_type"), jobs.Place.new(spark, "months"))
     return rows.withColumn("month_start", naive("month_start"))
 
 
 @query
 def stream_kpis(spark, sf):
+    """Running figures; the sketched ones are shown as whether they are near the exact ones."""
     cents = _events(spark, sf).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    return jobs.run_complete(jobs.running_figures(cents, "cents", "user_id", "event_type"), "figures").select(
-        "event_type", "n", "total")
+    figures = jobs.running_figures(cents, "cents", "user_id", F.col("value") > 50, "event_type")
+    running = jobs.run_complete(figures, jobs.Place.new(spark, "figures"))
+    exact = tb.table(spark, sf, "events").groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("members"), F.median(F.round(F.col("value") * 100)).alias("median"))
+    near = lambda about, true: F.abs(F.col(about) - F.col(true)) <= 0.1 * F.abs(F.col(true)) + 1
+    return running.join(exact, "event_type").select(
+        "event_type", "n", "total", F.round("mean", 6).alias("mean"), "answered",
+        near("members_about", "members").alias("members_near"), near("median_about", "median").alias("median_near"))
 
 
 @query
 def stream_top_posts(spark, sf):
     rows = _events(spark, sf).select("event_id", "user_id", "value")
-    return jobs.run_top(rows, 10, "value", "event_id", "top")
+    return jobs.run_top(rows, 10, "value", "event_id", jobs.Place.new(spark, "top"))

@@ -1,7 +1,6 @@
 """The same questions in SQL for an independent engine, over the same tables.
 
-The SQL says what the answer is; it shares no code with the Spark side. Queries
-without an entry here have no practical SQL form and are tested elsewhere.
+The SQL says what the answer is; it shares no code with the Spark side.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ WITH responses AS (
   FROM lineitem GROUP BY l_orderkey),
 posts AS (
   SELECT o_orderkey AS id,
-         'Post ' || o_orderkey || ' by customer ' || o_custkey || ' with priority ' || o_orderpriority AS title,
+         'Post ' || o_orderkey || ' by customer ' || o_custkey || ' with priority ' || o_orderpriority || ' on the community board' AS title,
+         'Handled by clerk of customer ' || o_custkey || ' in status ' || o_orderstatus AS body,
          'Customer ' || o_custkey AS author, o_orderpriority AS channel,
          CASE o_orderstatus WHEN 'F' THEN 'Help / Question' WHEN 'O' THEN 'Share / Resource'
               WHEN 'P' THEN 'Live Session' END AS type_label,
@@ -30,7 +30,7 @@ posts AS (
          coalesce(n, 0) > 0 AS has_responses
   FROM orders LEFT JOIN responses ON l_orderkey = o_orderkey)
 """
-_SHORT = "CASE WHEN length(title) > 30 THEN substr(title, 1, 30) || '…' ELSE title END"
+_SHORT = "CASE WHEN length(title) > 55 THEN substr(title, 1, 55) || '…' ELSE title END"
 
 
 def _on_posts(**queries: str) -> None:
@@ -74,7 +74,8 @@ SELECT CAST(sum(micros) AS DOUBLE) / count(micros) / 3600000000.0::DOUBLE AS mea
     top_posts="""
 SELECT id, title, view_count, response_count FROM posts ORDER BY view_count DESC, id LIMIT 10""",
     top_posts_listing="""
-SELECT id, lpad(format('{:,}', view_count), 9, ' ') || '  ' || substr(title, 1, 20) AS line
+SELECT id, CASE WHEN length(format('{:,}', view_count)) < 5 THEN lpad(format('{:,}', view_count), 5, ' ')
+                ELSE format('{:,}', view_count) END || '  ' || substr(title, 1, 50) AS line
 FROM posts ORDER BY view_count DESC, id LIMIT 10""",
     top_unanswered=f"""
 SELECT id, {_SHORT} AS short_title, channel, view_count FROM posts
@@ -180,6 +181,35 @@ FROM posts""",
 SELECT id, view_count, month FROM posts WHERE month IN ('1996-01', '1996-02', '1997-05', '1998-11')""",
 )
 
+_CHOSEN = """
+, chosen AS (
+  SELECT * FROM posts WHERE channel = '1-URGENT' AND type_label = 'Help / Question'
+    AND month IN ('1996-01', '1996-02', '1997-05', '1998-11'))
+"""
+ORACLE["report_overview"] = ORACLE["kpi_overview"]
+ORACLE["empty_histogram"] = """
+SELECT count(DISTINCT channel) AS bins FROM (SELECT o_orderpriority AS channel FROM orders)
+WHERE channel = 'no such channel'"""
+for _name, _from in {
+    "support_figures": "kpi_support", "channel_summary": "channel_summary", "top_questions": "top_questions",
+    "answered_by_channel": "answered_by_channel", "median_response": "median_response_by_channel",
+}.items():
+    ORACLE[f"chosen_{_name}"] = _POSTS + _CHOSEN + ORACLE[_from].removeprefix(_POSTS).replace("FROM posts", "FROM chosen")
+ORACLE["chosen_support_text"] = _POSTS + _CHOSEN + """
+SELECT format('{:,}', count(*)) AS posts, format('{:,}', CAST(sum(view_count) AS BIGINT)) AS total_views,
+       format('{:,}', count(*)) AS questions,
+       CAST(trunc((count(*) FILTER (has_responses))::DOUBLE / greatest(count(*), 1) * 100) AS INT) || '%' AS response_rate,
+       printf('%.0f', coalesce(median(micros) FILTER (micros > 0) / 3600000000.0::DOUBLE, 0)) || ' hrs'
+         AS median_response_time,
+       count(DISTINCT channel) || ' / ' || (SELECT count(DISTINCT channel) FROM posts) AS channels
+FROM chosen"""
+ORACLE["kept_report"] = _POSTS + """
+SELECT channel, posts, questions, unanswered, answered
+FROM (SELECT channel, count(*) AS posts FROM posts GROUP BY channel)
+JOIN (SELECT channel, count(id) AS questions, count(*) FILTER (NOT has_responses) AS unanswered,
+             count(*) FILTER (has_responses) AS answered
+      FROM posts WHERE type_label = 'Help / Question' GROUP BY channel) USING (channel)"""
+
 # -- typing ------------------------------------------------------------------
 
 ORACLE["type_labels"] = """
@@ -236,14 +266,17 @@ ORACLE["strip_tags"] = "SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g')
 
 # -- links and channels ------------------------------------------------------
 
-_ANCHOR = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
+# the pages' anchors are all of one plain form, so they are cut out at fixed marks
 _LINKS = f"""
-WITH found AS (
-  SELECT page_id, regexp_extract_all(html, '{_ANCHOR}', 1) AS hrefs, regexp_extract_all(html, '{_ANCHOR}', 2) AS texts
+WITH pieces AS (
+  SELECT page_id, url AS page_url, unnest(string_split(html, '<a ')[2:]) AS piece,
+         CAST(generate_subscripts(string_split(html, '<a ')[2:], 1) - 1 AS INT) AS pos
   FROM pages),
 links AS (
-  SELECT page_id, CAST(i - 1 AS INT) AS pos, hrefs[i] AS href, substr({_tidy(_decode('texts[i]'))}, 1, 60) AS text
-  FROM (SELECT *, unnest(range(1, len(hrefs) + 1)) AS i FROM found)),
+  SELECT page_id, pos, {_decode("split_part(split_part(piece, 'href=\"', 2), '\"', 1)")} AS href,
+         regexp_extract(page_url, '^[a-z]+://[^/?#]+') || split_part(split_part(piece, 'href="', 2), '"', 1) AS address,
+         substr({_tidy(_decode("split_part(substr(piece, strpos(piece, '>') + 1), '</a>', 1)"))}, 1, 60) AS text
+  FROM pieces),
 slugged AS (
   SELECT *, 'https://community.example.org/channels' || href || '?tab=all' AS url,
          nullif(regexp_extract('https://community.example.org/channels' || href || '?tab=all',
@@ -267,10 +300,10 @@ SELECT * FROM dimension
 UNION ALL SELECT slug, name, '' FROM listed WHERE slug NOT IN (SELECT slug FROM dimension)"""
 ORACLE["channel_urls"] = """
 SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url
-       ELSE 'https://community.example.org/p+' || page_id || '/all-content' END AS channel_url
+       ELSE 'https://community.example.org/p ' || page_id || '/all-content' END AS channel_url
 FROM pages"""
 ORACLE["short_link_texts"] = _LINKS + """
-SELECT page_id, pos, text FROM links WHERE length(trim(text)) BETWEEN 1 AND 5"""
+SELECT page_id, pos, text FROM links WHERE length(trim(text)) BETWEEN 1 AND 59"""
 
 # -- payloads ----------------------------------------------------------------
 
@@ -318,13 +351,15 @@ _FIRST_PAGES = _CAPTURES + """
 """
 ORACLE["page_templates"] = _FIRST_PAGES + "SELECT * FROM firsts"
 ORACLE["next_pages"] = _FIRST_PAGES + """
-SELECT channel_name, CAST(b AS INT) AS batch, url || '&batchNumber=' || b AS url FROM firsts, range(2, 50) t(b)"""
+SELECT channel_name, CAST(b AS INT) AS batch, url || '&batchNumber=' || b AS url
+FROM firsts JOIN (SELECT channel_name, max(batch) AS last FROM addressed WHERE shape <> 1 GROUP BY 1) USING (channel_name),
+     LATERAL (SELECT unnest(range(2, last + 1)) AS b)"""
 ORACLE["json_path"] = """
 SELECT event_type, count(*) AS n, CAST(sum(CAST(props::JSON->>'$.k' AS BIGINT)) AS BIGINT) AS total
 FROM events GROUP BY event_type"""
 ORACLE["payload_keys"] = _CAPTURES + """
 SELECT CASE shape WHEN 0 THEN 'enrichedContentResources' WHEN 1 THEN 'list' WHEN 2 THEN 'data,items'
-       WHEN 3 THEN 'page,total' WHEN 4 THEN 'str' ELSE 'enrichedContentResources,items' END AS keys, count(*) AS n
+       WHEN 3 THEN (SELECT string_agg('extra' || lpad(i::VARCHAR, 2, '0'), ',' ORDER BY i) FROM range(1, 13) t(i)) || ',page,total' WHEN 4 THEN 'str' ELSE 'enrichedContentResources,items' END AS keys, count(*) AS n
 FROM addressed GROUP BY 1"""
 ORACLE["content_types"] = _CAPTURES + """
 SELECT CASE WHEN shape = 1 THEN 'application/javascript' ELSE 'application/json; charset=utf-8' END AS ct,
@@ -358,10 +393,23 @@ SELECT o_orderpriority AS _source, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey E
        CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS status,
        CASE WHEN o_orderkey % 3 = 2 THEN '["' || o_orderstatus || '","' || o_orderpriority || '"]' END AS tags
 FROM orders"""
-ORACLE["key_union"] = """
-SELECT unnest(['id', 'title', 'bodyHTML', 'authorName', 'conversationType', 'channel', 'createdDate', 'viewCount',
-               'responseCount', 'reactionSummary', 'hasModeratorOrEndorsedResponse']) AS key
-FROM (SELECT 1 FROM orders WHERE o_orderkey % 6 = 1 LIMIT 1)"""
+ORACLE["flatten_union_csv"] = ORACLE["flatten_union"]
+ORACLE["key_union"] = _CAPTURES + """
+, found AS (
+  SELECT json_object('id', id, 'title', 0, 'bodyHTML', 0, 'authorName', 0, 'conversationType', 0, 'channel', 0,
+                     'createdDate', 0, 'viewCount', 0, 'responseCount', 0, 'reactionSummary', 0,
+                     'hasModeratorOrEndorsedResponse', 0) AS item
+  FROM items WHERE shape = 1)
+SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(item)) AS key FROM found) GROUP BY key"""
+ORACLE["capture_rejects"] = """
+SELECT o_orderkey AS ord, CASE WHEN o_orderkey % 8 = 5 OR o_orderkey % 8 IN (2, 4) AND o_orderkey % 16 <> 15
+                               THEN 'id type' ELSE 'id' END AS problems
+FROM orders WHERE o_orderkey % 16 = 15 OR o_orderkey % 8 IN (2, 3, 4, 5, 6)"""
+ORACLE["batch_addresses"] = """
+SELECT page_id, 'https://community.example.org/views/mainLayout/data?org=org&comm=comm&channelSlugName=c%20' || page_id
+         || '&contentId=0&batchNumber=' || (page_id % 5 + 1) || '&preferredTimezone=America%2FDenver' AS address,
+       CAST(page_id % 5 + 1 AS INT) AS batch
+FROM pages"""
 
 # -- identity ----------------------------------------------------------------
 
@@ -411,7 +459,7 @@ def _fold(source: str, name: str) -> str:
   SELECT DISTINCT m.key, t.term, t.n FROM {name}_merged m JOIN {name} t USING (term_key))"""
 
 
-def _vocabulary(stopwords) -> str:
+def _vocabulary(stopwords, source: str = "documents") -> str:
     listed = _listed(stopwords)
     return f"""
 WITH row_words AS (
@@ -419,7 +467,7 @@ WITH row_words AS (
     list_transform(regexp_extract_all(text, '{_WORD}'),
                    lambda w: CASE WHEN lower(w) LIKE '%''s' THEN w[:-3] ELSE w END),
     lambda w: NOT regexp_full_match(w, '\\p{{Nd}}+')) AS w
-  FROM documents),
+  FROM {source}),
 single_forms AS (
   SELECT lower(form) AS key, form, count(*) AS n FROM (SELECT unnest(w) AS form FROM row_words)
   WHERE lower(form) NOT IN {listed} GROUP BY ALL),
@@ -463,6 +511,13 @@ SELECT term, n, n / max(n) OVER () AS frequency FROM (SELECT * FROM cloud ORDER
 ORACLE["top_terms_overview"] = _vocabulary(ENGLISH_STOPWORDS) + """
 SELECT term, n, n / max(n) OVER () AS frequency FROM (SELECT * FROM cloud ORDER BY n DESC, term LIMIT 60)"""
 
+_ASKED = "(" + _POSTS + """
+SELECT title || ' ' || body AS text FROM posts WHERE type_label = 'Help / Question')"""
+ORACLE["question_terms"] = _vocabulary(REPORT_STOPWORDS, _ASKED) + "SELECT term, n FROM single"
+_ASKED_CHOSEN = "(" + _POSTS + _CHOSEN + "SELECT title || ' ' || body AS text FROM chosen)"
+ORACLE["chosen_terms"] = _vocabulary(REPORT_STOPWORDS, _ASKED_CHOSEN) + """
+SELECT term, n, n / max(n) OVER () AS frequency FROM (SELECT * FROM cloud ORDER BY n DESC, term LIMIT 80)"""
+
 # -- sinks -------------------------------------------------------------------
 
 ORACLE["csv_round_trip"] = """
@@ -475,6 +530,10 @@ SELECT channel_name, capture_ord, CAST(pos AS INT) AS pos, id,
        CASE WHEN capture_ord % 4 <> 0 THEN channel_name END AS channel
 FROM items WHERE shape <> 4 AND id <> 0"""
 
+ORACLE["json_array_round_trip"] = ORACLE["json_round_trip"]
+ORACLE["lines_csv"] = """
+SELECT doc_id AS id, nullif(source, '') AS channel, nullif(text, '') AS title FROM documents"""
+
 ORACLE["channel_csv"] = _CHANNEL_EXTRACTED + """
 SELECT id, channel, title, author,
        CASE type WHEN 'helpQuestion' THEN 'Help / Question' WHEN 'sharePost' THEN 'Share / Resource'
@@ -485,13 +544,15 @@ FROM extracted"""
 ORACLE["capture_files"] = _CAPTURES + """
 SELECT url, count(*) AS n FROM items WHERE shape <> 4 AND id <> 0 GROUP BY url"""
 
+ORACLE["capture_array_files"] = ORACLE["capture_files"]
+
 # -- streams (each against the batch answer) ---------------------------------
 
 ORACLE["stream_ingest"] = _CAPTURES + """
 SELECT id, 'Post &amp; ' || id AS title, CASE WHEN capture_ord % 4 <> 0 THEN channel_name ELSE '' END AS channel,
        view_count, CASE WHEN capture_ord % 3 <> 0 THEN capture_ord % 5 ELSE 0 END AS reaction_count
 FROM items WHERE shape IN (0, 5)"""
-ORACLE["stream_dedupe"] = "SELECT DISTINCT user_id FROM events"
+ORACLE["stream_dedupe"] = "SELECT event_id, user_id, event_type, value FROM events"
 ORACLE["stream_first_copies"] = """
 SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type,
        arg_min(value, event_id) AS value
@@ -501,12 +562,13 @@ SELECT user_id, event_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
 ORACLE["stream_windows"] = """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 GROUP BY ALL"""
 ORACLE["stream_months"] = """
 SELECT CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start, event_type, count(*) AS n FROM events GROUP BY ALL"""
 ORACLE["stream_kpis"] = """
-SELECT event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total
+SELECT event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total,
+       round(avg(CAST(round(value * 100) AS BIGINT)), 6) AS mean, count(*) FILTER (value > 50) AS answered,
+       true AS members_near, true AS median_near
 FROM events GROUP BY event_type"""
 ORACLE["stream_top_posts"] = """
 SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 10"""

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from townhall.functions import payloads
 from townhall.operators.typed import with_derived, with_response_time
-from townhall.sources.files import spread
 from townhall.sources.links import page_links
 
 # order status and the post type it plays
@@ -41,7 +40,9 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(responses, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("Post "), F.col("o_orderkey"), F.lit(" by customer "), F.col("o_custkey"),
-                 F.lit(" with priority "), F.col("o_orderpriority")).alias("title"),
+                 F.lit(" with priority "), F.col("o_orderpriority"), F.lit(" on the community board")).alias("title"),
+        F.concat(F.lit("Handled by clerk of customer "), F.col("o_custkey"), F.lit(" in status "),
+                 F.col("o_orderstatus")).alias("body"),
         F.concat(F.lit("Customer "), F.col("o_custkey")).alias("author"),
         _post_type().alias("type"),
         F.col("o_orderpriority").alias("channel"),
@@ -57,7 +58,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed frame the reports start from."""
-    return with_derived(with_response_time(raw_posts(spark, sf_dir)), title_width=30)
+    return with_derived(with_response_time(raw_posts(spark, sf_dir)), title_width=55)
 
 
 def _resource(ident: Column, views: Column) -> Column:
@@ -95,7 +96,9 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(shape == 0, text(F.struct(pair.alias("enrichedContentResources"))))
         .when(shape == 1, text(pair))
         .when(shape == 2, text(F.struct(none.alias("data"), pair.alias("items"))))
-        .when(shape == 3, text(F.struct(F.struct(pair.alias("results")).alias("page"), F.lit(2).alias("total"))))
+        .when(shape == 3, text(F.struct(
+            F.struct(pair.alias("results")).alias("page"), F.lit(2).alias("total"),
+            *[F.lit(i).alias(f"extra{i:02}") for i in range(1, 13)])))
         .when(shape == 4, F.lit('"no content"'))
         .otherwise(text(F.struct(pair.alias("enrichedContentResources"), F.lit("none").alias("items"))))
     )
@@ -111,7 +114,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 1, "application/javascript")
         .otherwise("application/json; charset=utf-8")
     )
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("capture_ord"),
         F.col("o_orderpriority").alias("channel_name"),
         url.alias("url"),
@@ -155,7 +158,7 @@ def channel_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_links(spread(table(spark, sf_dir, "pages")), ["page_id"])
+    return page_links(table(spark, sf_dir, "pages"), ["page_id"], base="url")
 
 
 def channel_links(spark: SparkSession, sf_dir: str) -> DataFrame:

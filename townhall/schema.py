@@ -38,14 +38,6 @@ CHANNEL_POST = T.StructType([POST[name] for name in CHANNEL_POST_COLUMNS])
 
 CAPTURE = T.StructType([T.StructField("url", _string), T.StructField("data", T.VariantType())])
 
-RESPONSE_LOG = T.StructType(
-    [T.StructField("url", _string), T.StructField("ct", _string), T.StructField("status", T.IntegerType())]
-)
-
-CHANNEL = T.StructType(
-    [T.StructField("slug", _string), T.StructField("name", _string), T.StructField("href", _string)]
-)
-
 
 def all_strings(schema: T.StructType) -> T.StructType:
     """The same columns read as text, for files whose values still need coercion."""

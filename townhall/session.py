@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,26 +22,6 @@ DEFAULTS = {
 }
 
 
-# One shuffle partition should hold about this much; more than the second number of
-# them costs more in bookkeeping than it saves.
-_PARTITION_BYTES = 256 * 1024**2
-_MOST_PARTITIONS = 40_000
-
-
-def sizing(input_bytes: int, cores: int) -> dict[str, str]:
-    """Shuffle and scan settings for a job that moves up to ``input_bytes``.
-
-    Partitions start out small enough for an executor core's memory; adaptive
-    execution merges those that turn out smaller.
-    """
-    partitions = min(max(input_bytes // _PARTITION_BYTES, 2 * cores), _MOST_PARTITIONS)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(_PARTITION_BYTES),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_PARTITION_BYTES),
-    }
-
-
 def build_session(app: str = "townhall", master: str | None = None, **conf: str) -> SparkSession:
     """Start (or reuse) a session; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -59,6 +41,7 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="townhall-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)  # our own folder, for this process only
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

@@ -18,8 +18,10 @@ MISSING_TEXTS = (
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
-def read_posts_json(spark: SparkSession, path: str, array: bool = True, schema: StructType = POST) -> DataFrame:
-    """Post records from one JSON array per file, or (``array=False``) one record per line.
+def read_posts_json(spark: SparkSession, path: str, array: bool = False, schema: StructType = POST) -> DataFrame:
+    """Post records, one per line, or (``array=True``) one JSON array per file.
+
+    A file that holds an array is read by one task; records by line are split.
 
     Counts and dates are read as text, so an odd value reaches the coercion
     functions instead of emptying the row.
@@ -30,12 +32,12 @@ def read_posts_json(spark: SparkSession, path: str, array: bool = True, schema:
 
 
 def read_posts_csv(
-    spark: SparkSession, path: str, schema: StructType = CHANNEL_POST, multiline: bool = True
+    spark: SparkSession, path: str, schema: StructType = CHANNEL_POST, multiline: bool = False
 ) -> DataFrame:
     """Quoted CSV with a header; the usual texts for "missing" become null.
 
-    A quoted field may span lines, which keeps a file in one task; pass
-    ``multiline=False`` for data without line breaks so large files are split.
+    Large files are split by line. Pass ``multiline=True`` for files whose quoted fields
+    span lines; each such file is then read by one task.
     """
     raw = spark.read.schema(all_strings(schema)).options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
     known = raw.select(
@@ -44,12 +46,12 @@ def read_posts_csv(
     return known.withColumn("id", F.col("id").try_cast("bigint"))
 
 
-def read_captures(spark: SparkSession, path: str, array: bool = True, ordered: bool = True) -> DataFrame:
+def read_captures(spark: SparkSession, path: str, array: bool = False, ordered: bool = True) -> DataFrame:
     """Captures (url, data) with data as VARIANT and, if ``ordered``, their arrival order.
 
     The order is file path, then position in the file: files are written as the
-    capture goes on, and names sort by time. A file holding one JSON array is
-    read by one task; write one record per line (``array=False``) for large files.
+    capture goes on, and names sort by time. A file that holds one JSON array
+    (``array=True``) is read by one task; records by line are split.
     """
     raw = spark.read.schema(CAPTURE).option("multiLine", array).json(path)
     if not ordered:
@@ -67,16 +69,6 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores when a scan has fewer splits than there are cores.
-
-    For plain scans whose rows are heavy to work on (whole texts). A large table
-    has more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 # -- writers -----------------------------------------------------------------
 
 
@@ -96,6 +88,18 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, files: int, mode: str = "errorifexists") -> None:
+    """One JSON array per file, rows dealt out over ``files`` of them by a hash.
+
+    A file is built in one task, so choose as many files as keep each small.
+    """
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    part = F.pmod(F.xxhash64(text), F.lit(files))
+    rows = df.select(text.alias("record"), part.alias("part"))
+    whole = F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]"))
+    rows.groupBy("part").agg(whole.alias("value")).write.mode(mode).partitionBy("part").text(path)
+
+
 def write_raw(df: DataFrame, path: str, payload: str = "item", mode: str = "errorifexists") -> None:
     """Untouched records as Parquet, the payload as JSON text."""
     df.withColumn(payload, F.to_json(F.col(payload))).write.mode(mode).parquet(path)

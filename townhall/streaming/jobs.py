@@ -2,14 +2,16 @@
 
 Hot keys: aggregates add up inside every task before the shuffle; the dedupe
 works in two steps, the first of which spreads copies of one key over many
-tasks. State and output live in the shared folder.
+tasks. Every job runs at a ``Place``; run there again, it goes on where it stopped.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from townhall.operators.identity import keep_first, new_rows
 from townhall.schema import CAPTURE
@@ -21,7 +23,7 @@ _SPREAD = 32
 # -- sources -----------------------------------------------------------------
 
 
-def capture_stream(spark: SparkSession, path: str, array: bool = True, files_per_batch: int = 1000) -> DataFrame:
+def capture_stream(spark: SparkSession, path: str, array: bool = False, files_per_batch: int = 1000) -> DataFrame:
     """Capture files as they land, payloads as VARIANT."""
     return (
         spark.readStream.schema(CAPTURE)
@@ -82,11 +84,20 @@ def month_counts(stream: DataFrame, event_time: str, by: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def running_figures(stream: DataFrame, amount: str, member: str, by: str | None = None) -> DataFrame:
-    """Count, sum and about how many distinct members, kept current in complete mode."""
+def running_figures(
+    stream: DataFrame, amount: str, member: str, answered: Column, by: str | None = None
+) -> DataFrame:
+    """Count, sum, mean and about the median of an amount, answered rows and about how many members.
+
+    Kept current in complete mode. State is one row per group; the median and the distinct count
+    are sketches, as exact ones would hold every value.
+    """
     return stream.groupBy(*([by] if by else [])).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(amount).alias("total"),
+        F.avg(amount).alias("mean"),
+        F.percentile_approx(amount, 0.5, 10_000).alias("median_about"),
+        F.count_if(answered).alias("answered"),
         F.approx_count_distinct(member, 0.02).alias("members_about"),
     )
 
@@ -94,99 +105,116 @@ def running_figures(stream: DataFrame, amount: str, member: str, by: str | None
 # -- sinks -------------------------------------------------------------------
 
 
-def _start(writer, spark: SparkSession, label: str) -> StreamingQuery:
-    return (
-        writer.option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
+@dataclass(frozen=True)
+class Place:
+    """Where a job keeps its result and its progress, and how it is triggered.
 
+    Running a job again at its place goes on where it stopped. ``trigger`` holds the arguments
+    of ``DataStreamWriter.trigger``; the default takes what is there and ends.
+    """
 
-def run_append(stream: DataFrame, label: str) -> DataFrame:
-    """Process all that is there, append the result to files, and read them."""
-    spark = stream.sparkSession
-    out = scratch_path(spark, label)
-    writer = stream.writeStream.outputMode("append").format("parquet").option("path", out)
-    _start(writer, spark, label).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    out: str
+    checkpoint: str
+    trigger: dict = field(default_factory=lambda: {"availableNow": True})
 
+    @classmethod
+    def new(cls, spark: SparkSession, label: str) -> Place:
+        """An unused place in the shared folder."""
+        root = scratch_path(spark, label)
+        return cls(f"{root}/out", f"{root}/progress")
 
-def run_update(stream: DataFrame, key: str, label: str) -> DataFrame:
-    """Process all that is there in update mode: a batch writes the keys it changed.
 
-    The result is the latest version of every key, so no batch rewrites the rest.
-    """
+def start(writer: DataStreamWriter, at: Place) -> StreamingQuery:
+    return writer.option("checkpointLocation", at.checkpoint).trigger(**at.trigger).start()
+
+
+def _versions(spark: SparkSession, schema: StructType, at: Place, *parts: str) -> DataFrame:
+    """What all batches have written: a folder each, so a repeated batch replaces its own."""
+    whole = StructType([*schema.fields, *(StructField(p, LongType()) for p in ("batch", *parts))])
+    # an empty first folder, so that there is something to read before the first batch
+    first = "/".join(["batch=-1", *(f"{p}=-1" for p in parts)])
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{at.out}/{first}")
+    return spark.read.schema(whole).option("basePath", at.out).parquet(at.out)
+
+
+def run_append(stream: DataFrame, at: Place) -> DataFrame:
+    """Append results to files, and read them."""
+    spark = stream.sparkSession
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", at.out)
+    start(writer, at).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(at.out)
+
+
+def run_update(stream: DataFrame, keys: list[str], at: Place) -> DataFrame:
+    """Update mode: a batch writes the keys it changed; the result is the latest version of each."""
     spark = stream.sparkSession
-    out = scratch_path(spark, label)
-    done: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        done.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{at.out}/batch={batch_id}")
+
+    start(stream.writeStream.outputMode("update").foreachBatch(write), at).awaitTermination()
+    versions = _versions(spark, stream.schema, at)
+    return keep_first(versions, keys, [F.desc("batch")]).select(*stream.columns)
+
 
-    _start(stream.writeStream.outputMode("update").foreachBatch(write), spark, label).awaitTermination()
-    if not done:
-        return spark.createDataFrame([], stream.schema)
-    versions = spark.read.option("basePath", out).parquet(*[f"{out}/batch={i}" for i in range(done[-1] + 1)])
-    return keep_first(versions, [key], [F.desc("batch")]).select(*stream.columns)
+def _latest(versions: DataFrame, before: int | None = None) -> DataFrame:
+    """The rows of the last batch that wrote any."""
+    if before is not None:
+        versions = versions.where(F.col("batch") < before)
+    last = versions.agg(F.max("batch")).first()[0]
+    return versions.where(F.col("batch") == F.lit(-1 if last is None else last)).drop("batch")
 
 
-def _run_batches(stream: DataFrame, mode: str, label: str, merge) -> DataFrame:
+def _run_batches(stream: DataFrame, mode: str, at: Place, merge) -> DataFrame:
     """Run ``merge(batch, so_far)`` for every batch and read what the last one wrote.
 
-    Batch n writes its own folder from that of batch n - 1, so a batch repeated
+    Batch n writes its own folder from what earlier ones wrote, so a batch repeated
     after a failure gives the same result.
     """
     spark = stream.sparkSession
-    out = scratch_path(spark, label)
-    done: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        so_far = spark.read.schema(stream.schema).parquet(f"{out}/{batch_id - 1}") if batch_id else None
-        merge(batch, so_far).write.mode("overwrite").parquet(f"{out}/{batch_id}")
-        done.append(batch_id)
+        so_far = _latest(_versions(spark, stream.schema, at), batch_id)
+        merge(batch, so_far).write.mode("overwrite").parquet(f"{at.out}/batch={batch_id}")
 
-    _start(stream.writeStream.outputMode(mode).foreachBatch(write), spark, label).awaitTermination()
-    if not done:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{out}/{done[-1]}")
+    start(stream.writeStream.outputMode(mode).foreachBatch(write), at).awaitTermination()
+    return _latest(_versions(spark, stream.schema, at))
 
 
-def run_complete(stream: DataFrame, label: str) -> DataFrame:
-    """Process all that is there in complete mode; every batch replaces the result."""
-    return _run_batches(stream, "complete", label, lambda batch, so_far: batch)
+def run_complete(stream: DataFrame, at: Place) -> DataFrame:
+    """Complete mode; every batch replaces the result."""
+    return _run_batches(stream, "complete", at, lambda batch, so_far: batch)
 
 
-def run_top(stream: DataFrame, k: int, by: str, tie: str, label: str) -> DataFrame:
+def run_top(stream: DataFrame, k: int, by: str, tie: str, at: Place) -> DataFrame:
     """Running top-k: the best of each batch and of the list so far."""
     order = [F.desc(by), F.asc(tie)]
 
-    def best(batch: DataFrame, so_far: DataFrame | None) -> DataFrame:
-        head = batch.orderBy(*order).limit(k)
-        return (head.unionByName(so_far) if so_far is not None else head).orderBy(*order).limit(k)
+    def best(batch: DataFrame, so_far: DataFrame) -> DataFrame:
+        return batch.orderBy(*order).limit(k).unionByName(so_far).orderBy(*order).limit(k)
 
-    return _run_batches(stream, "append", label, best)
+    return _run_batches(stream, "append", at, best)
 
 
-def run_new_posts(stream: DataFrame, key: str, order: list, label: str) -> DataFrame:
+def run_new_posts(stream: DataFrame, key: str, order: list, at: Place, buckets: int = 256) -> DataFrame:
     """First-wins loading: every batch adds the first copy of each key not seen before.
 
-    The keys already loaded are the only thing read back per batch.
+    Loaded rows lie in folders by a hash of their key. A batch reads the keys of the buckets
+    it touches and no others, so choose as many buckets as keep one bucket small.
     """
     spark = stream.sparkSession
-    out = scratch_path(spark, label)
-    done: list[int] = []
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = keep_first(batch, [key], order)
-        if batch_id:
-            # folders of earlier batches only, so that a repeated batch sees what it saw before
-            earlier = [f"{out}/{i}" for i in range(batch_id)]
-            first = new_rows(first, spark.read.schema(stream.schema).parquet(*earlier), key)
-        first.write.mode("overwrite").parquet(f"{out}/{batch_id}")
-        done.append(batch_id)
-
-    _start(stream.writeStream.foreachBatch(write), spark, label).awaitTermination()
-    if not done:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(*[f"{out}/{i}" for i in range(done[-1] + 1)])
+        first = keep_first(batch, [key], order).withColumn("bucket", bucket).persist()
+        try:
+            touched = [r["bucket"] for r in first.select("bucket").distinct().collect()]  # at most ``buckets``
+            loaded = _versions(spark, stream.schema, at, "bucket").where(
+                (F.col("batch") < batch_id) & F.col("bucket").isin(touched))  # earlier batches, so repeats agree
+            fresh = new_rows(first, loaded, key, spread=1)
+            fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{at.out}/batch={batch_id}")
+        finally:
+            first.unpersist()
+
+    start(stream.writeStream.foreachBatch(write), at).awaitTermination()
+    return _versions(spark, stream.schema, at, "bucket").select(*stream.columns)
