@@ -1,8 +1,8 @@
 """Byte-pair encoding and decoding with the tokenizers library, exact for texts of any length.
 
 White space followed by other characters is a chunk; the pre-tokenizer never joins characters
-across the end of a chunk, so a text's ids are those of its chunks in turn. Chunks recur, so each
-task encodes (and decodes) a distinct chunk once. The memory of the chunks is bounded by entries.
+across the end of a chunk, so a text's ids are those of its chunks in turn. Chunks recur, so a task
+encodes (and decodes) a chunk it has met lately once. That memory is bounded by entries.
 
 A stretch that the pre-tokenizer leaves unsplit can be as long as a text. Such stretches are cut
 into leaves that are encoded as rows of their own, in parallel. Neighbours are then joined in a
@@ -21,25 +21,28 @@ import re
 from collections.abc import Callable, Iterator
 from functools import partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from townhall.llm.frames import id_and_text
+from townhall.session import settle
 
 UNSPLIT = 4096  # characters; longer stretches are cut into leaves of half this or less
 CACHE_ENTRIES = 300_000
 
 # fixed values: the characters that Unicode calls white space
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACES = frozenset(re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), SPACE))
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-_LOADED: dict[str, object] = {}
+LOADED: dict = {}
 
 
 def tokenizer(path: str):
     """One per worker process and file; without threads of its own, as Spark has the cores."""
-    if path not in _LOADED:
+    if path not in LOADED:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,68 +51,125 @@ def tokenizer(path: str):
         made = Tokenizer.from_file(path)
         made.no_truncation()
         made.no_padding()
-        _LOADED[path] = made
-    return _LOADED[path]
+        LOADED[path] = made
+    return LOADED[path]
 
 
 class ChunkCache:
-    """What a function makes of a distinct chunk, for many texts; emptied when it is full."""
+    """What a function makes of distinct chunks, for many texts.
+
+    Two generations: when the young one is full it becomes the old one, and what is used again
+    comes back, so frequent chunks stay and memory holds at most twice ``entries``.
+    """
 
     def __init__(self, make: Callable[[list[str]], list], entries: int = CACHE_ENTRIES):
-        self._make, self._entries, self.known = make, entries, {}
+        self._make, self._entries, self._young, self._old = make, entries, {}, {}
 
     def of(self, chunks: list[str]) -> list:
-        try:
-            return [*map(self.known.__getitem__, chunks)]
-        except KeyError:
-            new = [*dict.fromkeys(c for c in chunks if c not in self.known)]
-            if len(self.known) + len(new) > self._entries:
-                self.known.clear()
-                new = [*dict.fromkeys(chunks)]
-            self.known.update(zip(new, self._make(new)))
-            return [*map(self.known.__getitem__, chunks)]
+        young, old = self._young, self._old
+        missing = sorted(set(chunks).difference(young))
+        if missing:
+            new = [c for c in missing if c not in old]
+            young.update((c, old[c]) for c in missing if c in old)
+            young.update(zip(new, self._make(new)))
+        found = [*map(young.__getitem__, chunks)]
+        if len(young) > self._entries:
+            self._old, self._young = young, {}
+        return found
 
 
 def _joined(ids: list[int]) -> str:
     return ",".join(map(str, ids))
 
 
-def _encode_rows(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model = tokenizer(path)
-    changed: set[str] = set()  # chunks that do not come back as they were
-
-    def make(chunks: list[str]) -> list[str]:
-        found = [e.ids for e in model.encode_batch(chunks, add_special_tokens=False)]
-        for chunk, ids, back in zip(chunks, found, model.decode_batch(found, skip_special_tokens=False)):
-            if back != chunk:
-                changed.add(chunk)
-        return [_joined(ids) for ids in found]
-
-    cache = ChunkCache(make)
+def _token_bytes(model) -> np.ndarray:
+    """Bytes that each token stands for. A byte is one letter in this vocabulary; special tokens are text."""
+    special = {k: t.content for k, t in model.get_added_tokens_decoder().items()}
+    widths = np.zeros(model.get_vocab_size(), np.int64)
+    for letters, k in model.get_vocab().items():
+        widths[k] = len(special[k].encode()) if k in special else len(letters)
+    return widths
+
+
+class _Coder:
+    """Ids of chunks as written text, and whether any chunk does not come back as it was."""
+
+    def __init__(self, path: str):
+        self.model = tokenizer(path)
+        self.changed: set[str] = set()
+        self._widths = _token_bytes(self.model)
+        self.cache = ChunkCache(self._make)
+
+    def _make(self, chunks: list[str]) -> list[str]:
+        # chunks that begin with a gap and do not end with one are encoded as one text and cut
+        # apart by the bytes of the tokens; the others one by one
+        run = [c for c in chunks if c[0] in _SPACES and c[-1] not in _SPACES]
+        text = "".join(run)
+        ids = self.model.encode(text, add_special_tokens=False).ids
+        known: dict[str, str] = {}
+        if self.model.decode(ids, skip_special_tokens=False) == text:
+            ends = np.cumsum([len(c.encode()) for c in run])
+            cuts = (np.searchsorted(np.cumsum(self._widths[ids]), ends) + 1).tolist() if run else []
+            names = [*map(str, ids)]
+            known = {c: ",".join(names[i:j]) for c, i, j in zip(run, [0, *cuts], cuts)}
+        alone = [c for c in chunks if c not in known]
+        found = [e.ids for e in self.model.encode_batch(alone, add_special_tokens=False)]
+        for chunk, own, out in zip(alone, found, self.model.decode_batch(found, skip_special_tokens=False)):
+            known[chunk] = _joined(own)
+            if out != chunk:
+                self.changed.add(chunk)
+        return [known[c] for c in chunks]
+
+
+# fixed values: the pre-tokenizer's own pattern, for text of ASCII and the letters of Latin-1
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN_PIECE = re.compile(
+    rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \n\r\t{_LETTERS}0-9]+|[ \n\r\t]+(?![^ \n\r\t])|[ \n\r\t]+"
+)
+_PLAIN = bytes([9, 10, 13, *range(32, 127), *(c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))])
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text has only ASCII and letters of Latin-1, and nothing like a special token."""
+    try:
+        return "<|" not in text and not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
+def _encode_rows(path: str, unsplit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of each text; a text with a chunk that may hold a long stretch is handed on as it is.
+
+    Plain texts are cut by the pre-tokenizer's own pattern, others into chunks.
+    """
+    if ("coder", path) not in LOADED:  # kept between the tasks of a worker
+        LOADED["coder", path] = _Coder(path)
+    coder = LOADED["coder", path]
     for batch in batches:
-        counts, digests, decoded = [], [], []
+        counts, digests, decoded, handed = [], [], [], []
         for text in batch.column("text"):
             text = text.as_py()
-            chunks = CHUNK.findall(text)
-            written = ",".join(filter(None, cache.of(chunks)))
+            chunks = _PLAIN_PIECE.findall(text) if is_plain(text) else CHUNK.findall(text)
+            if len(text) > unsplit and max(map(len, chunks)) > unsplit:
+                for out, value in ((counts, None), (digests, None), (decoded, None), (handed, text)):
+                    out.append(value)
+                continue
+            written = ",".join(coder.cache.of(chunks))
             back = text
-            if not changed.isdisjoint(chunks):
-                back = model.decode([*map(int, written.split(","))], skip_special_tokens=False) if written else ""
+            if coder.changed and not coder.changed.isdisjoint(chunks):
+                ids = [*map(int, written.split(","))] if written else []
+                back = coder.model.decode(ids, skip_special_tokens=False)
             counts.append(written.count(",") + 1 if written else 0)
             digests.append(hashlib.sha256(written.encode()).hexdigest())
             decoded.append(hashlib.sha256(back.encode()).hexdigest())
+            handed.append(None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
+             pa.array(decoded, pa.string()), pa.array(handed, pa.string())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "long_text"],
         )
 
 
-def is_long(text: Column, unsplit: int = UNSPLIT) -> Column:
-    """Whether a text has a chunk that may hold an unsplit stretch longer than a leaf."""
-    space = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-    return text.rlike(rf"[^{space}]{{{unsplit}}}|[{space}]{{{unsplit}}}")
-
-
 def stretches(model, text: str) -> list[tuple[bool, str]]:
     """A text as special tokens (True) and the stretches that the pre-tokenizer leaves unsplit.
 
@@ -216,8 +276,10 @@ def encode_digest(
     """Per row: doc_id, n_tokens, and digests of the ids and of what they decode to."""
     plain = id_and_text(docs, id_col, text_col)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    short = plain.where(~is_long(F.col("text"), unsplit)).mapInArrow(partial(_encode_rows, path), schema)
-    long = plain.where(is_long(F.col("text"), unsplit)).withColumn("node", F.unhex(F.md5("text")))
+    first = settle(plain.mapInArrow(partial(_encode_rows, path, unsplit), schema + ", long_text string"), "encoded")
+    short = first.where("long_text is null").drop("long_text")
+    long = first.where("long_text is not null").select("doc_id", F.col("long_text").alias("text")).withColumn(
+        "node", F.unhex(F.md5("text")))
     ids = encode_long(long.dropDuplicates(["node"]).select("node", "text"), path, unsplit)
     digests = ids.mapInPandas(
         partial(_digest_long, path), "node binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
