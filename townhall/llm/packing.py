@@ -26,34 +26,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from townhall.llm.frames import id_and_text
-from townhall.llm.tree_bpe import ChunkCache, tokenizer
+from townhall.llm.tree_bpe import LOADED, ChunkCache, is_plain, tokenizer
 from townhall.session import settle
 
 SEQUENCE = 2048
 END = 0
-ROUNDS = 120  # of multiplicative weights
+ROUNDS = 24  # of multiplicative weights; columns, and so the table that is sent out, grow with it
 RATE = 0.5  # how fast prices follow the distance from the pace
 SLACK = 0.02  # how far below the best column's worth one may be bought
 PARTS = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)  # of the solution that are rounded
 
 _WORD = re.compile(r"[^ \n\r\t]+")
+# fixed values: the tokenizer's own pattern, for lowered text of ASCII and the letters of Latin-1
+_PLAIN_WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \n\r\ta-zß-öø-ÿ0-9]+")
 
 
-def _pieces(path: str, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token ids of each text, cut; ids of a distinct word are worked out once per task.
+class _Coder:
+    """Ids of the words of plain texts, and of other texts cut at white space."""
 
-    White space only separates for this tokenizer, so a text's ids are those of its words.
-    """
-    model = tokenizer(path)
+    def __init__(self, path: str):
+        self._model = tokenizer(path)
+        self._ends = np.zeros(self._model.get_vocab_size(), bool)
+        self._ends[[k for t, k in self._model.get_vocab().items() if t.endswith("</w>")]] = True
+        self._plain, self._other = ChunkCache(self._make_plain), ChunkCache(self._make)
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self._model.encode_batch(words, add_special_tokens=False)]
+
+    def _make_plain(self, words: list[str]) -> list[bytes]:
+        """Words of letters are encoded as one text and cut apart by the tokens that end a word."""
+        run = [w for w in words if w.isalpha()]
+        ids = np.array(self._model.encode(" ".join(run), add_special_tokens=False).ids, "<u4")
+        cuts = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+        flat = ids.tobytes()
+        known = {w: flat[i:j] for w, i, j in zip(run, [0, *cuts], cuts)}
+        rest = [w for w in words if w not in known]
+        known.update(zip(rest, self._make(rest)))
+        return [known[w] for w in words]
 
-    def make(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch(words, add_special_tokens=False)]
+    def ids(self, text: str) -> bytes:
+        if is_plain(text):
+            return b"".join(self._plain.of(_PLAIN_WORD.findall(text.lower())))
+        return b"".join(self._other.of(_WORD.findall(text)))
 
-    cache, end = ChunkCache(make), np.array([END], "<u4").tobytes()
+
+def _pieces(path: str, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Token ids of each text, cut.
+
+    White space only separates for this tokenizer, so a text's ids are those of its words, and a
+    word met lately is not encoded again. Plain texts are cut into words by the tokenizer's own
+    pattern, others at white space.
+    """
+    if ("packing", path) not in LOADED:  # kept between the tasks of a worker
+        LOADED["packing", path] = _Coder(path)
+    coder, end = LOADED["packing", path], np.array([END], "<u4").tobytes()
     for batch in batches:
         rows, piece, start, length, check = [], [], [], [], []
         for row, text in enumerate(batch.column("text")):
-            ids = b"".join(cache.of(_WORD.findall(text.as_py()))) + end
+            ids = coder.ids(text.as_py()) + end
             for k, at in enumerate(range(0, len(ids), 4 * size)):
                 part = ids[at : at + 4 * size]
                 rows.append(row)
