@@ -35,15 +35,20 @@ def test_verdict_does_not_depend_on_the_order_of_rules(docs):
     text, rules = F.col("text"), quality.BASE_RULES + quality.FURTHER_RULES
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kept = {r.doc_id for r in quality.judged(docs).where("kept").collect()}
+
+    def verdict(order):
+        return quality.let(quality.words_of(text), lambda w: quality.cascade(order, text, w))
+
     for order in (rules, rules[::-1]):
-        verdict = quality.let(quality.words_of(text), lambda w, o=order: quality.cascade(o, text, w))
-        assert {r.doc_id for r in plain.where(verdict.isNull()).collect()} == kept
+        assert {r.doc_id for r in plain.where(verdict(order).isNull()).collect()} == kept
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == kept
     assert len({r.name for r in quality.in_order(plain, rules)}) == len(rules)
 
 
 def test_clean_documents_stay_and_junk_goes(spark):
-    clean = "\n".join(f"It was a bright cold day in April, and clock number {i} of the tower was striking." for i in range(9))
+    rng = random.Random(5)
+    names = ["river", "garden", "letter", "window", "winter", "market", "silver", "morning", "harbour", "story", "teacher", "bridge"]
+    clean = "\n".join(f"The {' '.join(rng.sample(names, 5))} was near {rng.choice(names)} number {i}." for i in range(12))
     junk = ["### " * 40 + clean, clean.upper(), " | ".join(clean.split()), (clean.split("\n")[0] + "\n") * 20, "no", None, "wow! " * 60]
     df = spark.createDataFrame([(i, t) for i, t in enumerate([clean, *junk])], "doc_id long, text string")
     assert [r.doc_id for r in quality.keep_good(df).collect()] == [0]
@@ -128,7 +133,7 @@ def test_base_patterns():
     for _ in range(20000):
         text = "".join(rng.choice("a1@.+- (4%0") for _ in range(rng.randrange(45)))
         assert pii_base.written(pii_base.base_spans(text)) == ",".join(brute.personal(text))
-    assert pii_base.base_spans("9" * 200_000 + "@" + "1." * 50_000) == []  # no blow-up on runs
+    assert pii_base.base_spans("9" * 200_000 + "." + "x@" * 50_000) == []  # no blow-up on runs
 
 
 def test_base_spans_of_whole_texts(docs):
