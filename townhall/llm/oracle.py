@@ -1,5 +1,78 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+The others have no SQL: ids and hashes of libraries, learned models, fingerprints by Spark's own
+hash, and windows of bytes over whole tables. They are tested against brute force, the
+libraries themselves, exact round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
+from townhall.llm import quality, superminhash, warc
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_warc_source"] = f"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+held AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS holder FROM p
+  WHERE payload_bytes >= {warc.MIN_REVISIT_BYTES} GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM p LEFT JOIN held USING (payload_digest, payload_bytes)"""
+
+ORACLE["op4_quality_cascade"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+inside AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM again) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, text, w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS l FROM d),
+counted AS (
+  SELECT doc_id, text, w, l, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '{quality.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM lines LEFT JOIN inside USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed
+  FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars > 15 * n_words OR 2 * word_chars < 5 * n_words
+            OR 10 * len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) < 7 * n_words
+            OR 2 * (length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')))
+               > length(text) - length(regexp_replace(text, '\p{{L}}', '', 'g'))
+            OR 2 * (length(text) - length(replace(text, '!', ''))) > n_words
+            OR 2 * len(list_distinct(l)) < len(l)) AS kept
+FROM judged"""
+
+ORACLE["op6_superminhash"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {superminhash.SHINGLE - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {superminhash.SHINGLE - 2}, least(len(w), 1) + 1))) AS i FROM d)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= {superminhash.PERCENT} * (x.n + y.n - s.n)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS least FROM d
+  UNION SELECT e.b, r.least FROM reach r JOIN edges e ON e.a = r.node WHERE r.least < e.b)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least AS component_id, doc_id = least AS kept
+FROM (SELECT node AS doc_id, min(least) AS least FROM reach GROUP BY node) LEFT JOIN sizes USING (doc_id)"""
