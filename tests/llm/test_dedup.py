@@ -67,14 +67,29 @@ def planted(spark):
     return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
 
 
-def test_repeats(planted):
+@pytest.mark.parametrize("place, size", [(0, 400), (336, 736), (10, 410), (100, 437), (50, 450), (47, 449)])
+@pytest.mark.parametrize("step", [1, 48])
+def test_parts_hold_every_window_and_share_its_core(place, size, step):
+    seen = []
+    for low, high, a, b in repeats.parts(place, size, step):
+        assert b - a == 401 - step
+        seen += range(low, high + 1)
+        for w in (low, high):
+            assert w <= a and b <= w + 400
+    assert sorted(seen) == list(range(size - 399))
+
+
+@pytest.mark.parametrize("most", [4096, 1])
+def test_repeats(planted, most, monkeypatch):
+    """With at most one part of a core to be sorted, every window is settled by counting."""
+    monkeypatch.setattr(repeats, "MOST_PARTS", most)
     rows, docs = planted
     assert by_repr(repeats.repeat_digest(docs).collect()) == by_repr(brute.repeats(rows, 400))
 
 
 def test_every_window_is_filed_once():
     data = np.frombuffer(("abcdefgh" * 200 + "Q" + "abcdefgh" * 100).encode(), np.uint8)
-    _, _, first, last = repeats.stretches(data, np.array([0, len(data)]))
+    _, _, first, last, _ = repeats.stretches(data, np.array([0, len(data)]))
     covered = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
     assert covered.tolist() == list(range(len(data) - 399))
 
@@ -88,7 +103,7 @@ def test_pieces_of_a_long_text_overlap_by_a_window():
         batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
         starts = []
         for _, at, data, rows in repeats._pieces(batch):
-            _, _, first, last = repeats.stretches(data, rows)
+            _, _, first, last, _ = repeats.stretches(data, rows)
             starts += [at + x for a, b in zip(first, last) for x in range(a, b + 1)]
         assert sorted(starts) == list(range(len(text) - 399))
     finally:

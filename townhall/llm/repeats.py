@@ -7,9 +7,13 @@ A byte goes if some string of ``LENGTH`` bytes that covers it also starts somewh
    value occurs once is settled. Neighbouring windows with one anchor form one stretch.
 2. Equal stretches under one anchor are counted, before any bytes move: those that occur twice
    are repeated as a whole. A hot passage is one stretch with a large count from here on.
-3. Where an anchor has different stretches, one of each is sorted: shards of anchors get a
-   suffix array by induced sorting and permuted common prefixes, which show the windows that
-   two of them share. All holders of an anchor value meet in one shard, so none is missed.
+3. Where an anchor has different stretches, each is cut into parts by where the anchor lies in the
+   window. All windows of a part hold one core of ``LENGTH - STEP + 1`` bytes, and equal windows lie in
+   parts with equal cores, so parts whose core occurs once are settled too. Where a core has
+   different parts, one of each is sorted: shards of cores get a suffix array by induced sorting
+   and permuted common prefixes, which show the windows that two of them share. A core with more
+   than ``MOST_PARTS`` different parts is no longer sorted: its windows are counted one by one,
+   which is as exact and needs no task to hold them together.
 4. Each document's repeated windows are joined and cut out.
 
 Defined results: a null text is empty; matches never cross documents; repeated rows are
@@ -33,6 +37,8 @@ from townhall.session import settle
 
 LENGTH = 400
 ANCHOR = 64
+STEP = 48  # window starts in a part
+MOST_PARTS = 4096  # different parts of a core that are sorted together
 SHARD_BYTES = 2 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 22  # a longer text is filed in pieces that overlap by a window
@@ -51,23 +57,23 @@ def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     return (best & _PLACE).astype(np.int64)
 
 
-def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor value, row, first and last window start (in the block) of each stretch."""
+def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchor value, row, first and last window start and anchor place (in the block) of each stretch."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none
+        return none, none, none, none, none
     hashes = WindowHashes(data).every(ANCHOR)
     anchor = _least_places(hashes, LENGTH - ANCHOR + 1)
     ends = np.repeat(starts[1:], np.diff(starts))[: len(anchor)]
     windows = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends)
     if not len(windows):
-        return none, none, none, none
+        return none, none, none, none, none
     held = anchor[windows]
     change = np.flatnonzero(np.diff(held)) + 1
     low = np.concatenate([[0], change])
     high = np.concatenate([change, [len(held)]]) - 1
     first, last = windows[low], windows[high]
-    return hashes[held[low]].view(np.int64), np.searchsorted(starts, first, "right") - 1, first, last
+    return hashes[held[low]].view(np.int64), np.searchsorted(starts, first, "right") - 1, first, last, held[low]
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -84,7 +90,7 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
 def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, at, data, starts in _pieces(batch):
-            anchors, rows, first, last = stretches(data, starts)
+            anchors, rows, first, last, place = stretches(data, starts)
             if not len(anchors):
                 continue
             whole = data.tobytes()
@@ -93,9 +99,9 @@ def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc").take(pa.array(rows + row)), pa.array(anchors),
-                    pa.array(digests, pa.binary()), pa.array(first - begin), pa.array(last - begin),
+                    pa.array(digests, pa.binary()), pa.array(first - begin), pa.array(last - begin), pa.array(place - first),
                 ],
-                names=["doc", "anchor", "stretch", "first", "last"],
+                names=["doc", "anchor", "stretch", "first", "last", "place"],
             )
 
 
@@ -106,13 +112,43 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(len(batch)):
             text, rows = texts[row].as_py().encode(), asked[row].as_py()
             yield pa.RecordBatch.from_pylist(
-                [{"anchor": r["anchor"], "stretch": r["stretch"], "n": r["n"],
+                [{"anchor": r["anchor"], "stretch": r["stretch"], "n": r["n"], "place": r["place"],
                   "bytes": text[r["first"] : r["last"] + LENGTH]} for r in rows],
                 schema=_BYTES,
             )
 
 
-_BYTES = pa.schema([("anchor", pa.int64()), ("stretch", pa.binary()), ("n", pa.int64()), ("bytes", pa.binary())])
+_BYTES = pa.schema([("anchor", pa.int64()), ("stretch", pa.binary()), ("n", pa.int64()), ("place", pa.int64()),
+                    ("bytes", pa.binary())])
+
+
+def parts(place: int, size: int, step: int) -> Iterator[tuple[int, int, int, int]]:
+    """Of a stretch of ``size`` bytes with its anchor at ``place``: first and last window and core of each part."""
+    last = size - LENGTH
+    for j in range((place - last) // step, place // step + 1):
+        low, high = max(place - (j + 1) * step + 1, 0), min(place - j * step, last)
+        if low <= high:
+            yield low, high, place - j * step, place - (j + 1) * step + 1 + LENGTH
+
+
+def _cut_parts(step: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of stretches (or of their windows ``low`` to ``high``): core and digest of each part."""
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            data, head = r["bytes"], r["anchor"].to_bytes(8, "little", signed=True)
+            for low, high, a, b in parts(r["place"], len(data), step):
+                if r.get("low", low) <= low and high <= r.get("high", high):
+                    offset = (r["place"] - low).to_bytes(8, "little")
+                    core = hashlib.md5(head + ((r["place"] - a) // step).to_bytes(8, "little", signed=True) + data[a:b])
+                    rows.append({"core": core.digest(), "part": hashlib.md5(offset + data[low : high + LENGTH]).digest(),
+                                 "anchor": r["anchor"], "stretch": r["stretch"], "n": r["n"], "low": low, "high": high})
+        yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
+
+
+_PARTS = pa.schema([("core", pa.binary()), ("part", pa.binary()), ("anchor", pa.int64()), ("stretch", pa.binary()),
+                    ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+_PARTS_SQL = "core binary, part binary, anchor long, stretch binary, n long, low long, high long"
 
 
 def repeated_windows(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -145,19 +181,19 @@ def _runs(starts: np.ndarray) -> list[int]:
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sort whole anchors, a shard of them at a time; rows come sorted by anchor."""
+    """Sort whole cores, a shard of them at a time; rows come sorted by core."""
     held: list[dict] = []
     size = 0
 
     def shard() -> pa.RecordBatch:
         found = repeated_windows([r["bytes"] for r in held])
-        rows = [{"anchor": r["anchor"], "stretch": r["stretch"], "runs": _runs(f)}
+        rows = [{"anchor": r["anchor"], "stretch": r["stretch"], "runs": _runs(f + r["low"])}
                 for r, f in zip(held, found) if r["n"] == 1 and len(f)]
         return pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
     for batch in batches:
         for row in batch.to_pylist():
-            if size >= SHARD_BYTES and row["anchor"] != held[-1]["anchor"]:
+            if size >= SHARD_BYTES and row["core"] != held[-1]["core"]:
                 yield shard()
                 held, size = [], 0
             held.append(row)
@@ -167,6 +203,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _FOUND = pa.schema([("anchor", pa.int64()), ("stretch", pa.binary()), ("runs", pa.list_(pa.int64()))])
+_FOUND_SQL = "anchor long, stretch binary, runs array<long>"
 
 
 def _spans(found: list[dict] | None) -> list[tuple[int, int]]:
@@ -187,31 +224,65 @@ def _spans(found: list[dict] | None) -> list[tuple[int, int]]:
     return merged
 
 
+def _counted(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of parts: (core, part, n, one) and, as found windows, those that occur twice or more."""
+    kinds = cut.groupBy("core", "part").agg(
+        F.sum("n").alias("n"), F.min(F.struct("anchor", "stretch", "low", "high")).alias("one"))
+    kinds = settle(kinds, "parts-counted")
+    again = settle(kinds.where("n > 1").select("core", "part"), "parts-again")
+    found = cut.where("n = 1").join(again, ["core", "part"]).select(
+        "anchor", "stretch", F.array("low", "high").alias("runs"))
+    return kinds, found
+
+
+def _compared(stretches_: DataFrame) -> DataFrame:
+    """Found windows (anchor, stretch, runs) of different stretches (anchor, stretch, n, place, bytes)."""
+    cut = settle(stretches_.mapInArrow(partial(_cut_parts, STEP), _PARTS_SQL), "parts")
+    kinds, found = _counted(cut)
+    cores = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
+    cores = settle(cores.where("kinds > 1 and least = 1").select("core", "kinds"), "open-cores")
+    few = cores.where(F.col("kinds") <= MOST_PARTS).select("core")
+    bytes_of = stretches_.select("anchor", "stretch", "place", "bytes")
+    asked = kinds.join(few, "core").select("core", "n", "one.*")
+    sorted_ = (
+        asked.join(bytes_of, ["anchor", "stretch"])
+        .withColumn("bytes", F.expr(f"substring(bytes, cast(low + 1 as int), cast(high - low + {LENGTH} as int))"))
+        .select("core", "anchor", "stretch", "n", "low", "bytes")
+        .repartition("core").sortWithinPartitions("core")
+        .mapInArrow(_search, _FOUND_SQL)
+    )
+    # hot cores: every window is a part of its own, and counting settles it
+    many = cores.where(F.col("kinds") > MOST_PARTS).select("core")
+    single = cut.join(many, "core").select("anchor", "stretch", "n", "low", "high").distinct()
+    windows = settle(single.join(bytes_of, ["anchor", "stretch"]).mapInArrow(partial(_cut_parts, 1), _PARTS_SQL), "windows")
+    return found.unionByName(sorted_).unionByName(_counted(windows)[1])
+
+
 def _settled(docs: DataFrame) -> DataFrame:
-    """Rows doc, spans: what ``_spans`` needs, for documents with a repeated window."""
+    """Rows doc, found: what ``_spans`` needs, for documents with a repeated window."""
     filed = settle(
-        docs.select("doc", "text").mapInArrow(_file, "doc binary, anchor long, stretch binary, first long, last long"),
+        docs.select("doc", "text").mapInArrow(
+            _file, "doc binary, anchor long, stretch binary, first long, last long, place long"),
         "stretches",
     )
     often = filed.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1").select("anchor")
     often = settle(often, "often")  # a plain table, so that a join can split an anchor with many holders
     held = settle(filed.join(often, "anchor"), "shared-anchors")
     kinds = held.groupBy("anchor", "stretch").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "first", "last")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("doc", "first", "last", "place")).alias("one")
     )
     kinds = settle(kinds, "kinds")
-    # sorting is for stretches that occur once beside others; whole repeats are settled already
+    # comparing is for stretches that occur once beside others; whole repeats are settled already
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
-    several = several.where("kinds > 1 and least = 1").select("anchor")
+    several = settle(several.where("kinds > 1 and least = 1").select("anchor"), "several")
     asked = kinds.join(several, "anchor").select(
-        "one.doc", F.struct("anchor", "stretch", "n", "one.first", "one.last").alias("ask")
+        "one.doc", F.struct("anchor", "stretch", "n", "one.first", "one.last", "one.place").alias("ask")
     ).groupBy("doc").agg(F.collect_list("ask").alias("asked"))
     # one of each set of repeated rows is enough here
-    parts = docs.join(asked, "doc").mapInArrow(_cut_out, "anchor long, stretch binary, n long, bytes binary")
-    shards = parts.repartition("anchor").sortWithinPartitions("anchor")
-    found = shards.mapInArrow(_search, "anchor long, stretch binary, runs array<long>")
+    cut = docs.join(asked, "doc").mapInArrow(
+        _cut_out, "anchor long, stretch binary, n long, place long, bytes binary").dropDuplicates(["anchor", "stretch"])
     verdicts = kinds.where("n > 1").select("anchor", "stretch", F.lit(None).cast("array<long>").alias("runs"))
-    verdicts = verdicts.unionByName(found)
+    verdicts = settle(verdicts.unionByName(_compared(settle(cut, "different-stretches"))), "verdicts")
     return (
         held.join(verdicts, ["anchor", "stretch"])
         .groupBy("doc").agg(F.collect_list(F.struct("first", "last", "runs")).alias("found"))
