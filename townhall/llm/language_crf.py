@@ -6,9 +6,10 @@ character n-grams (those at its edges are its affixes) and from its whole form (
 Forward-backward over all words of all texts of a block runs in step: the n-th words of all texts
 at once. A text's language is the label with the most letters, by marginals.
 
-Weights are learned from the labelled rows of the table: the least rows by a hash of each label,
-at most SAMPLE_DOCS of a label, and of each at most SAMPLE_CHARS characters from a place
-that the hash chooses. Sequences for training switch between rows, so transitions are learned.
+Weights are learned from labelled rows of the table. A hash picks about SEARCHED of them, of which
+each label gives the least SAMPLE_DOCS by that hash, and each row at most SAMPLE_CHARS characters
+from a place that the hash chooses. Sequences for training switch between rows, so transitions
+are learned.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; rows without id
 are neither held out nor learned from; ties go to the first label in order; a table without
@@ -30,6 +31,7 @@ from townhall.llm.byte_arrays import BLOCK_BYTES, Block, WindowHashes, blocks
 
 SAMPLE_DOCS = 400  # of each label
 SAMPLE_CHARS = 1500  # of each document
+SEARCHED = 100 * SAMPLE_DOCS  # labelled rows looked through for them, about
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 16  # for n-grams, and as many for whole words
 EPOCHS = 4
@@ -239,9 +241,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     labelled = docs.where(
         F.col(f"`{label_col}`").isNotNull() & text.isNotNull() & F.col(f"`{id_col}`").isNotNull()
         & ~held_out(F.col(f"`{id_col}`"))
-    ).select(F.col(f"`{label_col}`").alias("lang"), mark.alias("mark"),
-             F.substring(text, begin, F.lit(SAMPLE_CHARS)).alias("excerpt"))
-    # every task first cuts each label to the least rows, so no label gathers in one task
+    )
+    # a threshold on the hash leaves about as many rows of a table of any size
+    part = min(1.0, SEARCHED / max(labelled.count(), 1))
+    labelled = labelled.where(F.pmod(mark, F.lit(1 << 32)) < int(part * (1 << 32))).select(
+        F.col(f"`{label_col}`").alias("lang"), mark.alias("mark"),
+        F.substring(text, begin, F.lit(SAMPLE_CHARS)).alias("excerpt"))
     order = Window.partitionBy("lang").orderBy("mark", "excerpt")
     rows = labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS).collect()
     return train([(r["lang"], r["excerpt"]) for r in sorted(rows, key=lambda r: (r["lang"], r["nth"]))])
