@@ -278,9 +278,9 @@ def _settled(docs: DataFrame) -> DataFrame:
     asked = kinds.join(several, "anchor").select(
         "one.doc", F.struct("anchor", "stretch", "n", "one.first", "one.last", "one.place").alias("ask")
     ).groupBy("doc").agg(F.collect_list("ask").alias("asked"))
-    # one of each set of repeated rows is enough here
+    # repeated rows bring a stretch more than once, but only stretches that are settled (n > 1)
     cut = docs.join(asked, "doc").mapInArrow(
-        _cut_out, "anchor long, stretch binary, n long, place long, bytes binary").dropDuplicates(["anchor", "stretch"])
+        _cut_out, "anchor long, stretch binary, n long, place long, bytes binary")
     verdicts = kinds.where("n > 1").select("anchor", "stretch", F.lit(None).cast("array<long>").alias("runs"))
     verdicts = settle(verdicts.unionByName(_compared(settle(cut, "different-stretches"))), "verdicts")
     return (
