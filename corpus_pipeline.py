@@ -17,6 +17,7 @@ from townhall.session import settle
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
+    ship(spark)
     return keep_good(docs)
 
 

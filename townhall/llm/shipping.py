@@ -1,4 +1,5 @@
-"""Sends this package to the executors, as ``--py-files`` would; workers import it from there."""
+"""Prepares a session for the operators: sends this package to the executors, as ``--py-files`` would,
+and bounds the rows that a Python worker is given at once, as each of them may be a long text."""
 
 from __future__ import annotations
 
@@ -13,8 +14,14 @@ import townhall
 _DONE: set[str] = set()
 
 
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Once per application; the archive holds source files only."""
+    """Sets the bound; sends the package once per application. The archive holds source files only."""
+    if int(spark.conf.get(_ROWS)) > MOST_ROWS:
+        spark.conf.set(_ROWS, str(MOST_ROWS))
     app = spark.sparkContext.applicationId
     if app in _DONE:
         return

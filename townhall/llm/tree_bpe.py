@@ -30,7 +30,7 @@ from townhall.llm.frames import id_and_text
 from townhall.session import settle
 
 UNSPLIT = 4096  # characters; longer stretches are cut into leaves of half this or less
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 120_000
 
 # fixed values: the characters that Unicode calls white space
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
