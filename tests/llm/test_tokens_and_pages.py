@@ -229,6 +229,25 @@ def test_pages_without_a_marked_article(spark):
     assert wrappers.main_text(df.where("false")).count() == 0
 
 
+def texts_of(spark, pages):
+    """Main text by number, of pages given as (host, html)."""
+    rows = [(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    out = {r.page_id: r.text for r in wrappers.main_text(df).collect()}
+    return [out[i] for i in range(len(rows))]
+
+
+def test_names_that_say_nothing_of_a_part(spark):
+    frames = ["<body class=no-sidebar><article>%s</article>", "<body class=search-results><div class=x>%s</div>",
+              "<html class=cookie-consent><body><article>%s</article>", "<div id=page class=has-sidebar><article>%s</article></div>",
+              "<article class=has-comments>%s</article>", "<div class='widget wrap'><div class=x>%s</div></div>",
+              "<div class=overlay><article>%s</article></div>"]
+    pages = [(f"h{k}.example", frame % f"<p>Text {k} of {i} and more") for k, frame in enumerate(frames) for i in range(4)]
+    assert texts_of(spark, pages) == [f"Text {k} of {i} and more" for k in range(len(frames)) for i in range(4)]
+    listed = "<article><p>Own %d text</article><div class=comment-list><article class=comment><p>Long %d reply of many words</article></div>"
+    assert texts_of(spark, [("c.example", listed % (i, i)) for i in range(4)]) == [f"Own {i} text" for i in range(4)]
+
+
 def test_repeats_fold_and_missing_parts_become_optional():
     def page(body):
         return wrappers.fold([wrappers._item(t) for t in tokens(f"<div>{body}</div>")])

@@ -51,6 +51,14 @@ _ASIDE_NAMES = re.compile(
     r"comments?|commentlist|replies|reply|respond|disqus|subscribe|newsletter|signup|login|footer|foot|masthead|toolbar|"
     r"pagination|pager|widget|copyright|skip|hidden|search|tags|toc|byline-social|complementary|contentinfo)(?:$|[-_N])"
 )
+# of these, what holds articles of its own; and endings and beginnings that only tell how a part is laid out
+_LISTS = re.compile(
+    r"(?:^|[-_])(?:ads?|adN|advert\w*|promo\w*|sponsor\w*|sidebar|related|recommend\w*|comments?|commentlist|replies|reply|"
+    r"respond|disqus|widget)(?:$|[-_N])|^hidden$"
+)
+_STATE = re.compile(
+    r"^(?:has|have|no|not|with|without|is|js|show|hide)[-_]|[-_](?:open|closed|enabled|disabled|on|off|layout|results?|active)$")
+_COMMENTS = re.compile(r"^(?:comments?|commentlist|replies|respond|disqus\w*|comments?[-_](?:list|area|section|thread))$")
 _MAIN = re.compile(r"^<(?:article|main)(?:\.|$)|\.(?:main|articlebody|article-body|post-content|entry-content)(?:\.|$)")
 
 
@@ -198,19 +206,45 @@ def from_json(text: str) -> list[Item]:
 # -- which slots are main text ----------------------------------------------------
 
 
-def is_aside(path: tuple[str, ...]) -> bool:
-    """Whether a place lies in a part of a page that is not its main text."""
+def is_aside(path: tuple[str, ...], trusted: frozenset[tuple[str, ...]] | None = frozenset()) -> bool:
+    """Whether a place lies in a part of a page that is not its main text.
+
+    Names say nothing on html and body or on the containers ``trusted`` (all, if None); a marked
+    article and what is around it count as aside only by the names of lists of articles.
+    """
+    last = max((k for k, key in enumerate(path) if _MAIN.search(key)), default=-1)
     in_main = False
-    for key in path:
+    for k, key in enumerate(path):
         name, *marks = key[1:].split(".")
-        if name in _ASIDE_TAGS or any(_ASIDE_NAMES.search(m) for m in marks):
+        if name in _ASIDE_TAGS:
             return True
         if name == "header" and not in_main:  # an article's own header holds its title
             return True
+        if trusted is not None and name not in ("html", "body") and path[: k + 1] not in trusted:
+            names = _LISTS if k <= last else _ASIDE_NAMES
+            if any(names.search(m) and not _STATE.search(m) for m in marks):
+                return True
         in_main |= bool(_MAIN.search(key))
     return False
 
 
+def _constant(slot: Slot) -> bool:
+    return slot.pages > 2 and len(slot.texts) == 1
+
+
+def trusted_places(slots: list[Slot]) -> frozenset[tuple[str, ...]]:
+    """Containers with most of the text that differs: a name like that of an aside says nothing there."""
+    mass: dict[tuple[str, ...], int] = {}
+    total = 0
+    for s in slots:
+        if not _constant(s) and not is_aside(s.path, None):
+            total += s.words
+            for depth in range(1, len(s.path) + 1):
+                mass[s.path[:depth]] = mass.get(s.path[:depth], 0) + s.words
+    return frozenset(place for place, words in mass.items()
+                     if 2 * words > total and not any(_COMMENTS.search(m) for m in place[-1][1:].split(".")[1:]))
+
+
 def main_slots(items: list[Item]) -> set[str]:
     """Keys of the text slots that hold the main text of a host's pages."""
     slots: dict[str, Slot] = {}
@@ -226,12 +260,13 @@ def main_slots(items: list[Item]) -> set[str]:
 
     for item in items:
         gather(item)
-    own = {k: s for k, s in slots.items() if not is_aside(s.path)}
+    trusted = trusted_places(list(slots.values()))
+    own = {k: s for k, s in slots.items() if not is_aside(s.path, trusted)}
     marked = {k for k, s in own.items() if any(_MAIN.search(p) for p in s.path)}
     if marked:
         return marked
     # without a marked article: the innermost container with most of the text that differs
-    varied = {k: s for k, s in own.items() if 2 * s.links < s.words and not (s.pages > 2 and len(s.texts) == 1)}
+    varied = {k: s for k, s in own.items() if 2 * s.links < s.words and not _constant(s)}
     total = sum(s.words for s in varied.values())
     best: tuple[str, ...] = ()
     mass: dict[tuple[str, ...], int] = {}
