@@ -248,6 +248,13 @@ def test_names_that_say_nothing_of_a_part(spark):
     assert texts_of(spark, [("c.example", listed % (i, i)) for i in range(4)]) == [f"Own {i} text" for i in range(4)]
 
 
+def test_a_host_with_two_templates(spark):
+    pages = [("two.example", ("<article><p>Marked %d text</article><div>Other words %d</div>" if i % 2 else
+                              "<div class=content><p>Plain %d text of some words</div><div class=menu>Menu %d</div>") % (i, i))
+             for i in range(12)]
+    assert texts_of(spark, pages) == [f"Marked {i} text" if i % 2 else f"Plain {i} text of some words" for i in range(12)]
+
+
 def test_repeats_fold_and_missing_parts_become_optional():
     def page(body):
         return wrappers.fold([wrappers._item(t) for t in tokens(f"<div>{body}</div>")])

@@ -7,8 +7,8 @@ items that only one side has become optional. No alternatives are ever formed. T
 each slot gathers how many pages fill it, how much text it holds, how much of it is links and
 whether the text differs between pages.
 
-The finished wrapper decides which slots are main text: those inside the page's article, if it
-marks one, else those of the container with most text that differs; never those of menus, headers,
+Pages of a host that mark an article and pages that do not have a wrapper each. The finished wrapper
+decides which slots are main text: those inside the page's article, if it marks one, else those of the container with most text that differs; never those of menus, headers,
 footers, sidebars, notices, adverts, forms or comments. Every page is then aligned with its
 host's wrapper, and the text in the chosen slots is returned.
 
@@ -245,8 +245,13 @@ def trusted_places(slots: list[Slot]) -> frozenset[tuple[str, ...]]:
                      if 2 * words > total and not any(_COMMENTS.search(m) for m in place[-1][1:].split(".")[1:]))
 
 
-def main_slots(items: list[Item]) -> set[str]:
-    """Keys of the text slots that hold the main text of a host's pages."""
+def is_marked(found: list[Token]) -> bool:
+    """Whether a page fills a marked article of its own."""
+    return any(t.key == TEXT and any(_MAIN.search(p) for p in t.path) and not is_aside(t.path) for t in found)
+
+
+def main_slots(items: list[Item], marked: bool = False) -> set[str]:
+    """Keys of the text slots that hold the main text of a host's pages, those with a marked article or those without."""
     slots: dict[str, Slot] = {}
 
     def gather(item: Item) -> None:
@@ -262,9 +267,8 @@ def main_slots(items: list[Item]) -> set[str]:
         gather(item)
     trusted = trusted_places(list(slots.values()))
     own = {k: s for k, s in slots.items() if not is_aside(s.path, trusted)}
-    marked = {k for k, s in own.items() if any(_MAIN.search(p) for p in s.path)}
     if marked:
-        return marked
+        return {k for k, s in own.items() if any(_MAIN.search(p) for p in s.path)}
     # without a marked article: the innermost container with most of the text that differs
     varied = {k: s for k, s in own.items() if 2 * s.links < s.words and not _constant(s)}
     total = sum(s.words for s in varied.values())
@@ -279,15 +283,9 @@ def main_slots(items: list[Item]) -> set[str]:
     return {k for k, s in varied.items() if s.path[: len(best)] == best}
 
 
-def extract(found: list[Token], chosen: set[str], known: set[str]) -> str:
-    """Text in the chosen slots, a block a line. A slot the wrapper does not know is judged by its place."""
-    lines = []
-    for token in found:
-        if token.key == TEXT:
-            key = "T" + "/".join(token.path)
-            if key in chosen or key not in known and any(_MAIN.search(p) for p in token.path) and not is_aside(token.path):
-                lines.append(token.text)
-    return "\n".join(lines)
+def extract(found: list[Token], chosen: set[str]) -> str:
+    """Text in the chosen slots, a block a line."""
+    return "\n".join(t.text for t in found if t.key == TEXT and "T" + "/".join(t.path) in chosen)
 
 
 # -- as Spark jobs ------------------------------------------------------------------
@@ -303,56 +301,69 @@ def _combined(wrappers: list[list[Item]]) -> list[Item]:
 
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A wrapper for each host and expression in a batch; equal expressions only add their figures."""
+    """A wrapper for each host, kind and expression in a batch; equal expressions only add their figures.
+
+    The kinds are pages with a marked article and pages without; a host may have both.
+    """
     for batch in batches:
-        held: dict[tuple[str, str], list[Item]] = {}
+        held: dict[tuple[str, bool, str], list[Item]] = {}
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            items = fold([_item(t) for t in tokens(page)])
+            found = tokens(page)
+            marked = is_marked(found)
+            items = fold([_item(t) for t in found])
             shape = " ".join(i.key for i in items)
-            known = held.get((host, shape))
+            known = held.get((host, marked, shape))
             if known is None:
-                held[host, shape] = items
+                held[host, marked, shape] = items
             else:
                 for a, b in zip(known, items):
                     a.take(b)
-        by_host: dict[str, list[list[Item]]] = {}
-        for (host, _), items in held.items():
-            by_host.setdefault(host, []).append(items)
-        rows = [(host, to_json(_combined(w))) for host, w in by_host.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
-                                          pa.array([r[1] for r in rows], pa.string())], names=["host", "wrapper"])
+        by_kind: dict[tuple[str, bool], list[list[Item]]] = {}
+        for (host, marked, _), items in held.items():
+            by_kind.setdefault((host, marked), []).append(items)
+        rows = [(host, marked, to_json(_combined(w))) for (host, marked), w in by_kind.items()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_()),
+             pa.array([r[2] for r in rows], pa.string())], names=["host", "marked", "wrapper"])
 
 
 def _merge_group(group: pd.DataFrame) -> pd.DataFrame:
     whole = _combined([from_json(w) for w in sorted(group["wrapper"])])
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [to_json(whole)]})
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "marked": [group["marked"].iloc[0]], "wrapper": [to_json(whole)]})
+
+
+_PARTS = "host string, marked boolean, wrapper string"
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """One wrapper per host, from columns host and html."""
-    parts = settle(pages.select("host", "html").mapInArrow(_fold_pages, "host string, wrapper string"), "wrappers")
+    """Wrappers per host, from columns host and html: of pages with a marked article and of pages without."""
+    parts = settle(pages.select("host", "html").mapInArrow(_fold_pages, _PARTS), "wrappers")
     while True:
-        most = parts.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        most = parts.groupBy("host", "marked").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
         if most <= 1:
-            return parts
+            break
         # rows are written, so their numbers hold; a group has FAN_IN of them on average at most
         salt = F.pmod(F.xxhash64("wrapper", F.monotonically_increasing_id()), F.lit(max(1, -(-most // FAN_IN))))
         parts = settle(
-            parts.withColumn("salt", salt).groupBy("host", "salt").applyInPandas(
-                _merge_group, "host string, wrapper string"), "wrappers")
+            parts.withColumn("salt", salt).groupBy("host", "marked", "salt").applyInPandas(_merge_group, _PARTS), "wrappers")
+    return parts.groupBy("host").agg(F.max(F.when(F.col("marked"), F.col("wrapper"))).alias("marked_wrapper"),
+                                     F.max(F.when(~F.col("marked"), F.col("wrapper"))).alias("plain_wrapper"))
 
 
 def _extract_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    decided: dict[str, tuple[set[str], set[str]]] = {}
+    decided: dict[tuple[bool, str], set[str]] = {}
     for batch in batches:
         texts = []
-        for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
-            if wrapper not in decided:
+        columns = [batch.column(c).to_pylist() for c in ("html", "marked_wrapper", "plain_wrapper")]
+        for page, marked_wrapper, plain_wrapper in zip(*columns):
+            found = tokens(page)
+            marked = is_marked(found)
+            wrapper = marked_wrapper if marked else plain_wrapper
+            if (marked, wrapper) not in decided:
                 if len(decided) >= 256:
                     decided.clear()
-                items = from_json(wrapper) if wrapper else []
-                decided[wrapper] = main_slots(items), _slot_keys(items)
-            texts.append(extract(tokens(page), *decided[wrapper]))
+                decided[marked, wrapper] = main_slots(from_json(wrapper) if wrapper else [], marked)
+            texts.append(extract(found, decided[marked, wrapper]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())],
@@ -360,15 +371,6 @@ def _extract_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _slot_keys(items: list[Item]) -> set[str]:
-    out = set()
-    for i in items:
-        if i.slot:
-            out.add(i.key)
-        out |= _slot_keys(i.group or [])
-    return out
-
-
 def main_text(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text and n_chars."""
     plain = pages.select(
