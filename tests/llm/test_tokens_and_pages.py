@@ -255,6 +255,20 @@ def test_a_host_with_two_templates(spark):
     assert texts_of(spark, pages) == [f"Marked {i} text" if i % 2 else f"Plain {i} text of some words" for i in range(12)]
 
 
+def test_copies_of_a_page_are_no_constant_text(spark):
+    page = "<div class=x><h2>Only title</h2><p>One paragraph</div><div class=menu>Menu %d</div>"
+    other = "<div class=x><h2>Title %d</h2><p>Paragraph %d</div><div class=box>Same box</div>"
+    pages = [("copies.example", page % (i // 2)) for i in range(6)] + [("other.example", other % (i, i)) for i in range(4)]
+    want = ["Only title\nOne paragraph"] * 6 + [f"Title {i}\nParagraph {i}" for i in range(4)]
+    assert texts_of(spark, pages) == want
+
+
+def test_text_beside_the_container_with_most_text_stays(spark):
+    page = "<div class=lead>Lead %d</div><div class=x>" + "<p>Body %d words" * 30 + "</div><section>Last part %d</section>"
+    want = ["\n".join([f"Lead {i}", *[f"Body {i} words"] * 30, f"Last part {i}"]) for i in range(4)]
+    assert texts_of(spark, [("b.example", page % ((i,) * 32)) for i in range(4)]) == want
+
+
 def test_repeats_fold_and_missing_parts_become_optional():
     def page(body):
         return wrappers.fold([wrappers._item(t) for t in tokens(f"<div>{body}</div>")])

@@ -38,7 +38,7 @@ from townhall.session import settle
 
 FAN_IN = 32
 MOST_PERIOD = 12  # tokens in a group that may repeat
-SEEN = 3  # different texts of a slot that are told apart
+SEEN = 3  # different texts of a slot, and different pages that fill it, that are told apart
 
 # fixed values: what parts of a page are called that are not its main text
 _ASIDE_TAGS = frozenset(
@@ -65,13 +65,19 @@ _MAIN = re.compile(r"^<(?:article|main)(?:\.|$)|\.(?:main|articlebody|article-bo
 class Slot:
     """What is known of a text slot: its place and figures over pages."""
 
-    __slots__ = ("path", "pages", "words", "links", "texts")
+    __slots__ = ("path", "pages", "words", "links", "texts", "seen")
 
-    def __init__(self, path: tuple[str, ...], pages: int = 0, words: int = 0, links: int = 0, texts: list[int] = ()):
-        self.path, self.pages, self.words, self.links, self.texts = path, pages, words, links, list(texts)
+    def __init__(self, path: tuple[str, ...], pages: int = 0, words: int = 0, links: int = 0, texts: list[int] = (),
+                 seen: list[int] = ()):
+        self.path, self.pages, self.words, self.links = path, pages, words, links
+        self.texts, self.seen = list(texts), list(seen)  # the least few of the different texts, and of the different pages
+
+    def copy(self) -> Slot:
+        return Slot(self.path, self.pages, self.words, self.links, self.texts, self.seen)
 
     def take(self, other: Slot) -> None:
         self.pages += other.pages
+        self.seen = sorted({*self.seen, *other.seen})[:SEEN]
         self.words += other.words
         self.links += other.links
         self.texts = sorted({*self.texts, *other.texts})[:SEEN]
@@ -86,8 +92,7 @@ class Item:
         self.key, self.slot, self.group, self.optional = key, slot, group, optional
 
     def copy(self) -> Item:
-        slot = self.slot and Slot(self.slot.path, self.slot.pages, self.slot.words, self.slot.links, self.slot.texts)
-        return Item(self.key, slot, self.group and [i.copy() for i in self.group], self.optional)
+        return Item(self.key, self.slot and self.slot.copy(), self.group and [i.copy() for i in self.group], self.optional)
 
     def take(self, other: Item) -> None:
         """Adds the figures of an equal item."""
@@ -104,11 +109,11 @@ class Item:
             yield from item.slots()
 
 
-def _item(token: Token) -> Item:
-    """A text's key holds its place, so that text in different containers never matches."""
+def _item(token: Token, page: int = 0) -> Item:
+    """A text's key holds its place, so that text in different containers never matches; ``page`` names the page."""
     if token.key != TEXT:
         return Item(token.key)
-    slot = Slot(token.path, 1, token.words, token.link_words, [zlib.crc32(token.text.encode())])
+    slot = Slot(token.path, 1, token.words, token.link_words, [zlib.crc32(token.text.encode())], [page])
     return Item("T" + "/".join(token.path), slot)
 
 
@@ -189,7 +194,7 @@ def merge(left: list[Item], right: list[Item]) -> list[Item]:
 
 def to_json(items: list[Item]) -> str:
     def flat(i: Item):
-        s = i.slot and [list(i.slot.path), i.slot.pages, i.slot.words, i.slot.links, i.slot.texts]
+        s = i.slot and [list(i.slot.path), i.slot.pages, i.slot.words, i.slot.links, i.slot.texts, i.slot.seen]
         return [i.key, s, i.group and [flat(g) for g in i.group], int(i.optional)]
 
     return json.dumps([flat(i) for i in items], separators=(",", ":"))
@@ -229,7 +234,15 @@ def is_aside(path: tuple[str, ...], trusted: frozenset[tuple[str, ...]] | None =
 
 
 def _constant(slot: Slot) -> bool:
-    return slot.pages > 2 and len(slot.texts) == 1
+    """One and the same text in several pages that differ in their own text; copies of a page count once."""
+    return len(slot.seen) >= SEEN and len(slot.texts) == 1
+
+
+def page_mark(found: list[Token]) -> int:
+    """Equal for copies of a page, also if only menus, adverts or the like differ."""
+    texts = [t for t in found if t.key == TEXT and not is_aside(t.path, None)]
+    own = [t.text for t in texts if not is_aside(t.path)] or [t.text for t in texts]
+    return zlib.crc32("\n".join(own).encode())
 
 
 def trusted_places(slots: list[Slot]) -> frozenset[tuple[str, ...]]:
@@ -259,7 +272,7 @@ def main_slots(items: list[Item], marked: bool = False) -> set[str]:
             if item.key in slots:
                 slots[item.key].take(item.slot)
             else:
-                slots[item.key] = Slot(item.slot.path, item.slot.pages, item.slot.words, item.slot.links, item.slot.texts)
+                slots[item.key] = item.slot.copy()
         for i in item.group or []:
             gather(i)
 
@@ -269,18 +282,8 @@ def main_slots(items: list[Item], marked: bool = False) -> set[str]:
     own = {k: s for k, s in slots.items() if not is_aside(s.path, trusted)}
     if marked:
         return {k for k, s in own.items() if any(_MAIN.search(p) for p in s.path)}
-    # without a marked article: the innermost container with most of the text that differs
-    varied = {k: s for k, s in own.items() if 2 * s.links < s.words and not _constant(s)}
-    total = sum(s.words for s in varied.values())
-    best: tuple[str, ...] = ()
-    mass: dict[tuple[str, ...], int] = {}
-    for s in varied.values():
-        for depth in range(1, len(s.path) + 1):
-            mass[s.path[:depth]] = mass.get(s.path[:depth], 0) + s.words
-    for place, words in mass.items():
-        if 10 * words >= 9 * total and len(place) > len(best) and not place[-1].startswith(("<p", "<h", "<li", "<t")):
-            best = place
-    return {k for k, s in varied.items() if s.path[: len(best)] == best}
+    # without a marked article: all text that differs between pages, lists of links aside
+    return {k for k, s in own.items() if 2 * s.links < s.words and not _constant(s)}
 
 
 def extract(found: list[Token], chosen: set[str]) -> str:
@@ -310,7 +313,8 @@ def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             found = tokens(page)
             marked = is_marked(found)
-            items = fold([_item(t) for t in found])
+            mark = page_mark(found)
+            items = fold([_item(t, mark) for t in found])
             shape = " ".join(i.key for i in items)
             known = held.get((host, marked, shape))
             if known is None:
