@@ -269,6 +269,24 @@ def test_text_beside_the_container_with_most_text_stays(spark):
     assert texts_of(spark, [("b.example", page % ((i,) * 32)) for i in range(4)]) == want
 
 
+def test_constant_text_at_a_position_of_the_wrapper(spark):
+    def page(i):
+        body = "".join(f"<p>Paragraph {k} of text {i}</p>" for k in range(1 + i % 3))
+        extra = "<div><p>Optional notice</p></div>" if i % 2 else ""
+        return f"<article><h1>Same head</h1><p>An advert</p>{body}<p>Read more of us</p>{extra}<section><p>End {i}</p></section></article>"
+
+    def text(i):
+        return "\n".join(["Same head", *[f"Paragraph {k} of text {i}" for k in range(1 + i % 3)], f"End {i}"])
+
+    versions = "<article>" + "<p>As in all versions</p><p>The same again</p>" * 3 + "<p>Version %d</p></article>"
+    pages = [("a.example", page(i)) for i in range(12)] + [("v.example", versions % i) for i in range(4)]
+    pages += [("p.example", page(i).replace("article", "div")) for i in range(12)]
+    lines = "As in all versions\nThe same again\n" * 3
+    want = [text(i) for i in range(12)] + [f"{lines}Version {i}" for i in range(4)]
+    want += [text(i).replace("Same head\n", "") for i in range(12)]
+    assert texts_of(spark, pages) == want
+
+
 def test_repeats_fold_and_missing_parts_become_optional():
     def page(body):
         return wrappers.fold([wrappers._item(t) for t in tokens(f"<div>{body}</div>")])

@@ -10,7 +10,9 @@ whether the text differs between pages.
 Pages of a host that mark an article and pages that do not have a wrapper each. The finished wrapper
 decides which slots are main text: those inside the page's article, if it marks one, else those of the container with most text that differs; never those of menus, headers,
 footers, sidebars, notices, adverts, forms or comments. Every page is then aligned with its
-host's wrapper, and the text in the chosen slots is returned.
+host's wrapper, and the text in the chosen slots is returned, without what is constant at its place:
+a slot, or one of the first and last PLACES occurrences of a repeated slot, that has the same text on
+all pages that have it, three different ones at least. Headings in a marked article always stay.
 
 Wrappers of a host are inferred in a tree: each task folds the pages it holds, and partial
 wrappers are merged in groups of at most FAN_IN. A wrapper is as long as a page's structure, so
@@ -39,6 +41,7 @@ from townhall.session import settle
 FAN_IN = 32
 MOST_PERIOD = 12  # tokens in a group that may repeat
 SEEN = 3  # different texts of a slot, and different pages that fill it, that are told apart
+PLACES = 8  # first and last occurrences of a repeated slot that are judged one by one
 
 # fixed values: what parts of a page are called that are not its main text
 _ASIDE_TAGS = frozenset(
@@ -65,15 +68,18 @@ _MAIN = re.compile(r"^<(?:article|main)(?:\.|$)|\.(?:main|articlebody|article-bo
 class Slot:
     """What is known of a text slot: its place and figures over pages."""
 
-    __slots__ = ("path", "pages", "words", "links", "texts", "seen")
+    __slots__ = ("path", "pages", "words", "links", "texts", "seen", "places", "spots")
 
     def __init__(self, path: tuple[str, ...], pages: int = 0, words: int = 0, links: int = 0, texts: list[int] = (),
-                 seen: list[int] = ()):
+                 seen: list[int] = (), places: dict[int, tuple[int, list[int]] | None] = {}, spots: list[int] = ()):
         self.path, self.pages, self.words, self.links = path, pages, words, links
         self.texts, self.seen = list(texts), list(seen)  # the least few of the different texts, and of the different pages
+        # of a repeated slot: text and pages of its first and last occurrences, None where the text differs
+        self.places = dict(places)
+        self.spots = list(spots)  # of one page: where the slot's texts are among its tokens
 
     def copy(self) -> Slot:
-        return Slot(self.path, self.pages, self.words, self.links, self.texts, self.seen)
+        return Slot(self.path, self.pages, self.words, self.links, self.texts, self.seen, self.places, self.spots)
 
     def take(self, other: Slot) -> None:
         self.pages += other.pages
@@ -81,6 +87,11 @@ class Slot:
         self.words += other.words
         self.links += other.links
         self.texts = sorted({*self.texts, *other.texts})[:SEEN]
+        for at, theirs in other.places.items():
+            ours = self.places.get(at, theirs)
+            same = ours and theirs and ours[0] == theirs[0]
+            self.places[at] = (ours[0], sorted({*ours[1], *theirs[1]})[:SEEN]) if same else None
+        self.spots += other.spots
 
 
 class Item:
@@ -109,11 +120,12 @@ class Item:
             yield from item.slots()
 
 
-def _item(token: Token, page: int = 0) -> Item:
+def _item(token: Token, page: int = 0, spot: int = 0) -> Item:
     """A text's key holds its place, so that text in different containers never matches; ``page`` names the page."""
     if token.key != TEXT:
         return Item(token.key)
-    slot = Slot(token.path, 1, token.words, token.link_words, [zlib.crc32(token.text.encode())], [page])
+    slot = Slot(token.path, 1, token.words, token.link_words, [zlib.crc32(token.text.encode())], [page],
+                spots=[spot])
     return Item("T" + "/".join(token.path), slot)
 
 
@@ -158,6 +170,22 @@ def fold(items: list[Item], groups: set[str] | None = None) -> list[Item]:
     return items
 
 
+def page_items(found: list[Token], page: int) -> list[Item]:
+    """A page's expression; the ends of its repeated slots are noted by occurrence."""
+    items = fold([_item(t, page, k) for k, t in enumerate(found)])
+    for item in items:
+        for slot in item.slots():
+            n = len(slot.spots)
+            if n > 1:
+                for nth in {*range(min(n, PLACES)), *range(max(0, n - PLACES), n)}:
+                    what = zlib.crc32(found[slot.spots[nth]].text.encode()), [page]
+                    if nth < PLACES:
+                        slot.places[nth] = what
+                    if n - nth <= PLACES:
+                        slot.places[nth - n] = what
+    return items
+
+
 def _groups(items: list[Item]) -> set[str]:
     out = set()
     for i in items:
@@ -194,7 +222,8 @@ def merge(left: list[Item], right: list[Item]) -> list[Item]:
 
 def to_json(items: list[Item]) -> str:
     def flat(i: Item):
-        s = i.slot and [list(i.slot.path), i.slot.pages, i.slot.words, i.slot.links, i.slot.texts, i.slot.seen]
+        s = i.slot and [list(i.slot.path), i.slot.pages, i.slot.words, i.slot.links, i.slot.texts, i.slot.seen,
+                        [[at, *(what or ())] for at, what in sorted(i.slot.places.items())]]
         return [i.key, s, i.group and [flat(g) for g in i.group], int(i.optional)]
 
     return json.dumps([flat(i) for i in items], separators=(",", ":"))
@@ -203,7 +232,8 @@ def to_json(items: list[Item]) -> str:
 def from_json(text: str) -> list[Item]:
     def deep(x) -> Item:
         key, s, group, optional = x
-        return Item(key, s and Slot(tuple(s[0]), *s[1:]), group and [deep(g) for g in group], bool(optional))
+        slot = s and Slot(tuple(s[0]), *s[1:6], {at: tuple(what) or None for at, *what in s[6]})
+        return Item(key, slot, group and [deep(g) for g in group], bool(optional))
 
     return [deep(x) for x in json.loads(text)]
 
@@ -286,9 +316,71 @@ def main_slots(items: list[Item], marked: bool = False) -> set[str]:
     return {k for k, s in own.items() if 2 * s.links < s.words and not _constant(s)}
 
 
-def extract(found: list[Token], chosen: set[str]) -> str:
-    """Text in the chosen slots, a block a line."""
-    return "\n".join(t.text for t in found if t.key == TEXT and "T" + "/".join(t.path) in chosen)
+_HEADS = re.compile(r"^<(?:h[1-6]|dt|th|caption|figcaption|summary)(?:\.|$)")
+
+
+def fixed_places(slot: Slot) -> dict[int, int]:
+    """Occurrences of a repeated slot with one and the same text on all pages, and that text.
+
+    Where three quarters of the ends are like that, the pages are versions of one page: nothing is fixed.
+    """
+    fixed = {at: what[0] for at, what in slot.places.items() if what and len(what[1]) >= SEEN}
+    return {} if 4 * len(fixed) >= 3 * len(slot.places) else fixed
+
+
+class Wrapper:
+    """A host's finished wrapper, and what is main text by it."""
+
+    def __init__(self, items: list[Item], marked: bool):
+        self.items, self.marked = items, marked
+        self.chosen = main_slots(items, marked)
+        self.groups = _groups(items)
+        # by identity: slots with the same path differ by their position
+        self.fixed: dict[int, tuple[int | None, dict[int, int]]] = {}
+        self.pairs: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+        for item in items:
+            self._judge(item)
+
+    def _judge(self, item: Item) -> None:
+        if item.slot and item.key in self.chosen and not (self.marked and _HEADS.search(item.slot.path[-1])):
+            whole = item.slot.texts[0] if _constant(item.slot) else None
+            places = fixed_places(item.slot)
+            if whole is not None or places:
+                self.fixed[id(item.slot)] = whole, places
+        for i in item.group or []:
+            self._judge(i)
+
+    def constant(self, found: list[Token]) -> set[int]:
+        """Tokens of a page that are at a place of the wrapper with constant text, and have that text."""
+        out: set[int] = set()
+
+        def compare(own: Item, known: Item) -> None:
+            if own.slot and id(known.slot) in self.fixed:
+                whole, places = self.fixed[id(known.slot)]
+                n = len(own.slot.spots)
+                for nth, spot in enumerate(own.slot.spots):
+                    if zlib.crc32(found[spot].text.encode()) in (whole, places.get(nth), places.get(nth - n)):
+                        out.add(spot)
+            for a, b in zip(own.group or [], known.group or []):
+                compare(a, b)
+
+        if self.fixed:
+            own = fold(page_items(found, 0), self.groups)
+            shape = tuple(i.key for i in own)
+            if shape not in self.pairs:
+                if len(self.pairs) >= 256:
+                    self.pairs.clear()
+                self.pairs[shape] = align(own, self.items)
+            for a, b in self.pairs[shape]:
+                compare(own[a], self.items[b])
+        return out
+
+
+def extract(found: list[Token], wrapper: Wrapper) -> str:
+    """Text in the chosen slots without what is constant at its place, a block a line; never nothing for that alone."""
+    main = [k for k, t in enumerate(found) if t.key == TEXT and "T" + "/".join(t.path) in wrapper.chosen]
+    constant = wrapper.constant(found) if main else set()
+    return "\n".join(found[k].text for k in [k for k in main if k not in constant] or main)
 
 
 # -- as Spark jobs ------------------------------------------------------------------
@@ -314,7 +406,7 @@ def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = tokens(page)
             marked = is_marked(found)
             mark = page_mark(found)
-            items = fold([_item(t, mark) for t in found])
+            items = page_items(found, mark)
             shape = " ".join(i.key for i in items)
             known = held.get((host, marked, shape))
             if known is None:
@@ -350,12 +442,13 @@ def infer(pages: DataFrame) -> DataFrame:
         salt = F.pmod(F.xxhash64("wrapper", F.monotonically_increasing_id()), F.lit(max(1, -(-most // FAN_IN))))
         parts = settle(
             parts.withColumn("salt", salt).groupBy("host", "marked", "salt").applyInPandas(_merge_group, _PARTS), "wrappers")
-    return parts.groupBy("host").agg(F.max(F.when(F.col("marked"), F.col("wrapper"))).alias("marked_wrapper"),
+    both = parts.groupBy("host").agg(F.max(F.when(F.col("marked"), F.col("wrapper"))).alias("marked_wrapper"),
                                      F.max(F.when(~F.col("marked"), F.col("wrapper"))).alias("plain_wrapper"))
+    return settle(both, "wrappers")  # of known size, so that pages are not dealt out by host where it is small
 
 
 def _extract_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    decided: dict[tuple[bool, str], set[str]] = {}
+    decided: dict[tuple[bool, str], Wrapper] = {}
     for batch in batches:
         texts = []
         columns = [batch.column(c).to_pylist() for c in ("html", "marked_wrapper", "plain_wrapper")]
@@ -366,7 +459,7 @@ def _extract_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if (marked, wrapper) not in decided:
                 if len(decided) >= 256:
                     decided.clear()
-                decided[marked, wrapper] = main_slots(from_json(wrapper) if wrapper else [], marked)
+                decided[marked, wrapper] = Wrapper(from_json(wrapper) if wrapper else [], marked)
             texts.append(extract(found, decided[marked, wrapper]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
