@@ -223,6 +223,20 @@ def test_held_out_accuracy_and_edges(spark, odd_docs, no_docs):
     assert lc.languages(no_docs).count() == 0
 
 
+def test_rare_labels_are_learned_beside_hot_ones(spark, monkeypatch):
+    words = F.when(F.col("id") % 5000 == 1, "zuvo keldi marna").when(F.col("id") % 100 == 2, "huis boom water").otherwise("the house and")
+    lang = F.when(F.col("id") % 5000 == 1, "xx").when(F.col("id") % 100 == 2, "nl").otherwise("en")
+    table = spark.range(100000).select(F.col("id").alias("doc_id"), words.alias("text"), lang.alias("lang"))
+    table = table.unionByName(spark.range(60000).select(  # a label whose rows all share an id
+        F.lit(3).cast("long").alias("doc_id"), F.lit("qora wexu").alias("text"), F.lit("yy").alias("lang")))
+    seen = {}
+    monkeypatch.setattr(lc, "train", lambda rows: seen.update(rows=rows))
+    lc.learn(table)
+    counts = {lang: [x for x, _ in seen["rows"]].count(lang) for lang in {x for x, _ in seen["rows"]}}
+    rare = table.where("lang = 'xx'").where(~lc.held_out(F.col("doc_id"))).count()
+    assert counts == {"en": lc.SAMPLE_DOCS, "nl": lc.SAMPLE_DOCS, "xx": rare, "yy": lc.SAMPLE_DOCS}
+
+
 def test_words_of_switched_text_get_their_own_language(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = lc.learn(table)

@@ -6,8 +6,8 @@ character n-grams (those at its edges are its affixes) and from its whole form (
 Forward-backward over all words of all texts of a block runs in step: the n-th words of all texts
 at once. A text's language is the label with the most letters, by marginals.
 
-Weights are learned from labelled rows of the table. A hash picks about SEARCHED of them, of which
-each label gives the least SAMPLE_DOCS by that hash, and each row at most SAMPLE_CHARS characters
+Weights are learned from labelled rows of the table. A hash picks about SEARCHED of each label, all
+of a rare one; each label gives the least SAMPLE_DOCS of them by that hash, and each row at most SAMPLE_CHARS characters
 from a place that the hash chooses. Sequences for training switch between rows, so transitions
 are learned.
 
@@ -31,7 +31,7 @@ from townhall.llm.byte_arrays import BLOCK_BYTES, Block, WindowHashes, blocks
 
 SAMPLE_DOCS = 400  # of each label
 SAMPLE_CHARS = 1500  # of each document
-SEARCHED = 100 * SAMPLE_DOCS  # labelled rows looked through for them, about
+SEARCHED = 4 * SAMPLE_DOCS  # rows of each label looked through for them, about
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 16  # for n-grams, and as many for whole words
 EPOCHS = 4
@@ -242,11 +242,15 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
         F.col(f"`{label_col}`").isNotNull() & text.isNotNull() & F.col(f"`{id_col}`").isNotNull()
         & ~held_out(F.col(f"`{id_col}`"))
     )
-    # a threshold on the hash leaves about as many rows of a table of any size
-    part = min(1.0, SEARCHED / max(labelled.count(), 1))
-    labelled = labelled.where(F.pmod(mark, F.lit(1 << 32)) < int(part * (1 << 32))).select(
-        F.col(f"`{label_col}`").alias("lang"), mark.alias("mark"),
+    labelled = labelled.select(
+        F.col(f"`{label_col}`").alias("lang"), mark.alias("mark"), F.pmod(mark, F.lit(1 << 32)).alias("low"),
         F.substring(text, begin, F.lit(SAMPLE_CHARS)).alias("excerpt"))
+    # a threshold on the hash for each label leaves about as many rows of it in a table of any size, and never none;
+    # a model has a column of weights for each label, so labels are few
+    part = F.least(F.lit(1.0), SEARCHED / F.count("*"))
+    most = labelled.groupBy(F.col("lang").alias("label")).agg(
+        F.greatest((part * (1 << 32)).cast("long"), F.min("low") + 1).alias("most"))
+    labelled = labelled.join(F.broadcast(most), (F.col("lang") == F.col("label")) & (F.col("low") < F.col("most")))
     order = Window.partitionBy("lang").orderBy("mark", "excerpt")
     rows = labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS).collect()
     return train([(r["lang"], r["excerpt"]) for r in sorted(rows, key=lambda r: (r["lang"], r["nth"]))])
