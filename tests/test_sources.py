@@ -84,6 +84,17 @@ def test_json_arrays(spark, tmp_path):
     assert sorted(r.id for r in back.collect()) == list(range(20))
 
 
+def test_json_array_files_stay_small_whatever_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ARRAY_BYTES", 4000, raising=False)
+    same = spark.range(3000).selectExpr("if(id < 2000, 1, id) AS id", "'a title of some length' AS title")
+    files.write_json_arrays(same, str(tmp_path / "a"), 2)
+    sizes = [p.stat().st_size for p in (tmp_path / "a").rglob("*.txt")]
+    assert len(sizes) > 20 and max(sizes) < 4 * 4000
+    back = files.read_posts_json(spark, str(tmp_path / "a"), array=True)
+    assert sorted(r.id for r in back.collect()) == [1] * 2000 + list(range(2000, 3000))
+    files.write_json_arrays(same.where("false"), str(tmp_path / "none"))
+
+
 def test_links_in_all_quotings(spark):
     html = (
         '<a data-href="/wrong" href="/right">one</a><A HREF=\'/single?a=1&amp;b=2\'>two &amp; 2</A>'

@@ -678,7 +678,7 @@ def question_terms(spark, sf):
 def json_array_round_trip(spark, sf):
     """Posts written as JSON arrays and read back."""
     path = scratch_path(spark, "arrays")
-    files.write_json_arrays(_extracted(spark, sf).drop("capture_ord", "pos"), path, 8)
+    files.write_json_arrays(_extracted(spark, sf).drop("capture_ord", "pos"), path)
     back = single_community_posts(files.read_posts_json(spark, path, array=True))
     return back.select("id", "title", "channel", "view_count", "reaction_count", "month", "has_answer")
 
@@ -687,7 +687,7 @@ def json_array_round_trip(spark, sf):
 def capture_array_files(spark, sf):
     """Captures written as JSON arrays, read back and listed by address."""
     path = scratch_path(spark, "capture-arrays")
-    files.write_json_arrays(tb.captures(spark, sf).select("url", "data"), path, 8)
+    files.write_json_arrays(tb.captures(spark, sf).select("url", "data"), path)
     back = files.read_captures(spark, path, array=True)
     return capture.stage_counts(capture.conversations(back, ["url"]), "url")
 

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 
 from townhall.operators.capture import flatten
 from townhall.schema import CAPTURE, CHANNEL_POST, POST, all_strings
+from townhall.session import settle
+
+ARRAY_BYTES = 8 << 20  # of records in a file that holds an array, about
 
 # Texts that stand for a missing value in CSV files.
 MISSING_TEXTS = (
@@ -88,14 +91,17 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, files: int, mode: str = "errorifexists") -> None:
-    """One JSON array per file, rows dealt out over ``files`` of them by a hash.
+def write_json_arrays(df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
+    """One JSON array per file, rows dealt out over at least ``files`` of them by a hash.
 
-    A file is built in one task, so choose as many files as keep each small.
+    A file is built in one task, so there are as many as keep each at about ARRAY_BYTES; copies of a
+    record are dealt out too. Records are written first, so their size is known and their numbers hold.
     """
     text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    part = F.pmod(F.xxhash64(text), F.lit(files))
-    rows = df.select(text.alias("record"), part.alias("part"))
+    records = settle(df.select(text.alias("record")).withColumn("nth", F.monotonically_increasing_id()), "records")
+    size = records.agg(F.sum(F.octet_length("record").cast("long"))).first()[0] or 0
+    part = F.pmod(F.xxhash64("record", "nth"), F.lit(max(files or 1, -(-size // ARRAY_BYTES))))
+    rows = records.select("record", part.alias("part"))
     whole = F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]"))
     rows.groupBy("part").agg(whole.alias("value")).write.mode(mode).partitionBy("part").text(path)
 
