@@ -54,6 +54,22 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert [r.doc_id for r in quality.keep_good(df).collect()] == [0]
 
 
+def test_clean_documents_of_scripts_without_spaces_stay(spark):
+    rng = random.Random(6)
+
+    def document(letters, ends, lines=60):
+        return "\n".join("".join(rng.choice(letters) for _ in range(60)) + ends % (i, i % 7 * 5) for i in range(lines))
+
+    clean = [document("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", "，第%d年占%d%%。“好”"),
+             document("いろはにほへとちりぬるをわかよたれそつねならむコーヒー山川", "、%d番の%dページ。「はい」"),
+             document("กขคงจฉชซญดตถทธนบปผพฟมยรลวสหอะาิีุู", " ปี %d จาก%dหน้า ครับ")]
+    junk = ["字 " + " ".join("x" * 40 + str(i) for i in range(60)), " ".join("x" * 40 + str(i) for i in range(60))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*clean, *junk])], "doc_id long, text string")
+    assert [(r.doc_id, r.rejected_by) for r in quality.judged(df).orderBy("doc_id").collect()] == [
+        (0, None), (1, None), (2, None), (3, "long_words"), (4, "long_words")]
+    assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == [0, 1, 2]
+
+
 def test_quality_edges(odd_docs, no_docs):
     out = quality.keep_good(odd_docs)
     assert out.schema.names == odd_docs.schema.names and {r.doc_id for r in out.collect()} <= {7, 8}

@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from townhall.llm.expressions import let, up_to
 from townhall.llm.frames import id_and_text
+from townhall.llm.syncmers import _UNSPACED as UNSPACED
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
+# fixed: punctuation and letters shared by scripts that are written without spaces
+UNSPACED_SIGNS = r"[\u2010-\u2027\u3000-\u303F\u30FB-\u30FC\uFF00-\uFF65]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SAMPLE_ROWS = 2000
@@ -39,6 +42,24 @@ def symbols(text: Column) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS + "+", ""))).cast("long")
 
 
+def unspaced(text: Column) -> Column:
+    """Characters of scripts that are written without spaces between words."""
+    return F.length(text) - F.length(F.regexp_replace(text, UNSPACED + "+", ""))
+
+
+def spaced_words(text: Column) -> Column:
+    """Words of the scripts that have spaces: those without them part words as a space does."""
+    return words_of(F.regexp_replace(text, f"(?:{UNSPACED}|{UNSPACED_SIGNS})+", " "))
+
+
+def long_words(text: Column, words: Column) -> Column:
+    """Whether words are too long on average, as far as white space tells what a word is."""
+    too_long = lambda w: word_chars(w) > 15 * F.size(w)
+    # the second is worked out only where the first holds
+    return F.when(too_long(words), F.when(text.rlike(UNSPACED), let(spaced_words(text), too_long)).otherwise(F.lit(True))
+                  ).otherwise(F.lit(False))
+
+
 def worded_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
@@ -92,15 +113,17 @@ BASE_RULES = [
     Rule("repeated_words", lambda text, words: 100 * repeated_words(words) > MAX_REPEATED_PERCENT * F.size(words)),
 ]
 
-# Set far from clean prose of any length and language.
+# Set far from clean prose of any length and language; a character of a script without spaces counts as a word.
 FURTHER_RULES = [
-    Rule("symbols", lambda text, words: 10 * symbols(text) > F.size(words)),
-    Rule("long_words", lambda text, words: word_chars(words) > 15 * F.size(words)),
+    Rule("symbols", lambda text, words: let(10 * symbols(text), lambda n: F.when(
+        n > F.size(words), n > F.size(words) + unspaced(text)).otherwise(F.lit(False)))),
+    Rule("long_words", long_words),
     Rule("short_words", lambda text, words: 2 * word_chars(words) < 5 * F.size(words)),
     Rule("letterless_words", lambda text, words: 10 * F.size(F.filter(words, lambda w: w.rlike(r"\p{L}")))
          < 7 * F.size(words)),
     Rule("capitals", lambda text, words: 2 * _letters(text, r"\p{Lu}") > _letters(text, r"\p{L}")),
-    Rule("exclamations", lambda text, words: 2 * _letters(text, "!") > F.size(words)),
+    Rule("exclamations", lambda text, words: let(2 * _letters(text, "!"), lambda n: F.when(
+        n > F.size(words), n > F.size(words) + unspaced(text)).otherwise(F.lit(False)))),
     Rule("duplicate_lines", lambda text, words: let(
         worded_lines(text), lambda v: 2 * F.size(F.array_distinct(v)) < F.size(v))),
 ]
