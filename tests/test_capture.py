@@ -192,6 +192,17 @@ def test_ids_that_are_no_whole_numbers_are_rejected_by_name(spark):
         ("id",), ("id", "title"), ("id type",), ("id type",)]
 
 
+def test_ids_as_large_as_a_bigint_are_kept(spark):
+    df = spark.sql("""SELECT explode(array(parse_json('{"id": 1000000000000000000, "title": "t"}'),
+        parse_json('{"id": 9223372036854775807, "title": "t"}'), parse_json('{"id": -9223372036854775808, "title": "t"}'),
+        parse_json('{"id": "9223372036854775806", "title": "t"}'), parse_json('{"id": 9223372036854775808, "title": "t"}'),
+        parse_json('{"id": "+5", "title": "t"}'))) AS item""")
+    good, bad = capture.split_rejects(df)
+    assert sorted(int(r.id) for r in good.select(capture.item_id().alias("id")).collect()) == [
+        -2**63, 10**18, 2**63 - 2, 2**63 - 1]
+    assert [tuple(r.problems) for r in bad.collect()] == [("id type",)] * 2
+
+
 def test_too_many_columns_raise(spark):
     many = ", ".join(f'"k{i}": 1' for i in range(12))
     df = spark.sql(f"""SELECT parse_json('{{{many}}}') AS item, 'u' AS url""")

@@ -232,7 +232,7 @@ def item_id(item: str = "item") -> Column:
     return payloads.field(F.col(item), "id")
 
 
-_WHOLE = r"^-?[0-9]{1,18}$"
+_WHOLE = r"^-?[0-9]+$"
 
 
 def problems(required=("id", "title"), item: str = "item") -> Column:
@@ -240,7 +240,7 @@ def problems(required=("id", "title"), item: str = "item") -> Column:
     found = [F.when(payloads.field(F.col(item), name).isNull(), F.lit(name)) for name in required]
     if "id" in required:
         ident = payloads.field(F.col(item), "id")
-        found.append(F.when(ident.isNotNull() & ~ident.rlike(_WHOLE), F.lit("id type")))
+        found.append(F.when(ident.isNotNull() & ~(ident.rlike(_WHOLE) & ident.try_cast("bigint").isNotNull()), F.lit("id type")))
     return F.array_compact(F.array(*found))
 
 
