@@ -22,13 +22,16 @@ COLUMNS = {
     8: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     9: ["doc_id", "held_out", "lang_pred", "score"],
     10: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    11: ["doc_id", "held_out", "score", "predicted"],
+    12: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    13: ["item_id", "rank", "doc_id", "score"],
 }
 
 
 def test_all_are_registered():
     found = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found) and set(ORACLE) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -38,6 +41,8 @@ def test_columns_and_rows(name, spark, small):
     assert set(COLUMNS[number]) <= set(out.columns)
     source = "pages" if number in (2, 5) else "documents"
     n = spark.read.parquet(f"{small}/{source}.parquet").count()
+    if number == 13:
+        source, n = "benchmark", 10 * spark.read.parquet(f"{small}/benchmark.parquet").count()
     assert out.count() == n if number != 3 else out.select("doc_id").distinct().count() == n
 
 

@@ -76,3 +76,85 @@ reach AS (
   UNION SELECT e.b, r.least FROM reach r JOIN edges e ON e.a = r.node WHERE r.least < e.b)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least AS component_id, doc_id = least AS kept
 FROM (SELECT node AS doc_id, min(least) AS least FROM reach GROUP BY node) LEFT JOIN sizes USING (doc_id)"""
+
+_FIELDS = " || ".join(
+    f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("doc_id", "source", "lang", "n_chars", "text"))
+# CRC-32 bit by bit, over the digits of the id
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda held, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[],
+    lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor(held, x)),
+  CAST(4294967295 AS BIGINT)), 4294967295)"""
+_RUN = "string_agg(hash, '' ORDER BY rank)"
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256({_FIELDS}) AS leaf, {_CRC} % 2 = 0 AS touched,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank, count(*) OVER (PARTITION BY source) AS size
+  FROM d),
+tampered AS (
+  SELECT doc_id, sha256({_FIELDS}) AS leaf FROM (SELECT * REPLACE (replace(text, chr(10), '') AS text) FROM d)),
+nodes AS (
+  SELECT source, 0 AS level, rank, size, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT source, level + 1, rank // 3, (max(size) + 2) // 3, sha256({_RUN})
+  FROM nodes WHERE size > 1 GROUP BY source, level, rank // 3),
+subroots AS (
+  SELECT source, hash AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS rank, count(*) OVER () AS size
+  FROM nodes WHERE size = 1),
+tops AS (
+  SELECT 0 AS level, rank, size, subroot AS hash FROM subroots
+  UNION ALL
+  SELECT level + 1, rank // 3, (max(size) + 2) // 3, sha256({_RUN}) FROM tops WHERE size > 1 GROUP BY level, rank // 3),
+beside AS (
+  SELECT a.source, a.level, a.rank,
+         coalesce(string_agg(b.hash, '' ORDER BY b.rank) FILTER (WHERE b.rank < a.rank), '') AS l,
+         coalesce(string_agg(b.hash, '' ORDER BY b.rank) FILTER (WHERE b.rank > a.rank), '') AS r
+  FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.rank // 3 = b.rank // 3
+  WHERE a.size > 1 GROUP BY ALL),
+beside_top AS (
+  SELECT a.level, a.rank,
+         coalesce(string_agg(b.hash, '' ORDER BY b.rank) FILTER (WHERE b.rank < a.rank), '') AS l,
+         coalesce(string_agg(b.hash, '' ORDER BY b.rank) FILTER (WHERE b.rank > a.rank), '') AS r
+  FROM tops a JOIN tops b ON a.level = b.level AND a.rank // 3 = b.rank // 3 WHERE a.size > 1 GROUP BY ALL),
+steps AS (
+  SELECT x.doc_id, b.level, b.l, b.r FROM leaves x JOIN beside b
+    ON b.source IS NOT DISTINCT FROM x.source AND b.rank = x.rank // CAST(3 ** b.level AS BIGINT)
+  UNION ALL
+  SELECT x.doc_id, 100 + t.level, t.l, t.r FROM leaves x JOIN subroots s ON s.source IS NOT DISTINCT FROM x.source
+    JOIN beside_top t ON t.rank = s.rank // CAST(3 ** t.level AS BIGINT)),
+way AS (SELECT doc_id, list({{'l': l, 'r': r}} ORDER BY level) AS steps, string_agg(l || r, '' ORDER BY level) AS beside FROM steps GROUP BY doc_id),
+held AS (
+  SELECT x.doc_id, x.leaf, s.subroot, (SELECT hash FROM tops WHERE size = 1) AS root, sha256(coalesce(w.beside, '')) AS proof_sha256,
+         CASE WHEN x.touched THEN t.leaf ELSE x.leaf END AS start, coalesce(w.steps, []) AS steps
+  FROM leaves x JOIN tampered t USING (doc_id) JOIN subroots s ON s.source IS NOT DISTINCT FROM x.source LEFT JOIN way w USING (doc_id)),
+folded AS (
+  SELECT doc_id, 0 AS done, start AS hash, steps FROM held
+  UNION ALL
+  SELECT doc_id, done + 1, sha256(steps[done + 1].l || hash || steps[done + 1].r), steps FROM folded WHERE done < len(steps))
+SELECT h.doc_id, leaf, subroot, root, proof_sha256, f.hash AS folded_root, f.hash = root AS verified
+FROM held h JOIN folded f ON f.doc_id = h.doc_id AND f.done = len(h.steps)"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE["op13_ball_search"] = f"""
+WITH held AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM documents),
+sums AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM held),
+asked AS (
+  SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}'))) AS term
+  FROM benchmark),
+counted AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM held)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), sums),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weighted USING (term) JOIN counted USING (term), sums GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""

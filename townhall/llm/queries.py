@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from townhall.llm import language_crf, packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc, wrappers
+from townhall.llm import (
+    ball_search, byte_network, language_crf, merkle, packing, quality, repeats, skip_chain, superminhash, syncmers, tree_bpe, warc,
+    wrappers,
+)
 from townhall.llm.frames import table
 from townhall.llm.shipping import ship
 
@@ -72,3 +75,18 @@ def op9_language_crf(spark, sf):
 @query
 def op10_tree_bpe(spark, sf):
     return tree_bpe.encode_digest(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_byte_network(spark, sf):
+    return byte_network.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    return merkle.proofs(table(spark, sf, "documents"))
+
+
+@query
+def op13_ball_search(spark, sf):
+    return ball_search.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
