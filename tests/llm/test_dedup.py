@@ -1,5 +1,6 @@
 """Near-duplicate groups, repeats, suffix arrays and components against brute force."""
 
+import collections
 import random
 
 import brute
@@ -87,6 +88,33 @@ def test_repeats(planted, most, monkeypatch):
     assert by_repr(repeats.repeat_digest(docs).collect()) == by_repr(brute.repeats(rows, 400))
 
 
+def test_short_passages_of_many_words(spark):
+    """Passages of 51 words and under 400 bytes go at a shorter length, as by brute force."""
+    rng = random.Random(8)
+    passages = [" ".join("abcdefgh"[rng.randrange(8)] * rng.randrange(3, 8) for _ in range(51)) for _ in range(6)]
+    assert all(256 <= len(p) < 400 for p in passages)
+    rows = [(k, made_up(rng, 60) + " " + passages[k % 6] + " " + made_up(rng, 50)) for k in range(30)]
+    rows += [(100 + k, made_up(rng, 120)) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, sum(x.stop - x.start for x in r.spans)) for r in repeats.without_repeats(docs, length=256).collect()}
+    assert got == {d: (n, gone) for d, n, gone, _, _ in brute.repeats(rows, 256)}
+    left = {r.doc_id: r.text for r in repeats.drop_repeats(docs, length=256).collect()}
+    assert all(passages[k % 6] not in left[k] for k in range(30)) and all(left[d] == t for d, t in rows[30:])
+
+
+def test_one_row_a_thousand_times(spark):
+    rng = random.Random(9)
+    text = made_up(rng, 400)
+    rows = [(7, text)] * 1000 + [(8, text[: len(text) // 2] + made_up(rng, 100)), (9, made_up(rng, 300))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = collections.Counter(map(tuple, repeats.repeat_digest(docs).collect()))
+    few = rows[:2] + rows[1000:]
+    assert got == collections.Counter({r: 1000 if r[0] == 7 else 1 for r in brute.repeats(few, 400)})
+    longest = repeats._settled(
+        repeats.id_and_text(docs).withColumn("doc", repeats.row_key("doc_id", "text")), repeats.Windows()).selectExpr("max(size(found))").first()[0]
+    assert longest < 100
+
+
 def test_every_window_is_filed_once():
     data = np.frombuffer(("abcdefgh" * 200 + "Q" + "abcdefgh" * 100).encode(), np.uint8)
     _, _, first, last, _ = repeats.stretches(data, np.array([0, len(data)]))
@@ -102,7 +130,7 @@ def test_pieces_of_a_long_text_overlap_by_a_window():
         text = "".join(chr(97 + i * i % 23) for i in range(3000))
         batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
         starts = []
-        for _, at, data, rows in repeats._pieces(batch):
+        for _, at, data, rows in repeats._pieces(400, batch):
             _, _, first, last, _ = repeats.stretches(data, rows)
             starts += [at + x for a, b in zip(first, last) for x in range(a, b + 1)]
         assert sorted(starts) == list(range(len(text) - 399))

@@ -76,7 +76,7 @@ def test_pipeline(spark, small):
     single, texts = step("near_dedup", good)
     assert set(texts) == {c for _, _, c in brute.near_groups(sorted(left.items()))}
     cut, rest = step("suffix_dedup", single)
-    gone = {d: n for d, _, n, _, _ in brute.repeats(sorted(texts.items()), 400)}
+    gone = {d: n for d, _, n, _, _ in brute.repeats(sorted(texts.items()), corpus_pipeline.PASSAGE_BYTES)}
     assert {d: len(t.encode()) for d, t in rest.items()} == {d: len(t.encode()) - gone[d] for d, t in texts.items()}
     masked, clean = step("pii", cut)
     assert all(not brute.personal(t) for t in clean.values())

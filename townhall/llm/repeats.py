@@ -1,14 +1,15 @@
 """Removal of long passages that occur more than once anywhere in a table, byte for byte.
 
-A byte goes if some string of ``LENGTH`` bytes that covers it also starts somewhere else.
+A byte goes if some string of ``length`` bytes (400, if not told otherwise) that covers it also starts
+somewhere else.
 
-1. Every window of ``LENGTH`` bytes is filed under its anchor, the leftmost of the least hashes
+1. Every window of ``length`` bytes is filed under its anchor, the leftmost of the least hashes
    of the short strings inside it. Equal windows have equal anchors, so a window whose anchor
    value occurs once is settled. Neighbouring windows with one anchor form one stretch.
 2. Equal stretches under one anchor are counted, before any bytes move: those that occur twice
    are repeated as a whole. A hot passage is one stretch with a large count from here on.
 3. Where an anchor has different stretches, each is cut into parts by where the anchor lies in the
-   window. All windows of a part hold one core of ``LENGTH - STEP + 1`` bytes, and equal windows lie in
+   window. All windows of a part hold one core of ``length - step + 1`` bytes, and equal windows lie in
    parts with equal cores, so parts whose core occurs once are settled too. Where a core has
    different parts, one of each is sorted: shards of cores get a suffix array by induced sorting
    and permuted common prefixes, which show the windows that two of them share. A core with more
@@ -17,13 +18,14 @@ A byte goes if some string of ``LENGTH`` bytes that covers it also starts somewh
 4. Each document's repeated windows are joined and cut out.
 
 Defined results: a null text is empty; matches never cross documents; repeated rows are
-documents of their own, so all their texts of ``LENGTH`` bytes or more go.
+documents of their own, so all their texts of ``length`` bytes or more go.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -36,14 +38,25 @@ from townhall.llm.suffix_sort import common_prefixes, suffix_array
 from townhall.session import settle
 
 LENGTH = 400
-ANCHOR = 64
-STEP = 48  # window starts in a part
 MOST_PARTS = 4096  # different parts of a core that are sorted together
 SHARD_BYTES = 2 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 22  # a longer text is filed in pieces that overlap by a window
 
 
+@dataclass(frozen=True)
+class Windows:
+    """Length of the strings looked for; of the short strings that anchor them; window starts in a part."""
+
+    length: int = LENGTH
+    anchor: int = 64
+    step: int = 48
+
+    @classmethod
+    def of(cls, length: int) -> Windows:
+        return cls(length, max(1, length * 4 // 25), max(1, length * 3 // 25))
+
+
 def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` hashes: the place of the leftmost least one (40 bits compared)."""
     best = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
@@ -57,44 +70,44 @@ def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     return (best & _PLACE).astype(np.int64)
 
 
-def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+def stretches(data: np.ndarray, starts: np.ndarray, windows: Windows = Windows()) -> tuple[np.ndarray, ...]:
     """Anchor value, row, first and last window start and anchor place (in the block) of each stretch."""
     none = np.zeros(0, np.int64)
-    if len(data) < LENGTH:
+    if len(data) < windows.length:
         return none, none, none, none, none
-    hashes = WindowHashes(data).every(ANCHOR)
-    anchor = _least_places(hashes, LENGTH - ANCHOR + 1)
+    hashes = WindowHashes(data).every(windows.anchor)
+    anchor = _least_places(hashes, windows.length - windows.anchor + 1)
     ends = np.repeat(starts[1:], np.diff(starts))[: len(anchor)]
-    windows = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= ends)
-    if not len(windows):
+    whole = np.flatnonzero(np.arange(len(anchor)) + windows.length <= ends)
+    if not len(whole):
         return none, none, none, none, none
-    held = anchor[windows]
+    held = anchor[whole]
     change = np.flatnonzero(np.diff(held)) + 1
     low = np.concatenate([[0], change])
     high = np.concatenate([change, [len(held)]]) - 1
-    first, last = windows[low], windows[high]
+    first, last = whole[low], whole[high]
     return hashes[held[low]].view(np.int64), np.searchsorted(starts, first, "right") - 1, first, last, held[low]
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _pieces(length: int, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, byte offset in it, bytes and row starts; texts beyond a piece come alone, cut."""
     for block in blocks(batch, "text"):
         if len(block.data) <= _PIECE:
             yield block.first, 0, block.data, block.starts
         else:  # then the block is one row
             for at in range(0, len(block.data), _PIECE):
-                part = block.data[at : at + _PIECE + LENGTH - 1]
+                part = block.data[at : at + _PIECE + length - 1]
                 yield block.first, at, part, np.array([0, len(part)])
 
 
-def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _file(windows: Windows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, at, data, starts in _pieces(batch):
-            anchors, rows, first, last, place = stretches(data, starts)
+        for row, at, data, starts in _pieces(windows.length, batch):
+            anchors, rows, first, last, place = stretches(data, starts, windows)
             if not len(anchors):
                 continue
             whole = data.tobytes()
-            digests = [hashlib.md5(whole[a : b + LENGTH]).digest() for a, b in zip(first.tolist(), last.tolist())]
+            digests = [hashlib.md5(whole[a : b + windows.length]).digest() for a, b in zip(first.tolist(), last.tolist())]
             begin = starts[rows] - at
             yield pa.RecordBatch.from_arrays(
                 [
@@ -105,15 +118,19 @@ def _file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the asked stretches of each document."""
+def _cut_out(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the asked stretches of each document; a repeated row is asked once in a task."""
+    seen = set()
     for batch in batches:
-        texts, asked = batch.column("text"), batch.column("asked")
+        docs, texts, asked = batch.column("doc"), batch.column("text"), batch.column("asked")
         for row in range(len(batch)):
+            if (doc := docs[row].as_py()) in seen:
+                continue
+            seen.add(doc)
             text, rows = texts[row].as_py().encode(), asked[row].as_py()
             yield pa.RecordBatch.from_pylist(
                 [{"anchor": r["anchor"], "stretch": r["stretch"], "n": r["n"], "place": r["place"],
-                  "bytes": text[r["first"] : r["last"] + LENGTH]} for r in rows],
+                  "bytes": text[r["first"] : r["last"] + length]} for r in rows],
                 schema=_BYTES,
             )
 
@@ -122,26 +139,26 @@ _BYTES = pa.schema([("anchor", pa.int64()), ("stretch", pa.binary()), ("n", pa.i
                     ("bytes", pa.binary())])
 
 
-def parts(place: int, size: int, step: int) -> Iterator[tuple[int, int, int, int]]:
+def parts(place: int, size: int, step: int, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
     """Of a stretch of ``size`` bytes with its anchor at ``place``: first and last window and core of each part."""
-    last = size - LENGTH
+    last = size - length
     for j in range((place - last) // step, place // step + 1):
         low, high = max(place - (j + 1) * step + 1, 0), min(place - j * step, last)
         if low <= high:
-            yield low, high, place - j * step, place - (j + 1) * step + 1 + LENGTH
+            yield low, high, place - j * step, place - (j + 1) * step + 1 + length
 
 
-def _cut_parts(step: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_parts(step: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of stretches (or of their windows ``low`` to ``high``): core and digest of each part."""
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
             data, head = r["bytes"], r["anchor"].to_bytes(8, "little", signed=True)
-            for low, high, a, b in parts(r["place"], len(data), step):
+            for low, high, a, b in parts(r["place"], len(data), step, length):
                 if r.get("low", low) <= low and high <= r.get("high", high):
                     offset = (r["place"] - low).to_bytes(8, "little")
                     core = hashlib.md5(head + ((r["place"] - a) // step).to_bytes(8, "little", signed=True) + data[a:b])
-                    rows.append({"core": core.digest(), "part": hashlib.md5(offset + data[low : high + LENGTH]).digest(),
+                    rows.append({"core": core.digest(), "part": hashlib.md5(offset + data[low : high + length]).digest(),
                                  "anchor": r["anchor"], "stretch": r["stretch"], "n": r["n"], "low": low, "high": high})
         yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
 
@@ -180,13 +197,13 @@ def _runs(starts: np.ndarray) -> list[int]:
                             starts[np.concatenate([breaks, [len(starts) - 1]])]]).ravel().tolist()
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _search(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort whole cores, a shard of them at a time; rows come sorted by core."""
     held: list[dict] = []
     size = 0
 
     def shard() -> pa.RecordBatch:
-        found = repeated_windows([r["bytes"] for r in held])
+        found = repeated_windows([r["bytes"] for r in held], length)
         rows = [{"anchor": r["anchor"], "stretch": r["stretch"], "runs": _runs(f + r["low"])}
                 for r, f in zip(held, found) if r["n"] == 1 and len(f)]
         return pa.RecordBatch.from_pylist(rows, schema=_FOUND)
@@ -206,15 +223,15 @@ _FOUND = pa.schema([("anchor", pa.int64()), ("stretch", pa.binary()), ("runs", p
 _FOUND_SQL = "anchor long, stretch binary, runs array<long>"
 
 
-def _spans(found: list[dict] | None) -> list[tuple[int, int]]:
+def _spans(found: list[dict] | None, length: int) -> list[tuple[int, int]]:
     """Maximal byte ranges covered by the repeated windows of a document."""
     ranges = []
     for r in found or []:
         if r["runs"] is None:
-            ranges.append((r["first"], r["last"] + LENGTH))
+            ranges.append((r["first"], r["last"] + length))
         else:
             runs = iter(r["runs"])
-            ranges += [(r["first"] + a, r["first"] + b + LENGTH) for a, b in zip(runs, runs)]
+            ranges += [(r["first"] + a, r["first"] + b + length) for a, b in zip(runs, runs)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(ranges):
         if merged and a <= merged[-1][1]:
@@ -235,9 +252,10 @@ def _counted(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kinds, found
 
 
-def _compared(stretches_: DataFrame) -> DataFrame:
+def _compared(stretches_: DataFrame, windows: Windows) -> DataFrame:
     """Found windows (anchor, stretch, runs) of different stretches (anchor, stretch, n, place, bytes)."""
-    cut = settle(stretches_.mapInArrow(partial(_cut_parts, STEP), _PARTS_SQL), "parts")
+    length = windows.length
+    cut = settle(stretches_.mapInArrow(partial(_cut_parts, windows.step, length), _PARTS_SQL), "parts")
     kinds, found = _counted(cut)
     cores = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
     cores = settle(cores.where("kinds > 1 and least = 1").select("core", "kinds"), "open-cores")
@@ -246,23 +264,23 @@ def _compared(stretches_: DataFrame) -> DataFrame:
     asked = kinds.join(few, "core").select("core", "n", "one.*")
     sorted_ = (
         asked.join(bytes_of, ["anchor", "stretch"])
-        .withColumn("bytes", F.expr(f"substring(bytes, cast(low + 1 as int), cast(high - low + {LENGTH} as int))"))
+        .withColumn("bytes", F.expr(f"substring(bytes, cast(low + 1 as int), cast(high - low + {length} as int))"))
         .select("core", "anchor", "stretch", "n", "low", "bytes")
         .repartition("core").sortWithinPartitions("core")
-        .mapInArrow(_search, _FOUND_SQL)
+        .mapInArrow(partial(_search, length), _FOUND_SQL)
     )
     # hot cores: every window is a part of its own, and counting settles it
     many = cores.where(F.col("kinds") > MOST_PARTS).select("core")
     single = cut.join(many, "core").select("anchor", "stretch", "n", "low", "high").distinct()
-    windows = settle(single.join(bytes_of, ["anchor", "stretch"]).mapInArrow(partial(_cut_parts, 1), _PARTS_SQL), "windows")
-    return found.unionByName(sorted_).unionByName(_counted(windows)[1])
+    ones = single.join(bytes_of, ["anchor", "stretch"]).mapInArrow(partial(_cut_parts, 1, length), _PARTS_SQL)
+    return found.unionByName(sorted_).unionByName(_counted(settle(ones, "windows"))[1])
 
 
-def _settled(docs: DataFrame) -> DataFrame:
+def _settled(docs: DataFrame, windows: Windows) -> DataFrame:
     """Rows doc, found: what ``_spans`` needs, for documents with a repeated window."""
     filed = settle(
         docs.select("doc", "text").mapInArrow(
-            _file, "doc binary, anchor long, stretch binary, first long, last long, place long"),
+            partial(_file, windows), "doc binary, anchor long, stretch binary, first long, last long, place long"),
         "stretches",
     )
     often = filed.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1").select("anchor")
@@ -278,25 +296,25 @@ def _settled(docs: DataFrame) -> DataFrame:
     asked = kinds.join(several, "anchor").select(
         "one.doc", F.struct("anchor", "stretch", "n", "one.first", "one.last", "one.place").alias("ask")
     ).groupBy("doc").agg(F.collect_list("ask").alias("asked"))
-    # repeated rows bring a stretch more than once, but only stretches that are settled (n > 1)
+    # repeated rows bring a stretch once a task at most, and only stretches that are settled (n > 1) more than once
     cut = docs.join(asked, "doc").mapInArrow(
-        _cut_out, "anchor long, stretch binary, n long, place long, bytes binary")
+        partial(_cut_out, windows.length), "anchor long, stretch binary, n long, place long, bytes binary")
     verdicts = kinds.where("n > 1").select("anchor", "stretch", F.lit(None).cast("array<long>").alias("runs"))
-    verdicts = settle(verdicts.unionByName(_compared(settle(cut, "different-stretches"))), "verdicts")
+    verdicts = settle(verdicts.unionByName(_compared(settle(cut, "different-stretches"), windows)), "verdicts")
     return (
         held.join(verdicts, ["anchor", "stretch"])
-        .groupBy("doc").agg(F.collect_list(F.struct("first", "last", "runs")).alias("found"))
+        .groupBy("doc").agg(F.collect_set(F.struct("first", "last", "runs")).alias("found"))  # equal rows have one set
     )
 
 
-def _remove(as_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _remove(as_text: bool, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, found = batch.column("text"), batch.column("found")
         rest = [c for c in batch.schema.names if c not in ("text", "found")]
         kept, cuts, sizes = [], [], []
         for row in range(len(batch)):
             text = texts[row].as_py().encode()
-            spans = _spans(found[row].as_py())
+            spans = _spans(found[row].as_py(), length)
             at, left = 0, []
             for a, b in spans:
                 left.append(text[at:a])
@@ -314,18 +332,19 @@ def _remove(as_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
 
 
 def without_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str, as_text: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str, as_text: bool = False,
+    length: int = LENGTH,
 ) -> DataFrame:
     """Per row: doc_id, further columns, n_bytes, kept and spans (what went, in bytes).
 
     ``kept`` holds the bytes left. As text, a character of which only a part is left goes too.
     """
     keyed = id_and_text(docs, id_col, text_col, *more).withColumn("doc", row_key("doc_id", "text"))
-    found = _settled(keyed)
+    found = _settled(keyed, Windows.of(length))
     kinds = {f.name: f.dataType.simpleString() for f in keyed.schema.fields}
     out = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *more))
     return keyed.join(found, "doc", "left").select("doc_id", *more, "text", "found").mapInArrow(
-        partial(_remove, as_text),
+        partial(_remove, as_text, length),
         f"{out}, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start: long, stop: long>>",
     )
 
@@ -339,10 +358,10 @@ def repeat_digest(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """The table with the repeated passages cut out of its texts; a null text stays null."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     flat = whole.select("row", f"row.`{id_col}`", f"row.`{text_col}`")
-    done = without_repeats(flat, id_col, text_col, "row", as_text=True)
+    done = without_repeats(flat, id_col, text_col, "row", as_text=True, length=length)
     text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.col("kept"))
     return done.select(*[(text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
