@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers as public
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -118,6 +119,18 @@ def test_ways_place_all_pieces(kind):
         assert at == counts[length]
 
 
+def test_program_is_solved_and_bounded():
+    """Nearly everything is covered; the bound holds; where best fit wastes room the program's columns win."""
+    rng = np.random.default_rng(5)
+    lengths = np.concatenate([rng.integers(640, 720, 3000), rng.integers(500, 530, 2000), rng.integers(900, 1100, 1500)])
+    counts = np.bincount(lengths, minlength=2049)
+    solved = packing.program(counts)
+    assert solved.covered.sum() > 0.95 * counts.sum()
+    used = sum(t for _, t in packing.packed(counts))
+    assert -(-int(lengths.sum()) // 2048) <= solved.bound + 1 and solved.bound <= used
+    assert used < sum(t for _, t in packing._rounded(counts, [], 0.0, 2048))
+
+
 def test_solution_covers_no_length_twice():
     counts = np.bincount(np.random.default_rng(3).integers(100, 1900, 4000), minlength=2049)
     covered = np.zeros(2049)
@@ -173,7 +186,7 @@ def test_headers_decide_what_is_read(spark, pages, tmp_path, monkeypatch):
     for file in glob.glob(f"{tmp_path}/w/*.warc"):
         with open(file, "rb") as f:
             assert all(r["payload"] is None for r in warc.records(warc._Plain(f), lambda row: True, False))
-    with pytest.raises(ValueError, match="no such columns"):
+    with pytest.raises(AnalysisException, match="no such columns"):
         spark.read.format("warc").schema("nothing string").load(path).collect()
 
 

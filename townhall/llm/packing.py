@@ -4,10 +4,12 @@ Pieces are known by their lengths alone, so the histogram, at most as long as a
 that one machine sees. The program asks for the fewest sequences such that every length is
 covered; a column is a way to fill one sequence. Multiplicative weights solve it: lengths that
 lag behind gain weight, a knapsack over the weights prices every column that starts with a given
-length, and each length still uncovered buys its best column. Whole multiples of the columns are
-taken; what rounding leaves over is packed best fit, longest first.
+length, and each length still uncovered buys its best column. Rounds go on until all but ``GAP`` of the
+volume is covered. Prices over the dearest filling they allow are a solution of the dual program: a lower
+bound of the sequences that any packing needs. Whole multiples of the columns are taken; what rounding
+leaves over is packed best fit, longest first.
 
-Every piece then finds its place from its rank among the pieces of its length: a join with a
+Every piece then finds its place from its rank among the pieces of its length, by binary search in a
 table of at most (columns x 63) rows, as 63 different lengths fill a sequence of 2048.
 
 Defined results: a null or empty text is the single end token; rows with one id are packed each;
@@ -19,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -31,9 +34,10 @@ from townhall.session import settle
 
 SEQUENCE = 2048
 END = 0
-ROUNDS = 24  # of multiplicative weights; columns, and so the table that is sent out, grow with it
-RATE = 0.5  # how fast prices follow the distance from the pace
-SLACK = 0.02  # how far below the best column's worth one may be bought
+ROUNDS = 48  # of multiplicative weights in which the pace rises to the whole histogram
+GAP = 0.002  # share of the volume that may stay uncovered when the rounds end
+RATE = 0.03  # how fast prices follow the distance from the pace
+SLACK = 0.05  # how far below the best column's worth one may be bought
 PARTS = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)  # of the solution that are rounded
 
 _WORD = re.compile(r"[^ \n\r\t]+")
@@ -127,26 +131,45 @@ def _column(first: int, take: np.ndarray, size: int) -> dict[int, int]:
     return found
 
 
-def solve(counts: np.ndarray, size: int = SEQUENCE, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Columns and how often to use them; ``counts[l]`` pieces of length ``l`` are to be covered.
+@dataclass
+class Program:
+    """Columns with how often to use them, a lower bound of the sequences needed, pieces of each length covered."""
+
+    columns: list[tuple[dict[int, int], float]]
+    bound: float
+    covered: np.ndarray
+
+
+def program(counts: np.ndarray, size: int = SEQUENCE, rounds: int = ROUNDS) -> Program:
+    """The configuration program of a histogram: ``counts[l]`` pieces of length ``l`` are to be covered.
 
     Prices start as shares of a sequence. In each round the knapsack prices every column that
     begins with a given length; lengths behind the pace of the rounds buy theirs if it is worth
     nearly as much as the best one. Prices of lengths behind the pace then rise and those of
     lengths ahead fall, by a factor of their distance. No column covers a length beyond its
-    count, so nothing is bought twice; what stays uncovered is left to the rounding.
+    count, so nothing is bought twice. The pace rises for ``rounds`` rounds; those that follow at the full pace each
+    cover at least one more length to its end, the first of the best column, so there are at most ``size`` of them.
     """
     lengths = np.flatnonzero(counts)
+    covered, price = np.zeros(size + 1), np.arange(size + 1) / size
+    volume = float((counts * np.arange(size + 1)).sum())
     if not len(lengths):
-        return []
+        return Program([], 0.0, covered)
     held = counts.astype(float)
-    covered, price = np.zeros(size + 1), np.arange(size + 1) / size
     columns: dict[tuple, float] = {}
-    for pace in np.arange(1, rounds + 1) / rounds:
+    bound, step = volume / size, 0
+    while True:
+        step += 1
+        pace = min(step / rounds, 1.0)
         value = np.full(size + 1, -np.inf)
         open_ = lengths[covered[lengths] < held[lengths] * (1 - 1e-9)]
+        if not len(open_) or step > rounds and ((held - covered) * np.arange(size + 1)).sum() <= GAP * volume:
+            return Program([(dict(k), v) for k, v in columns.items()], bound, covered)
         value[open_] = price[open_]
         best, take = _knapsack(value, size)
+        if step % 8 == 0:  # prices over the dearest filling of a sequence are a solution of the dual
+            value[lengths] = price[lengths]
+            bound = max(bound, float((held * price).sum() / _knapsack(value, size)[0][size]))
         behind = open_[covered[open_] < pace * held[open_]]
         worth = price[behind] + best[size - behind]
         for length in behind[worth >= (1 - SLACK) * best[size]][::-1].tolist():
@@ -161,7 +184,11 @@ def solve(counts: np.ndarray, size: int = SEQUENCE, rounds: int = ROUNDS) -> lis
                 covered[x] += share * n
         price[lengths] *= np.exp(RATE * (pace - covered[lengths] / held[lengths]))
         price /= max(best[size], 1e-12)
-    return [(dict(k), v) for k, v in columns.items()]
+
+
+def solve(counts: np.ndarray, size: int = SEQUENCE, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
+    """Columns and how often to use them; what they leave uncovered is left to the rounding."""
+    return program(counts, size, rounds).columns
 
 
 def _rounded(counts: np.ndarray, columns: list[tuple[dict[int, int], float]], part: float,
@@ -221,6 +248,20 @@ def places(ways: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int,
     return rows
 
 
+def _seat(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequence and offset of pieces; ``table`` as ``places`` gives it, sorted by length and low."""
+    most = int(table[:, 2].max(initial=0)) + 1
+    key = table[:, 0] * most + table[:, 1]  # ranks of a length stay below ``most``
+    for batch in batches:
+        length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+        row = table[np.searchsorted(key, length * most + rank, "right") - 1] if len(batch) else table[:0]
+        nth = rank - row[:, 1]
+        columns = [batch.column(c) for c in batch.schema.names if c != "rank"]
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(row[:, 3] + nth // row[:, 4]), pa.array(row[:, 5] + nth % row[:, 4] * row[:, 0])],
+            names=[*(c for c in batch.schema.names if c != "rank"), "sequence_id", "offset"])
+
+
 def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """Adds sequence_id and offset to pieces (a column ``length`` of 1 to ``size``)."""
     spark = pieces.sparkSession
@@ -231,21 +272,16 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     histogram = np.zeros(size + 1, np.int64)
     for length, n in counts.groupBy("length").agg(F.sum("n")).collect():  # at most ``size`` rows
         histogram[length] = n
-    table = places(packed(histogram, size))
-    table = table or [(0, 0, 0, 0, 1, 0)]
-    rows = spark.createDataFrame(table, "length long, low long, high long, first long, each long, begin long")
+    table = np.array(places(packed(histogram, size)), np.int64).reshape(-1, 6)
+    table = table[np.lexsort((table[:, 1], table[:, 0]))]
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     order = Window.partitionBy("length", "salt").orderBy(*names)
     ranked = salted.withColumn("nth", F.row_number().over(order) - 1).join(bases, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("base") + F.col("nth"))
-    hit = (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
-    found = ranked.join(F.broadcast(rows.withColumnRenamed("length", "of")), hit)
-    nth = F.col("rank") - F.col("low")
-    return found.select(
-        *names, (F.col("first") + F.floor(nth / F.col("each"))).alias("sequence_id"),
-        (F.col("begin") + (nth % F.col("each")) * F.col("length")).alias("offset"),
-    )
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
+    out = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "sequence_id long", "offset long"])
+    return ranked.select(*names, "rank").mapInArrow(partial(_seat, table), out)
 
 
 def packed_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
