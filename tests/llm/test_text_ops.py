@@ -6,11 +6,14 @@ import random
 import zlib
 
 import brute
+import duckdb
 import numpy as np
 import pytest
+from compare import difference
 from pyspark.sql import functions as F
 
 from townhall.llm import language_crf as lc, pii_base, quality, skip_chain as sc, syncmers
+from townhall.llm.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +71,9 @@ def test_clean_documents_of_scripts_without_spaces_stay(spark):
     assert [(r.doc_id, r.rejected_by) for r in quality.judged(df).orderBy("doc_id").collect()] == [
         (0, None), (1, None), (2, None), (3, "long_words"), (4, "long_words")]
     assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == [0, 1, 2]
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert difference(quality.judged(df).drop("rejected_by"), con, ORACLE["op4_quality_cascade"]) is None
 
 
 def test_quality_edges(odd_docs, no_docs):
@@ -239,6 +245,13 @@ def test_held_out_accuracy_and_edges(spark, odd_docs, no_docs):
     assert lc.languages(no_docs).count() == 0
 
 
+def test_texts_without_a_letter(spark, odd_docs):
+    rows = [(20, "½²"), (21, "① ⑳"), (22, "—“…” 12"), (23, "a²"), (24, "ª"), (25, "字")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    found = {r.doc_id: r.lang_pred for r in lc.languages(docs.unionByName(odd_docs.select("doc_id", "text", "lang"))).collect()}
+    assert [d for d in range(20, 26) if found[d] == "und"] == [20, 21, 22]
+
+
 def test_rare_labels_are_learned_beside_hot_ones(spark, monkeypatch):
     words = F.when(F.col("id") % 5000 == 1, "zuvo keldi marna").when(F.col("id") % 100 == 2, "huis boom water").otherwise("the house and")
     lang = F.when(F.col("id") % 5000 == 1, "xx").when(F.col("id") % 100 == 2, "nl").otherwise("en")

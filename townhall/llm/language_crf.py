@@ -18,13 +18,13 @@ labelled rows predicts ``und``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from townhall.llm.byte_arrays import BLOCK_BYTES, Block, WindowHashes, blocks
@@ -37,7 +37,7 @@ BUCKETS = 1 << 16  # for n-grams, and as many for whole words
 EPOCHS = 4
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 _KIND = np.full(256, 32, np.uint8)  # what is no letter counts as a gap
 for _c in [*range(65, 91), *range(97, 123), *range(128, 256)]:
@@ -46,10 +46,17 @@ _KIND[65:91] += 32
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
-    """Letters in lower case (ASCII and Latin-1), anything else a gap; UTF-8 stays UTF-8."""
+    """Letters in lower case (ASCII and Latin-1), anything else a gap; UTF-8 stays UTF-8.
+
+    Of what lies beyond ASCII, the signs of Latin-1 and of general punctuation are gaps, the rest counts as letters.
+    """
     out = _KIND[data]
+    signs = np.flatnonzero((out[:-1] == 0xC2) & ~np.isin(out[1:], [0xAA, 0xB5, 0xBA])) + 1
+    marks = np.flatnonzero((out[:-2] == 0xE2) & ((out[1:-1] == 0x80) | (out[1:-1] == 0x81))) + 2
+    signs_and_marks = np.concatenate([signs - 1, signs, marks - 2, marks - 1, marks])
     upper = np.flatnonzero((out[:-1] == 0xC3) & (out[1:] >= 0x80) & (out[1:] <= 0x9E)) + 1
     out[upper] += 0x20
+    out[signs_and_marks] = 32
     return out
 
 

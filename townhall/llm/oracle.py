@@ -10,6 +10,8 @@ from __future__ import annotations
 from townhall.llm import quality, superminhash, warc
 
 _WORDS = r"[^\x20\x09-\x0D]+"
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_UNSPACED_SIGNS = r"\x{2010}-\x{2027}\x{3000}-\x{303F}\x{30FB}-\x{30FC}\x{FF00}-\x{FF65}"
 
 ORACLE: dict[str, str] = {}
 
@@ -45,14 +47,19 @@ counted AS (
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM lines LEFT JOIN inside USING (doc_id)),
 judged AS (
-  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed
+  SELECT *, length(text) - length(regexp_replace(text, '[{_UNSPACED}]', '', 'g')) AS unspaced,
+         length(text) - length(replace(text, '!', '')) AS calls,
+         regexp_extract_all(regexp_replace(text, '[{_UNSPACED}{_UNSPACED_SIGNS}]+', ' ', 'g'), '{_WORDS}') AS spaced,
+         n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words AS base_failed
   FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars > 15 * n_words OR 2 * word_chars < 5 * n_words
+       NOT (base_failed OR 10 * n_symbols > n_words + unspaced
+            OR (word_chars > 15 * n_words AND (unspaced = 0 OR length(array_to_string(spaced, '')) > 15 * len(spaced)))
+            OR 2 * word_chars < 5 * n_words
             OR 10 * len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) < 7 * n_words
             OR 2 * (length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')))
                > length(text) - length(regexp_replace(text, '\p{{L}}', '', 'g'))
-            OR 2 * (length(text) - length(replace(text, '!', ''))) > n_words
+            OR 2 * calls > n_words + unspaced
             OR 2 * len(list_distinct(l)) < len(l)) AS kept
 FROM judged"""
 
