@@ -14,6 +14,8 @@ from townhall.llm.skip_chain import mask_personal_data
 from townhall.llm.superminhash import drop_near_duplicates
 from townhall.session import settle
 
+PASSAGE_BYTES = 256  # as good as all runs of 51 words are that long; few shorter runs are (README)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
@@ -28,9 +30,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that occur again go from every text."""
+    """Passages of ``PASSAGE_BYTES`` or more that occur again go from every text."""
     ship(spark)
-    return drop_repeats(docs)
+    return drop_repeats(docs, length=PASSAGE_BYTES)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
