@@ -33,6 +33,9 @@ def build_session(app: str = "townhall", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_OWN: dict[str, str] = {}  # an application's own folder, where the setting is empty
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,10 +43,11 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="townhall-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)  # our own folder, for this process only
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="townhall-")
+        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)  # our own folder, for this process only
+    return _OWN[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
