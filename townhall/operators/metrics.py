@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from townhall.functions import dates, numbers, text as tx
 from townhall.functions.labels import QUESTION
 from townhall.operators.filters import having, questions
-from townhall.operators.medians import attach, exact_medians
+from townhall.operators.medians import attach, bracketed_medians, exact_medians
 
 
 def _rows() -> Column:
@@ -191,6 +191,14 @@ def median_response_by(posts: DataFrame, by: str = "channel") -> DataFrame:
     return medians.select(by, hours.alias("median_hours"))
 
 
+def bracketed_median_response_by(posts: DataFrame, by: str = "channel") -> DataFrame:
+    """The same as ``median_response_by``, for posts whose response times are too many to be shuffled."""
+    slow = having(posts.where(F.col("latest_response_micros") > 0), by)
+    medians = bracketed_medians(slow, F.col("latest_response_micros"), [by], "_median")
+    hours = numbers.round_even(dates.micros_to_hours(F.col("_median")), 1)
+    return medians.select(by, hours.alias("median_hours"))
+
+
 def poster_frequency(posts: DataFrame) -> DataFrame:
     """One-time and repeat authors, from one count per author."""
     return group_sizes(posts, "author").agg(

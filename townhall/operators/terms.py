@@ -38,6 +38,9 @@ ENGLISH_STOPWORDS = (
 REPORT_TERMS, OVERVIEW_TERMS = 80, 60
 COLLOCATION_SCORE = 30
 
+# Words whose counts are sent to the pairs; with at most so many characters each, that is some MB.
+FREQUENT, FREQUENT_LENGTH = 1 << 15, 64
+
 _W = r"\p{L}\p{N}_"
 # A word starts with a word character and runs on over apostrophes; a closing 's is
 # left out, and words of digits only are passed over.
@@ -188,6 +191,49 @@ def _score(singles: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def score_bound(both: Column, first: tuple[Column, Column], second: tuple[Column, Column], total: Column) -> Column:
+    """No less than the score of a pair whose words occur as often as these ranges say.
+
+    The score falls as long as a word's count is below what would make the pair a matter of chance, and rises
+    from there on, for each word whatever the other's count is: within two ranges it is largest in a corner. A sum of
+    logarithms of this size is exact but for a share of the total, which is added.
+    """
+    corners = [collocation_score(both, a, b, total) for a in first for b in second]
+    return F.greatest(*corners) + 1e-6 + total * 1e-12
+
+
+def _known(lookup: DataFrame, frequent: int = FREQUENT) -> tuple[DataFrame, Column]:
+    """The most frequent forms that are not very long, with their terms and counts, and the least of these counts."""
+    short = lookup.where(F.length("form") <= FREQUENT_LENGTH)
+    head = short.orderBy(F.desc("n"), F.asc("form")).limit(frequent)
+    return head, head.agg(F.coalesce(F.min("n"), F.lit(0)).alias("n")).scalar()
+
+
+def _with_known(pairs: DataFrame, head: DataFrame, key: str, name: str) -> DataFrame:
+    found = head.select(F.col("form").alias(key), F.col("term").alias(f"term_{name}"), F.col("n").alias(f"n_{name}"))
+    return pairs.join(F.broadcast(found), key, "left")
+
+
+def worth_scoring(singles: DataFrame, pairs: DataFrame, threshold: float, frequent: int = FREQUENT) -> DataFrame:
+    """The pairs that may pass the threshold; none that passes goes.
+
+    Of two frequent words the score is known at once. A word that is not among the ``frequent`` ones occurs at most as
+    often as the last of these, and at least as often as the pair: that bounds the score, so most pairs go
+    before any join moves them.
+    """
+    head, most = _known(singles.select(F.explode("keys").alias("form"), "term", "n"), frequent)
+    total = singles.agg(F.sum("n").alias("t")).scalar()
+    known = _with_known(_with_known(pairs, head, "key_1", "1"), head, "key_2", "2")
+    both = F.col("n_bigram")
+
+    def within(n: str) -> tuple[Column, Column]:
+        return F.coalesce(F.col(n), both), F.coalesce(F.col(n), F.greatest(most, both))
+
+    unbounded = (F.length("key_1") > FREQUENT_LENGTH) | (F.length("key_2") > FREQUENT_LENGTH)
+    bound = score_bound(both, within("n_1"), within("n_2"), total)
+    return known.where(unbounded | (bound > threshold)).select("bigram", "n_bigram", "key_1", "key_2")
+
+
 def scored_bigrams(df: DataFrame, text: str, stopwords=()) -> DataFrame:
     """Every pair with the counts of its words and its collocation score."""
     return _score(*_vocabulary(df, text, stopwords))
@@ -197,6 +243,16 @@ def collocations(df: DataFrame, text: str, stopwords=(), threshold: float = COLL
     return scored_bigrams(df, text, stopwords).where(F.col("score") > threshold)
 
 
+def pruned_collocations(df: DataFrame, text: str, stopwords=(), threshold: float = COLLOCATION_SCORE) -> DataFrame:
+    """The same as ``collocations``, for vocabularies whose pairs are too many to be moved for each of their words.
+
+    It counts and folds the words once more, to know the frequent ones before the joins; ``collocations`` does without
+    that and moves every pair twice.
+    """
+    singles, pairs = _vocabulary(df, text, stopwords)
+    return _score(singles, worth_scoring(singles, pairs, threshold)).where(F.col("score") > threshold)
+
+
 def cloud_counts(df: DataFrame, text: str, stopwords=(), threshold: float = COLLOCATION_SCORE) -> DataFrame:
     """Words and collocations together; a pair's count is taken off both of its words."""
     singles, pairs = _vocabulary(df, text, stopwords)

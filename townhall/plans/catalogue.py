@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from townhall.functions import dates, labels, numbers, payloads, text as tx
 from townhall.functions.labels import QUESTION
-from townhall.operators import capture, distributions, filters, identity, metrics, ranking, terms
+from townhall.operators import capture, cube, distributions, filters, identity, idsets, metrics, ranking, sketches, terms
 from townhall.operators.filters import PostFilter, having
 from townhall.operators.typed import multi_channel_posts, single_community_posts
 from townhall.plans import dashboard, report
 from townhall.plans import tables as tb
 from townhall.schema import CHANNEL_POST_COLUMNS
-from townhall.session import scratch_path
+from townhall.session import scratch_path, settle
 from townhall.sources import files
 from townhall.streaming import jobs
 
@@ -130,6 +130,11 @@ def median_response_by_channel(spark, sf):
     return metrics.median_response_by(tb.posts(spark, sf))
 
 
+@query
+def bracketed_median_by_channel(spark, sf):
+    return metrics.bracketed_median_response_by(tb.posts(spark, sf))
+
+
 @query
 def channel_summary(spark, sf):
     return metrics.channel_summary(tb.posts(spark, sf))
@@ -629,6 +634,87 @@ def conversation_posts(spark, sf):
         "short_title", tx.ellipsize(F.col("title"), 55))
 
 
+@query
+def bitmap_new_posts(spark, sf):
+    """Lines of orders that are not loaded, told by the set of loaded ids alone."""
+    orders, lines = tb.table(spark, sf, "orders"), tb.table(spark, sf, "lineitem")
+    loaded = orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    seen = settle(idsets.id_set(loaded, "o_orderkey"), "seen")
+    return idsets.unseen(lines.select("l_orderkey", "l_linenumber", "l_returnflag"), seen, "l_orderkey")
+
+
+@query
+def bitmap_load(spark, sf):
+    """Three loads of lines as posts, one after the other: each adds the first copies of ids not seen before."""
+    lines = tb.table(spark, sf, "lineitem").where(F.col("l_returnflag") != "R").select(
+        F.col("l_orderkey").alias("id"), (F.col("l_linenumber") % 3).cast("int").alias("part"), "l_linenumber")
+    seen, loaded = idsets.id_set(lines.where("false"), "id"), []
+    for part in range(3):
+        fresh, added = idsets.load(lines.where(F.col("part") == part), seen, "id", ["l_linenumber"])
+        loaded.append(fresh.select("id", "part"))
+        seen = settle(seen.unionByName(added), "seen")
+    return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
+
+
+@query
+def bitmap_members(spark, sf):
+    """Different authors by month, and by year and in all from the stored sets of the months."""
+    orders = tb.table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_custkey")
+    months = settle(idsets.id_set(orders, "o_custkey", ["month"]), "months")
+    parts = months.select("range", "bits", F.explode(
+        F.array("month", F.substring("month", 1, 4), F.lit("all"))).alias("period"))
+    return idsets.size(parts, ["period"], "members")
+
+
+@query
+def sketched_members(spark, sf):
+    """Authors of each channel and of all channels from stored sketches of (channel, month), against exact counts."""
+    posts = tb.posts(spark, sf).select("channel", "month", "author")
+    stored = settle(sketches.member_sketches(posts), "sketches")
+    about = sketches.members_about(stored, ["channel"], "about").unionByName(
+        sketches.members_about(stored, [], "about").withColumn("channel", F.lit("All")))
+    people = posts.select("author", F.explode(F.array("channel", F.lit("All"))).alias("channel"))
+    exact = people.groupBy("channel").agg(F.count_distinct("author").alias("authors"))
+    return exact.join(about, "channel").select(
+        "channel", "authors", sketches.agrees(F.col("about"), F.col("authors")).alias("agrees"))
+
+
+# -- the cube of filter choices ----------------------------------------------
+
+
+def _cube(spark, sf) -> cube.Cube:
+    """Built once and written, as a report keeps it."""
+    path = scratch_path(spark, "cube")
+    cube.build(tb.posts(spark, sf)).write(path)
+    return cube.Cube.read(spark, path)
+
+
+@query
+def cube_choices(spark, sf):
+    return cube.choices(_cube(spark, sf))
+
+
+@query
+def cube_support_figures(spark, sf):
+    return cube.support_figures(_cube(spark, sf), CHOSEN)
+
+
+@query
+def cube_channel_summary(spark, sf):
+    """Per channel for several months of every type: authors are counted from the members, not summed."""
+    return cube.channel_summary(_cube(spark, sf), PostFilter(months=CHOSEN.months))
+
+
+@query
+def cube_answered_by_channel(spark, sf):
+    return cube.answered_by_channel(_cube(spark, sf), PostFilter(type_label=QUESTION))
+
+
+@query
+def cube_poster_frequency(spark, sf):
+    return cube.poster_frequency(_cube(spark, sf), CHOSEN)
+
+
 # -- terms -------------------------------------------------------------------
 
 
@@ -652,6 +738,12 @@ def collocations(spark, sf):
     return out.select("bigram", "n_bigram", "n_1", "n_2", F.round("score", 4).alias("score"))
 
 
+@query
+def pruned_collocations(spark, sf):
+    out = terms.pruned_collocations(_documents(spark, sf), "text", terms.REPORT_STOPWORDS)
+    return out.select("bigram", "n_bigram", "n_1", "n_2", F.round("score", 4).alias("score"))
+
+
 @query
 def top_terms(spark, sf):
     counts = terms.cloud_counts(_documents(spark, sf), "text", terms.REPORT_STOPWORDS)

@@ -462,28 +462,28 @@ def _fold(source: str, name: str) -> str:
 def _vocabulary(stopwords, source: str = "documents") -> str:
     listed = _listed(stopwords)
     return f"""
-WITH row_words AS (
+WITH row_words AS MATERIALIZED (
   SELECT list_filter(
     list_transform(regexp_extract_all(text, '{_WORD}'),
                    lambda w: CASE WHEN lower(w) LIKE '%''s' THEN w[:-3] ELSE w END),
     lambda w: NOT regexp_full_match(w, '\\p{{Nd}}+')) AS w
   FROM {source}),
-single_forms AS (
+single_forms AS MATERIALIZED (
   SELECT lower(form) AS key, form, count(*) AS n FROM (SELECT unnest(w) AS form FROM row_words)
   WHERE lower(form) NOT IN {listed} GROUP BY ALL),
-neighbours AS (SELECT unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM row_words),
-pair_forms AS (
+neighbours AS MATERIALIZED (SELECT unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM row_words),
+pair_forms AS MATERIALIZED (
   SELECT lower(a || ' ' || b) AS key, a || ' ' || b AS form, count(*) AS n FROM neighbours
   WHERE lower(a) NOT IN {listed} AND lower(b) NOT IN {listed} GROUP BY ALL),
 {_fold('single_forms', 'single')},
 {_fold('pair_forms', 'pair')},
-total AS (SELECT CAST(sum(n) AS DOUBLE) AS t FROM single),
-counted AS (
+total AS MATERIALIZED (SELECT CAST(sum(n) AS DOUBLE) AS t FROM single),
+counted AS MATERIALIZED (
   SELECT p.term AS bigram, p.n AS n_bigram, a.term AS term_1, a.n AS n_1, b.term AS term_2, b.n AS n_2, t,
          b.n / t AS p, p.n / a.n AS p1, (b.n - p.n) / (t - a.n) AS p2
   FROM pair p JOIN single_lookup a ON a.key = split_part(p.term_key, ' ', 1)
   JOIN single_lookup b ON b.key = split_part(p.term_key, ' ', 2), total),
-scored AS (
+scored AS MATERIALIZED (
   SELECT *, CASE WHEN t <= n_1 OR t <= n_2 THEN 0 ELSE -2 * (
       ln(greatest(p, 1e-10)) * n_bigram + ln(greatest(1 - p, 1e-10)) * (n_1 - n_bigram)
     + ln(greatest(p, 1e-10)) * (n_2 - n_bigram) + ln(greatest(1 - p, 1e-10)) * (t - n_1 - (n_2 - n_bigram))
@@ -491,7 +491,7 @@ scored AS (
     - ln(greatest(p2, 1e-10)) * (n_2 - n_bigram) - ln(greatest(1 - p2, 1e-10)) * (t - n_1 - (n_2 - n_bigram))
     ) END AS score
   FROM counted),
-kept AS (SELECT * FROM scored WHERE score > 30),
+kept AS MATERIALIZED (SELECT * FROM scored WHERE score > 30),
 cloud AS (
   SELECT term, CAST(sum(n) AS BIGINT) AS n FROM (
     SELECT term, n FROM single
@@ -506,6 +506,7 @@ ORACLE["term_counts"] = _vocabulary(ENGLISH_STOPWORDS) + "SELECT term, n FROM si
 ORACLE["bigram_counts"] = _vocabulary(REPORT_STOPWORDS) + "SELECT term, n FROM pair"
 ORACLE["collocations"] = _vocabulary(REPORT_STOPWORDS) + """
 SELECT bigram, n_bigram, n_1, n_2, round(score, 4) AS score FROM kept"""
+ORACLE["pruned_collocations"] = ORACLE["collocations"]
 ORACLE["top_terms"] = _vocabulary(REPORT_STOPWORDS) + """
 SELECT term, n, n / max(n) OVER () AS frequency FROM (SELECT * FROM cloud ORDER BY n DESC, term LIMIT 80)"""
 ORACLE["top_terms_overview"] = _vocabulary(ENGLISH_STOPWORDS) + """
@@ -518,6 +519,47 @@ _ASKED_CHOSEN = "(" + _POSTS + _CHOSEN + "SELECT title || ' ' || body AS text FR
 ORACLE["chosen_terms"] = _vocabulary(REPORT_STOPWORDS, _ASKED_CHOSEN) + """
 SELECT term, n, n / max(n) OVER () AS frequency FROM (SELECT * FROM cloud ORDER BY n DESC, term LIMIT 80)"""
 
+# -- sets of ids, the cube, sketches -----------------------------------------
+
+ORACLE["bitmap_new_posts"] = """
+SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))"""
+ORACLE["bitmap_load"] = """
+SELECT id, part FROM (
+  SELECT l_orderkey AS id, l_linenumber % 3 AS part, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber % 3, l_linenumber) AS nth
+  FROM lineitem WHERE l_returnflag <> 'R') WHERE nth = 1"""
+ORACLE["bitmap_members"] = """
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y') AS year, o_custkey FROM orders)
+SELECT month AS period, count(DISTINCT o_custkey) AS members FROM m GROUP BY month
+UNION ALL SELECT year, count(DISTINCT o_custkey) FROM m GROUP BY year
+UNION ALL SELECT 'all', count(DISTINCT o_custkey) FROM m"""
+_MONTHS = "month IN ('1996-01', '1996-02', '1997-05', '1998-11')"
+_on_posts(
+    cube_choices="""
+, offered AS (
+  SELECT 'All' AS c, 'All' AS t UNION ALL SELECT DISTINCT channel, 'All' FROM posts
+  UNION ALL SELECT DISTINCT 'All', type_label FROM posts UNION ALL SELECT DISTINCT channel, type_label FROM posts),
+each AS (
+  SELECT c, t, author, count(*) AS n, sum(view_count) AS views, count(*) FILTER (type_label = 'Help / Question') AS asked,
+         count(*) FILTER (type_label = 'Help / Question' AND has_responses) AS responded,
+         count(*) FILTER (NOT has_responses) AS unanswered
+  FROM offered JOIN posts ON (c = 'All' OR c = channel) AND (t = 'All' OR t = type_label) GROUP BY ALL)
+SELECT c AS channel, t AS type_label, CAST(sum(n) AS BIGINT) AS posts, CAST(sum(views) AS BIGINT) AS total_views,
+       CAST(sum(asked) AS BIGINT) AS questions, CAST(sum(responded) AS BIGINT) AS responded,
+       CAST(sum(unanswered) AS BIGINT) AS unanswered, count(author) AS authors,
+       count(*) FILTER (n = 1) AS one_time, count(*) FILTER (n > 1) AS repeat
+FROM each GROUP BY ALL""",
+    sketched_members="""
+SELECT channel, count(DISTINCT author) AS authors, true AS agrees FROM posts GROUP BY channel
+UNION ALL SELECT 'All', count(DISTINCT author), true FROM posts""",
+    cube_channel_summary=ORACLE["channel_summary"].removeprefix(_POSTS).replace("FROM posts", "FROM posts WHERE " + _MONTHS),
+    cube_poster_frequency=_CHOSEN + ORACLE["poster_frequency"].removeprefix(_POSTS).replace("FROM posts", "FROM chosen"),
+    cube_support_figures=_CHOSEN + "SELECT * EXCLUDE (median_response_hours) FROM ("
+    + ORACLE["kpi_support"].removeprefix(_POSTS).replace("FROM posts", "FROM chosen") + ")",
+)
+ORACLE["cube_answered_by_channel"] = ORACLE["answered_by_channel"]
+ORACLE["bracketed_median_by_channel"] = ORACLE["median_response_by_channel"]
+
 # -- sinks -------------------------------------------------------------------
 
 ORACLE["csv_round_trip"] = """
