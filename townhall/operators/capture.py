@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from townhall.functions import labels, payloads, text as tx
 from townhall.operators.identity import keep_first
@@ -346,6 +346,32 @@ def stage_counts(df: DataFrame, *by: str, name: str = "n") -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
+STAGES = ("captured", "with_list", "exploded", "guarded", "rejected", "projected")
+
+
+def load_counted(captures: DataFrame, path: str, order: list[str], channel: str = "channel_name") -> DataFrame:
+    """Captures to channel posts in Parquet at ``path``, and one row with the counts of all stages.
+
+    The counts are taken in passing by the one job that writes: captures, those with a list, their elements,
+    elements with a usable id, incomplete ones among these, and posts after copies are gone. A task that Spark runs
+    again counts once; after a lost stage output the counts before the shuffle may hold its tasks twice.
+    """
+    seen, items, posts = (Observation(f"{name}-{path}") for name in ("captures", "items", "posts"))
+    usable, wrong = has_usable_id(F.col("item")), F.size(problems()) > 0
+    carried = list(dict.fromkeys([*order, channel]))
+    found = captures.select(*carried, conversation_list(F.col("data")).alias("_items")).observe(
+        seen, F.count(F.lit(1)).alias("captured"), F.count_if(F.size("_items") > 0).alias("with_list"))
+    each = found.select(*carried, F.posexplode("_items").alias("pos", "item")).observe(
+        items, F.count(F.lit(1)).alias("exploded"), F.count_if(usable).alias("guarded"),
+        F.count_if(usable & wrong).alias("rejected"))
+    known = read_known(each.where(usable & ~wrong), [*carried, "pos"])
+    first = keep_first(known, ["_id"], [*order, "pos"])
+    project_channel_posts(first, channel=channel).observe(posts, F.count(F.lit(1)).alias("projected")).write.parquet(path)
+    counts = {**seen.get, **items.get, **posts.get}
+    return captures.sparkSession.createDataFrame(
+        [tuple(counts.get(stage, 0) for stage in STAGES)], ", ".join(f"{stage} long" for stage in STAGES))
+
+
 def preview(df: DataFrame, order: list[str], rows: int = 5, width: int = 60) -> DataFrame:
     return (
         df.orderBy(*order)

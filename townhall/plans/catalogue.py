@@ -16,7 +16,7 @@ from townhall.plans import tables as tb
 from townhall.schema import CHANNEL_POST_COLUMNS
 from townhall.session import scratch_path, settle
 from townhall.sources import files
-from townhall.streaming import jobs
+from townhall.streaming import corrections, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
@@ -493,6 +493,13 @@ def capture_counts(spark, sf):
     return capture.stage_counts(rows, "url")
 
 
+@query
+def load_counts(spark, sf):
+    """The counts of all stages of a load, taken by the job that writes the posts."""
+    path = scratch_path(spark, "loaded")
+    return capture.load_counted(tb.captures(spark, sf), path, ["channel_name", "capture_ord"])
+
+
 def _extracted(spark, sf):
     wanted = capture.url_contains(tb.captures(spark, sf), "mainLayout")
     rows = capture.resources(wanted, keep=["capture_ord"])
@@ -899,6 +906,21 @@ def stream_first_copies(spark, sf):
     return jobs.run_update(rows, ["user_id"], jobs.Place.new(spark, "first"))
 
 
+@query
+def stream_corrections(spark, sf):
+    """Events that arrive in three loads, the earlier ones later: first event of each user, and how often it was corrected."""
+    path, at = scratch_path(spark, "arriving"), jobs.Place.new(spark, "corrected")
+    events = tb.table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for part in (2, 1, 0):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(events.schema).parquet(path)
+        passed = jobs.run_append(corrections.first_with_corrections(
+            arriving, "user_id", "event_id", "ts", F.col("event_id"), delay_ms=10**11, late="1000 days"), at)
+    return passed.groupBy("user_id").agg(
+        F.min("event_id").alias("event_id"), F.min_by("event_type", "event_id").alias("event_type"),
+        F.count_if("correction").alias("corrections"))
+
+
 @query
 def stream_new_posts(spark, sf):
     rows = _events(spark, sf).select("user_id", "event_id", "event_type")

@@ -401,6 +401,11 @@ ORACLE["key_union"] = _CAPTURES + """
                      'hasModeratorOrEndorsedResponse', 0) AS item
   FROM items WHERE shape = 1)
 SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(item)) AS key FROM found) GROUP BY key"""
+ORACLE["load_counts"] = _CAPTURES + """
+SELECT count(DISTINCT capture_ord) AS captured, count(DISTINCT capture_ord) FILTER (shape <> 4) AS with_list,
+       count(*) FILTER (shape <> 4) AS exploded, count(*) FILTER (shape <> 4 AND id <> 0) AS guarded,
+       CAST(0 AS BIGINT) AS rejected, count(DISTINCT id) FILTER (shape <> 4 AND id <> 0) AS projected
+FROM items"""
 ORACLE["capture_rejects"] = """
 SELECT o_orderkey AS ord, CASE WHEN o_orderkey % 8 = 5 OR o_orderkey % 8 IN (2, 4) AND o_orderkey % 16 <> 15
                                THEN 'id type' ELSE 'id' END AS problems
@@ -599,6 +604,12 @@ ORACLE["stream_first_copies"] = """
 SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type,
        arg_min(value, event_id) AS value
 FROM events GROUP BY user_id"""
+ORACLE["stream_corrections"] = """
+SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type,
+       CAST(coalesce(min(event_id) FILTER (event_id % 3 = 1) < min(event_id) FILTER (event_id % 3 = 2), false) AS BIGINT)
+       + CAST(coalesce(min(event_id) FILTER (event_id % 3 = 0) < min(event_id) FILTER (event_id % 3 > 0), false) AS BIGINT)
+         AS corrections
+FROM events GROUP BY user_id"""
 ORACLE["stream_new_posts"] = """
 SELECT user_id, event_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
