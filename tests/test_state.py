@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from townhall.operators import capture
-from townhall.streaming import corrections, jobs
+from townhall.streaming import corrections, jobs, late
 
 SCHEMA = "id long, row long, ts timestamp"
 START = dt.datetime(2024, 3, 1)
@@ -94,3 +94,62 @@ def test_one_scan_counts_and_writes(spark, small, tmp_path):
     stages = [s for j in jobs_run for s in sc.statusTracker().getJobInfo(j).stageIds]
     infos = [sc.statusTracker().getStageInfo(s) for s in set(stages)]
     assert sum(1 for i in infos if i and i.numCompletedTasks) <= 3  # schema read, counting map side, writing side
+
+
+# -- late rows -------------------------------------------------------------------
+
+
+def deliveries(spark, folder, n=6, seed=5, after=lambda: None):
+    """Files one after the other; some rows are days behind, each of those alone in its group."""
+    rng, row = random.Random(seed), 0
+    for part in range(n):
+        rows = []
+        for _ in range(40):
+            rows.append((f"k{rng.randrange(3)}", row, START + dt.timedelta(days=part, seconds=rng.randrange(86_400), microseconds=rng.randrange(10**6))))
+            row += 1
+        for _ in range(5):
+            back = dt.timedelta(days=rng.randrange(2, 5), seconds=rng.randrange(86_400))
+            rows.append((f"behind {row}", row, START + dt.timedelta(days=part) - back))
+            row += 1
+        spark.createDataFrame(rows, "kind string, row long, ts timestamp").coalesce(1).write.mode("append").parquet(folder)
+        after()
+    return row
+
+
+def by_file(spark, folder):
+    return spark.readStream.schema("kind string, row long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_late_rows_are_those_that_the_aggregate_drops(spark, tmp_path):
+    """Both run once for each delivery, and go on where they stopped."""
+    folder, dropped = f"{tmp_path}/in", 0
+
+    def run():
+        nonlocal split, dropped
+        split = late.run_windows(by_file(spark, folder), "ts", "kind", jobs.Place(f"{tmp_path}/o", f"{tmp_path}/p"))
+        plain = jobs.window_counts(by_file(spark, folder), "ts", "kind")
+        query = plain.writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{tmp_path}/q").trigger(
+            availableNow=True).start()
+        query.awaitTermination()
+        dropped += sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+    split = None
+    n = deliveries(spark, folder, after=run)
+    gone = split.late.collect()
+    assert 0 < len(gone) < n and len({r.kind for r in gone}) == len(gone)
+    assert split.counts.agg(F.sum("n")).first()[0] + len(gone) == n
+    assert dropped == len(gone)
+    rows = spark.read.parquet(folder).join(split.late.select("row"), "row", "left_anti")
+    want = {(r.w.start, r.kind): r["count"] for r in rows.groupBy(F.window("ts", "1 day").alias("w"), "kind").count().collect()}
+    assert {(r.window_start, r.kind): r.n for r in split.counts.collect()} == want
+
+
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    folder, at = f"{tmp_path}/in", jobs.Place(f"{tmp_path}/o", f"{tmp_path}/p")
+    n = deliveries(spark, folder, n=12)
+    split = late.run_windows(by_file(spark, folder), "ts", "kind", at)
+    assert split.counts.agg(F.sum("n")).first()[0] + split.late.count() == n
+    again = late.run_windows(by_file(spark, folder), "ts", "kind", at)  # nothing new: nothing changes
+    assert again.late.count() == split.late.count()
+    for name in ("counts", "mark"):
+        assert len(glob.glob(f"{tmp_path}/o/{name}/batch=*")) <= 3

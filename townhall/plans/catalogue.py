@@ -16,7 +16,7 @@ from townhall.plans import tables as tb
 from townhall.schema import CHANNEL_POST_COLUMNS
 from townhall.session import scratch_path, settle
 from townhall.sources import files
-from townhall.streaming import corrections, jobs
+from townhall.streaming import corrections, jobs, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOGUE: dict[str, Query] = {}
@@ -935,6 +935,20 @@ def stream_windows(spark, sf):
     return out.withColumn("window_start", naive("window_start"))
 
 
+@query
+def stream_late_rows(spark, sf):
+    """Events in two loads: what the second brings behind the first one's time, and what was counted."""
+    path, at = scratch_path(spark, "arriving"), jobs.Place.new(spark, "late")
+    events = tb.table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for part in (0, 1):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(events.schema).parquet(path)
+        split = late.run_windows(arriving, "ts", "event_type", at, delay="10 days")
+    behind = split.late.groupBy("event_type").agg(F.count(F.lit(1)).alias("late"))
+    return split.counts.groupBy("event_type").agg(F.sum("n").alias("kept")).join(behind, "event_type", "full").select(
+        "event_type", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("late", F.lit(0)).alias("late"))
+
+
 @query
 def stream_months(spark, sf):
     rows = jobs.run_complete(

@@ -604,6 +604,10 @@ ORACLE["stream_first_copies"] = """
 SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type,
        arg_min(value, event_id) AS value
 FROM events GROUP BY user_id"""
+ORACLE["stream_late_rows"] = """
+WITH m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 DAY AS mark FROM events WHERE event_id % 2 = 0),
+e AS (SELECT event_type, event_id % 2 = 1 AND date_trunc('day', ts) + INTERVAL 1 DAY <= mark AS late FROM events, m)
+SELECT event_type, count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late FROM e GROUP BY event_type"""
 ORACLE["stream_corrections"] = """
 SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type,
        CAST(coalesce(min(event_id) FILTER (event_id % 3 = 1) < min(event_id) FILTER (event_id % 3 = 2), false) AS BIGINT)
