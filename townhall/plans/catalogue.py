@@ -13,7 +13,7 @@ from townhall.operators.filters import PostFilter, having
 from townhall.operators.typed import multi_channel_posts, single_community_posts
 from townhall.plans import dashboard, report
 from townhall.plans import tables as tb
-from townhall.schema import CHANNEL_POST_COLUMNS
+from townhall.schema import CAPTURE, CHANNEL_POST_COLUMNS
 from townhall.session import scratch_path, settle
 from townhall.sources import files
 from townhall.streaming import corrections, jobs, late
@@ -860,6 +860,35 @@ def raw_round_trip(spark, sf):
         payloads.field(F.col("item"), "channel.name").alias("channel"))
 
 
+@query
+def variant_round_trip(spark, sf):
+    """The same with payloads kept as VARIANT, the fields of most records in columns of their own."""
+    path = scratch_path(spark, "variants")
+    files.write_variants(capture.conversations(tb.captures(spark, sf), ["channel_name", "capture_ord"]), path)
+    return spark.read.parquet(path).select(
+        "channel_name", "capture_ord", "pos",
+        F.try_variant_get("item", "$.id", "bigint").alias("id"),
+        F.try_variant_get("item", "$.channel.name", "string").alias("channel"))
+
+
+@query
+def damaged_captures(spark, sf):
+    """Captures of which every fifth line is cut off: what is read of the others, and the damaged lines by name."""
+    path = scratch_path(spark, "damaged")
+    rows = tb.captures(spark, sf).where("capture_ord % 6 <> 4")
+    line = F.to_json(F.struct("url", "data"))
+    cut = F.when(F.col("capture_ord") % 5 == 0, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int")))
+    rows.select(F.coalesce(cut, line).alias("value")).write.text(path)
+    good, bad = files.read_checked(spark, path, CAPTURE)
+    items = capture.conversations(good, ["url"])
+    counts = [
+        items.agg(F.lit("items").alias("what"), F.count(F.lit(1)).alias("n")),
+        good.select("url", F.schema_of_variant("data").alias("data")).agg(F.lit("captures").alias("what"), F.count("data").alias("n")),
+        bad.agg(F.lit("damaged").alias("what"), F.count("record").alias("n")),
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query
 def month_partitions(spark, sf):
     """Typed posts written by month, then read for the chosen months only."""

@@ -577,6 +577,14 @@ SELECT channel_name, capture_ord, CAST(pos AS INT) AS pos, id,
        CASE WHEN capture_ord % 4 <> 0 THEN channel_name END AS channel
 FROM items WHERE shape <> 4 AND id <> 0"""
 
+ORACLE["variant_round_trip"] = _CAPTURES + """
+SELECT channel_name, capture_ord, CAST(pos AS INT) AS pos, id,
+       CASE WHEN capture_ord % 4 <> 0 THEN channel_name END AS channel
+FROM items WHERE shape <> 4 AND id <> 0"""
+ORACLE["damaged_captures"] = _CAPTURES + """
+SELECT 'items' AS what, count(*) AS n FROM items WHERE shape <> 4 AND id <> 0 AND capture_ord % 5 <> 0
+UNION ALL SELECT CASE WHEN capture_ord % 5 = 0 THEN 'damaged' ELSE 'captures' END, count(*)
+FROM addressed WHERE shape <> 4 GROUP BY 1"""
 ORACLE["json_array_round_trip"] = ORACLE["json_round_trip"]
 ORACLE["lines_csv"] = """
 SELECT doc_id AS id, nullif(source, '') AS channel, nullif(text, '') AS title FROM documents"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from townhall.operators.capture import flatten
 from townhall.schema import CAPTURE, CHANNEL_POST, POST, all_strings
@@ -21,6 +21,32 @@ MISSING_TEXTS = (
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
+DAMAGED = "_damaged"
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType, kind: str = "json", **options) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``schema``, damaged records) of JSON or CSV files, for files of which a part may be broken.
+
+    A damaged record (file, split_start, record) is one that is no JSON object of this shape, or a line with more or
+    fewer fields than the columns: its text, its file and the byte at which the split that holds it begins. It takes
+    no row with it but itself; in a file that holds one JSON array, damage is that of the whole file.
+    """
+    whole = StructType([*schema.fields, StructField(DAMAGED, StringType())])
+    if kind == "csv":  # otherwise lines are judged by the fields that a query asks for
+        options = {**CSV_OPTIONS, "columnPruning": False, **options}
+    raw = (
+        spark.read.schema(whole).options(mode="PERMISSIVE", columnNameOfCorruptRecord=DAMAGED, **options).format(kind).load(path)
+    )
+    # always true; a query of the damaged records alone is not allowed, so a column is read beside them
+    first = F.col(schema.names[0])
+    read = first.isNull() | (F.length(first.cast("string")) >= 0)
+    good = raw.where(F.col(DAMAGED).isNull() & read).select(*schema.names)
+    bad = raw.where(F.col(DAMAGED).isNotNull() & read).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
+        F.col(DAMAGED).alias("record"))
+    return good, bad
+
+
 def read_posts_json(spark: SparkSession, path: str, array: bool = False, schema: StructType = POST) -> DataFrame:
     """Post records, one per line, or (``array=True``) one JSON array per file.
 
@@ -115,6 +141,27 @@ def read_raw(spark: SparkSession, path: str, payload: str = "item") -> DataFrame
     return spark.read.parquet(path).withColumn(payload, F.parse_json(payload))
 
 
+# settings under which a VARIANT is written with the fields that most records share in columns of their own
+_SHREDDED = {"spark.sql.variant.writeShredding.enabled": "true", "spark.sql.variant.inferShreddingSchema": "true"}
+
+
+def write_variants(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Untouched records as Parquet, payloads as VARIANT: a read of a path reads that path's column alone.
+
+    Which fields get columns is found from the first rows of every file; records of another shape keep theirs in a
+    rest, so nothing is lost. ``spark.read.parquet`` reads it back.
+    """
+    conf = df.sparkSession.conf
+    before = {key: conf.get(key, None) for key in _SHREDDED}
+    try:
+        for key, value in _SHREDDED.items():
+            conf.set(key, value)
+        df.write.mode(mode).parquet(path)
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
+
+
 def write_posts(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Typed posts by month, so a month filter reads only its own files."""
     df.write.mode(mode).partitionBy("month").parquet(path)
