@@ -60,12 +60,8 @@ def _is_stopword(word: Column, stopwords) -> Column:
     return F.lower(word).isin([w.lower() for w in stopwords]) if stopwords else F.lit(False)
 
 
-def form_counts(df: DataFrame, text: str, stopwords=(), singles: bool = True, pairs: bool = True) -> DataFrame:
-    """Words (and neighbouring pairs, with a space) without stop words -> form, n.
-
-    One pass over the texts serves both. Counts are pre-added in every map task,
-    so a frequent word is one row per task.
-    """
+def _forms(df: DataFrame, text: str, stopwords=(), singles: bool = True, pairs: bool = True) -> DataFrame:
+    """Words and neighbouring pairs (with a space) without stop words, one row for each time they occur."""
     w, v = F.col("p.w"), F.col("p.v")
     forms = []
     if singles:
@@ -74,13 +70,21 @@ def form_counts(df: DataFrame, text: str, stopwords=(), singles: bool = True, pa
         usable = v.isNotNull() & ~_is_stopword(w, stopwords) & ~_is_stopword(v, stopwords)
         forms.append(F.when(usable, F.concat_ws(" ", w, v)))
     shifted = F.slice("w", F.lit(2), F.size("w")).alias("v")
-    found = (
+    return (
         df.select(words(F.col(text)).alias("w"))
         .select(F.explode(F.arrays_zip("w", shifted)).alias("p"))
         .select(F.explode(F.array(*forms)).alias("form"))
         .where(F.col("form").isNotNull())
     )
-    return found.groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+
+
+def form_counts(df: DataFrame, text: str, stopwords=(), singles: bool = True, pairs: bool = True) -> DataFrame:
+    """Words (and neighbouring pairs, with a space) without stop words -> form, n.
+
+    One pass over the texts serves both. Counts are pre-added in every map task,
+    so a frequent word is one row per task.
+    """
+    return _forms(df, text, stopwords, singles, pairs).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unigrams(df: DataFrame, text: str, stopwords=()) -> DataFrame:
@@ -172,22 +176,25 @@ def _with_word(pairs: DataFrame, lookup: DataFrame, key: str, name: str) -> Data
 
 def _vocabulary(df: DataFrame, text: str, stopwords) -> tuple[DataFrame, DataFrame]:
     """(words, pairs), folded. Both come from one shuffled table of counts: the texts are read once."""
-    terms = fold(form_counts(df, text, stopwords))
+    # words and pairs are folded apart, as the words have several uses. What tells them apart is an aggregate: a
+    # filter on the form itself would move below the counting and read the texts for each of the two
+    counts = _forms(df, text, stopwords).groupBy("form").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("form").contains(" ")).alias("pair"))
     first, second = (F.split_part("term_key", F.lit(" "), F.lit(i)) for i in (1, 2))
-    is_pair = F.col("term_key").contains(" ")
-    pairs = terms.where(is_pair).select(
+    pairs = fold(counts.where("pair")).select(
         F.col("term").alias("bigram"), F.col("n").alias("n_bigram"), first.alias("key_1"), second.alias("key_2"))
-    return terms.where(~is_pair), pairs
+    return fold(counts.where("not pair")), pairs
 
 
 def _score(singles: DataFrame, pairs: DataFrame) -> DataFrame:
     lookup = singles.select(F.explode("keys").alias("form"), "term", "n")
-    total = singles.agg(F.sum("n").alias("t")).scalar()
+    # the total is a column from below the joins: named in the score itself, its query would be planned once for each time
+    pairs = pairs.withColumn("total", singles.agg(F.sum("n").alias("t")).scalar())
     pairs = _with_word(pairs, lookup, "key_1", "1")
     pairs = _with_word(pairs, lookup, "key_2", "2")
     return pairs.select(
         "bigram", "n_bigram", "term_1", "n_1", "term_2", "n_2",
-        collocation_score(F.col("n_bigram"), F.col("n_1"), F.col("n_2"), total).alias("score"),
+        collocation_score(F.col("n_bigram"), F.col("n_1"), F.col("n_2"), F.col("total")).alias("score"),
     )
 
 
@@ -222,15 +229,15 @@ def worth_scoring(singles: DataFrame, pairs: DataFrame, threshold: float, freque
     before any join moves them.
     """
     head, most = _known(singles.select(F.explode("keys").alias("form"), "term", "n"), frequent)
-    total = singles.agg(F.sum("n").alias("t")).scalar()
-    known = _with_known(_with_known(pairs, head, "key_1", "1"), head, "key_2", "2")
+    given = pairs.withColumns({"most": most, "total": singles.agg(F.sum("n").alias("t")).scalar()})
+    known = _with_known(_with_known(given, head, "key_1", "1"), head, "key_2", "2")
     both = F.col("n_bigram")
 
     def within(n: str) -> tuple[Column, Column]:
-        return F.coalesce(F.col(n), both), F.coalesce(F.col(n), F.greatest(most, both))
+        return F.coalesce(F.col(n), both), F.coalesce(F.col(n), F.greatest("most", both))
 
     unbounded = (F.length("key_1") > FREQUENT_LENGTH) | (F.length("key_2") > FREQUENT_LENGTH)
-    bound = score_bound(both, within("n_1"), within("n_2"), total)
+    bound = score_bound(both, within("n_1"), within("n_2"), F.col("total"))
     return known.where(unbounded | (bound > threshold)).select("bigram", "n_bigram", "key_1", "key_2")
 
 
