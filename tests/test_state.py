@@ -96,6 +96,20 @@ def test_one_scan_counts_and_writes(spark, small, tmp_path):
     assert sum(1 for i in infos if i and i.numCompletedTasks) <= 3  # schema read, counting map side, writing side
 
 
+def test_versions_are_compacted(spark, tmp_path):
+    """Eleven batches of a running count, with the folders of few of them; going on after a stop."""
+    folder, at = f"{tmp_path}/in", jobs.Place(f"{tmp_path}/o", f"{tmp_path}/p")
+    for part in range(11):
+        rows = [(f"k{(part * 7 + i) % 5}", part * 10 + i, START) for i in range(part + 1)]
+        spark.createDataFrame(rows, "kind string, row long, ts timestamp").coalesce(1).write.mode("append").parquet(folder)
+        if part in (4, 10):
+            counts = by_file(spark, folder).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("last"))
+            out = jobs.run_update(counts, ["kind"], at, compact=3)
+            want = spark.read.parquet(folder).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("last"))
+            assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    assert len(glob.glob(f"{tmp_path}/o/batch=*")) <= 7
+
+
 # -- late rows -------------------------------------------------------------------
 
 

@@ -145,12 +145,34 @@ def run_append(stream: DataFrame, at: Place) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(at.out)
 
 
-def run_update(stream: DataFrame, keys: list[str], at: Place) -> DataFrame:
-    """Update mode: a batch writes the keys it changed; the result is the latest version of each."""
+def forget(spark: SparkSession, path: str, before: int) -> None:
+    """Deletes the folders of batches before one; a later one must hold what they held."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch=") and -1 < int(name.removeprefix("batch=")) < before:
+            files.delete(status.getPath(), True)
+
+
+def run_update(stream: DataFrame, keys: list[str], at: Place, compact: int = 32) -> DataFrame:
+    """Update mode: a batch writes the keys it changed; the result is the latest version of each.
+
+    Every ``compact`` batches one writes the latest version of all keys, and what lies before the last such batch
+    goes. Its own predecessors stay until then, so it can be repeated; there are at most twice as many folders.
+    """
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        whole = batch_id % compact == compact - 1
+        if whole:
+            earlier = _versions(spark, stream.schema, at).where(F.col("batch") < batch_id)
+            both = batch.withColumn("batch", F.lit(batch_id).cast("long")).unionByName(earlier)
+            batch = keep_first(both, keys, [F.desc("batch")]).select(*stream.columns)
         batch.write.mode("overwrite").parquet(f"{at.out}/batch={batch_id}")
+        if whole:
+            forget(spark, at.out, batch_id - compact)
 
     start(stream.writeStream.outputMode("update").foreachBatch(write), at).awaitTermination()
     versions = _versions(spark, stream.schema, at)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from townhall.streaming.jobs import Place, start
+from townhall.streaming.jobs import Place, forget, start
 
 _KEPT_VERSIONS = 2
 
@@ -44,17 +44,6 @@ def _last(spark: SparkSession, path: str, schema: StructType, before: int) -> Da
     return versions.where(F.col("batch") == F.lit(-1 if last is None else last)).drop("batch")
 
 
-def _forget(spark: SparkSession, path: str, before: int) -> None:
-    """Versions older than the last few; a repeated batch needs the one before it."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("batch=") and -1 < int(name.removeprefix("batch=")) < before:
-            files.delete(status.getPath(), True)
-
-
 def run_windows(
     stream: DataFrame, event_time: str, by: str, at: Place, window: str = "1 day", delay: str = "1 hour",
 ) -> Split:
@@ -85,7 +74,7 @@ def run_windows(
         finally:
             placed.unpersist()
         for path in (counts_at, mark_at):
-            _forget(spark, path, batch_id - _KEPT_VERSIONS + 1)
+            forget(spark, path, batch_id - _KEPT_VERSIONS + 1)
 
     start(stream.writeStream.foreachBatch(write), at).awaitTermination()
     return Split(
