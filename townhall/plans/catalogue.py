@@ -16,6 +16,7 @@ from townhall.plans import tables as tb
 from townhall.schema import CAPTURE, CHANNEL_POST_COLUMNS
 from townhall.session import scratch_path, settle
 from townhall.sources import files
+from townhall.sources.store import PostStore
 from townhall.streaming import corrections, jobs, late
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -663,6 +664,34 @@ def bitmap_load(spark, sf):
     return loaded[0].unionByName(loaded[1]).unionByName(loaded[2])
 
 
+@query
+def stored_loads(spark, sf):
+    """Documents in three loads, into a store in buckets of their text's digest that is compacted before the third."""
+    docs = tb.table(spark, sf, "documents").select(
+        identity.text_digest(F.col("text")).alias("digest"), "doc_id", (F.col("doc_id") % 3).cast("int").alias("part"))
+    store = PostStore.open(spark, scratch_path(spark, "store"), docs.schema, "digest", buckets=16)
+    for part in range(3):
+        store.load(docs.where(F.col("part") == part), ["doc_id"])
+        if part == 1:
+            store.compact()
+    return store.posts().select("doc_id", "part")
+
+
+@query
+def stored_lookup(spark, sf):
+    """Orders as stored posts, each with its lines; orders and lines lie in stores of equal buckets."""
+    orders = tb.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    lines = tb.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.count(F.lit(1)).alias("responses"), F.max("l_shipdate").alias("latest"))
+    posts = PostStore.open(spark, scratch_path(spark, "posts"), orders.schema, "id", buckets=16)
+    answers = PostStore.open(spark, scratch_path(spark, "answers"), lines.schema, "id", buckets=16)
+    posts.load(orders, ["status"])
+    answers.load(lines, ["latest"])
+    return posts.posts().join(answers.posts(), "id", "left").groupBy("id").agg(
+        F.max("status").alias("status"), F.sum(F.coalesce("responses", F.lit(0))).alias("responses"),
+        F.max("latest").alias("latest"))
+
+
 @query
 def bitmap_members(spark, sf):
     """Different authors by month, and by year and in all from the stored sets of the months."""
@@ -956,6 +985,14 @@ def stream_new_posts(spark, sf):
     return jobs.run_new_posts(rows, "user_id", ["event_id"], jobs.Place.new(spark, "new"), buckets=16)
 
 
+@query
+def stream_stored_posts(spark, sf):
+    """First event of every user, loaded into a store in buckets."""
+    rows = _events(spark, sf).select("user_id", "event_id", "event_type")
+    store = PostStore.open(spark, scratch_path(spark, "store"), rows.schema, "user_id", buckets=16)
+    return jobs.run_stored(rows, store, ["event_id"], jobs.Place.new(spark, "stored"))
+
+
 @query
 def stream_windows(spark, sf):
     """All windows, those still open at the end included."""

@@ -533,6 +533,12 @@ ORACLE["bitmap_load"] = """
 SELECT id, part FROM (
   SELECT l_orderkey AS id, l_linenumber % 3 AS part, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber % 3, l_linenumber) AS nth
   FROM lineitem WHERE l_returnflag <> 'R') WHERE nth = 1"""
+ORACLE["stored_loads"] = """
+SELECT doc_id, CAST(doc_id % 3 AS INT) AS part FROM documents
+QUALIFY row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id % 3, doc_id) = 1"""
+ORACLE["stored_lookup"] = """
+SELECT o_orderkey AS id, any_value(o_orderstatus) AS status, count(l_orderkey) AS responses, max(l_shipdate) AS latest
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
 ORACLE["bitmap_members"] = """
 WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y') AS year, o_custkey FROM orders)
 SELECT month AS period, count(DISTINCT o_custkey) AS members FROM m GROUP BY month
@@ -625,6 +631,7 @@ FROM events GROUP BY user_id"""
 ORACLE["stream_new_posts"] = """
 SELECT user_id, event_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
+ORACLE["stream_stored_posts"] = ORACLE["stream_new_posts"]
 ORACLE["stream_windows"] = """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events
 GROUP BY ALL"""

@@ -16,6 +16,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from townhall.operators.identity import keep_first, new_rows
 from townhall.schema import CAPTURE
 from townhall.session import scratch_path
+from townhall.sources import folders
+from townhall.sources.store import PostStore
 
 _SPREAD = 32
 
@@ -147,13 +149,9 @@ def run_append(stream: DataFrame, at: Place) -> DataFrame:
 
 def forget(spark: SparkSession, path: str, before: int) -> None:
     """Deletes the folders of batches before one; a later one must hold what they held."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("batch=") and -1 < int(name.removeprefix("batch=")) < before:
-            files.delete(status.getPath(), True)
+    for name in folders.names(spark, path, "batch="):
+        if -1 < int(name.removeprefix("batch=")) < before:
+            folders.remove(spark, f"{path}/{name}")
 
 
 def run_update(stream: DataFrame, keys: list[str], at: Place, compact: int = 32) -> DataFrame:
@@ -218,11 +216,53 @@ def run_top(stream: DataFrame, k: int, by: str, tie: str, at: Place) -> DataFram
     return _run_batches(stream, "append", at, best)
 
 
-def run_new_posts(stream: DataFrame, key: str, order: list, at: Place, buckets: int = 256) -> DataFrame:
+# Batches that only add rows are merged in tiers: a folder span=s/batch=b holds the rows of the s batches up to b.
+# With a fan of 32 a row is written once, once more with 32 batches, once more with 1,024, and so on.
+
+
+def tier_span(batch: int, fan: int) -> int:
+    """Of how many batches up to this one its folder holds the rows."""
+    span = 1
+    while (batch + 1) % (span * fan) == 0:
+        span *= fan
+    return span
+
+
+def tiers_in_use(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of folders (span, batch) those that no later or longer one holds the rows of."""
+    kept, low = [], None
+    for span, batch in sorted(found, key=lambda f: (f[1], f[0]), reverse=True):
+        if low is None or batch < low:
+            kept.append((span, batch))
+            low = batch - span + 1
+    return kept
+
+
+def _tiers(spark: SparkSession, at: Place) -> list[tuple[int, int]]:
+    """Folders (span, batch) that are written to their end."""
+    found = []
+    for span in folders.names(spark, at.out, "span="):
+        for batch in folders.names(spark, f"{at.out}/{span}", "batch="):
+            if folders.complete(spark, f"{at.out}/{span}/{batch}"):
+                found.append((int(span.removeprefix("span=")), int(batch.removeprefix("batch="))))
+    return found
+
+
+def _tier_rows(spark: SparkSession, schema: StructType, at: Place, tiers: list[tuple[int, int]]) -> DataFrame:
+    whole = StructType([*schema.fields, StructField("bucket", LongType())])
+    if not tiers:
+        return spark.createDataFrame([], whole)
+    paths = [f"{at.out}/span={span}/batch={batch}" for span, batch in tiers]
+    return spark.read.schema(whole).option("basePath", at.out).parquet(*paths).select(*whole.fieldNames())
+
+
+def run_new_posts(stream: DataFrame, key: str, order: list, at: Place, buckets: int = 256, fan: int = 32) -> DataFrame:
     """First-wins loading: every batch adds the first copy of each key not seen before.
 
     Loaded rows lie in folders by a hash of their key. A batch reads the keys of the buckets
-    it touches and no others, so choose as many buckets as keep one bucket small.
+    it touches and no others, so choose as many buckets as keep one bucket small. Folders of batches are
+    merged in tiers of ``fan``, so there are at most ``fan`` in use for each power of it, and as many again that
+    wait until the next merge, as a merging batch may be repeated and a reader may still use them.
     """
     spark = stream.sparkSession
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
@@ -231,12 +271,35 @@ def run_new_posts(stream: DataFrame, key: str, order: list, at: Place, buckets:
         first = keep_first(batch, [key], order).withColumn("bucket", bucket).persist()
         try:
             touched = [r["bucket"] for r in first.select("bucket").distinct().collect()]  # at most ``buckets``
-            loaded = _versions(spark, stream.schema, at, "bucket").where(
-                (F.col("batch") < batch_id) & F.col("bucket").isin(touched))  # earlier batches, so repeats agree
-            fresh = new_rows(first, loaded, key, spread=1)
-            fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{at.out}/batch={batch_id}")
+            written = _tiers(spark, at)
+            earlier = tiers_in_use([t for t in written if t[1] < batch_id])  # earlier batches, so repeats agree
+            loaded = _tier_rows(spark, stream.schema, at, earlier).where(F.col("bucket").isin(touched))
+            rows, span = new_rows(first, loaded, key, spread=1), tier_span(batch_id, fan)
+            if span > 1:
+                merged = [t for t in earlier if t[1] > batch_id - span]
+                rows = rows.unionByName(_tier_rows(spark, stream.schema, at, merged)).hint("rebalance", F.col("bucket"))
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{at.out}/span={span}/batch={batch_id}")
+            if span > 1:
+                old = [t for t in written if t[1] <= batch_id - fan]
+                for gone in set(old) - set(tiers_in_use(old)):
+                    folders.remove(spark, f"{at.out}/span={gone[0]}/batch={gone[1]}")
         finally:
             first.unpersist()
 
     start(stream.writeStream.foreachBatch(write), at).awaitTermination()
-    return _versions(spark, stream.schema, at, "bucket").select(*stream.columns)
+    return _tier_rows(spark, stream.schema, at, tiers_in_use(_tiers(spark, at))).select(*stream.columns)
+
+
+def run_stored(stream: DataFrame, store: PostStore, order: list, at: Place, compact: int = 32) -> DataFrame:
+    """First-wins loading into a bucketed store, of which no row is shuffled; every ``compact`` batches it is compacted.
+
+    A repeated batch adds what its first attempt had not stored. ``at`` keeps the progress alone.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.load(batch, order)
+        if batch_id % compact == compact - 1:
+            store.compact()
+
+    start(stream.writeStream.foreachBatch(write), at).awaitTermination()
+    return store.posts()
