@@ -54,6 +54,19 @@ def test_joined_halves_are_the_whole(leaf):
         assert joined == tree_bpe._tokens(model, text)
 
 
+@pytest.mark.parametrize("unsplit, fan", [(40, 2), (64, 3), (4, 16)])
+def test_leaves_are_joined_over_levels(spark, unsplit, fan):
+    """Many levels, runs that end in a single node, stretches of unequal length and short ones between them."""
+    texts = ["x" * 1000, "ab" * 777 + " and " + "the" * 400 + "<|endoftext|>" + "q" * 41, "short words only",
+             "".join(RNG.choice("aeinorst") for _ in range(1500)) + "\n" + "=" * 130]
+    rows = spark.createDataFrame([(bytes([k]), t) for k, t in enumerate(texts)], "node binary, text string")
+    model = Tokenizer.from_file(BYTES)
+    want = {bytes([k]): model.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+    got = {bytes(r.node): list(r.ids) for r in tree_bpe.encode_long(rows, BYTES, unsplit, fan).collect()}
+    assert got == want
+    assert tree_bpe.encode_long(rows.where("false"), BYTES, unsplit, fan).count() == 0
+
+
 def test_a_full_cache_starts_anew(monkeypatch):
     made = []
     cache = tree_bpe.ChunkCache(lambda chunks: [made.append(c) or c.upper() for c in chunks], entries=3)

@@ -12,6 +12,9 @@ that the encoder itself has produced, which makes the whole the encoding of the
 
 Defined results: a null or empty text has no ids and decodes to the empty text; repeated rows
 are encoded alike; an empty table gives an empty result.
+
+The leaves of one text are joined by many tasks: a level joins each run of ``FAN`` neighbours in a group of its own,
+and there are as many levels as the longest stretch needs, one for each power of ``FAN``.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from townhall.session import settle
 
 UNSPLIT = 4096  # characters; longer stretches are cut into leaves of half this or less
 CACHE_ENTRIES = 120_000
+FAN = 16  # neighbours joined in one task; 4 levels are enough for stretches of 100 million characters
 
 # fixed values: the characters that Unicode calls white space
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -210,18 +214,18 @@ def _tokens(model, letters: str) -> list[tuple[int, str]]:
 
 
 def _to_leaves(path: str, unsplit: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each leaf, special token, or run of short stretches of a long text."""
+    """One row for each leaf, special token and short stretch of a long text, with how many leaves its part has."""
     model, leaf = tokenizer(path), max(unsplit // 2, 1)
     for batch in batches:
         for node, text in zip(batch["node"], batch["text"]):
             rows = []
             for part, (special, letters) in enumerate(stretches(model, text)):
                 if special or len(letters) <= unsplit:
-                    rows.append((node, part, 0, special, letters))
+                    rows.append((node, part, 0, 1, special, letters))
                 else:
-                    rows += [(node, part, k, False, letters[i : i + leaf])
-                             for k, i in enumerate(range(0, len(letters), leaf))]
-            yield pd.DataFrame(rows, columns=["node", "part", "leaf", "special", "letters"])
+                    starts = range(0, len(letters), leaf)
+                    rows += [(node, part, k, len(starts), False, letters[i : i + leaf]) for k, i in enumerate(starts)]
+            yield pd.DataFrame(rows, columns=["node", "part", "leaf", "leaves", "special", "letters"])
 
 
 def _encode_leaves(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -232,30 +236,37 @@ def _encode_leaves(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.Da
             for special, letters in zip(batch["special"], batch["letters"])
         ]
         yield pd.DataFrame({
-            "node": batch["node"], "part": batch["part"], "leaf": batch["leaf"],
+            "node": batch["node"], "part": batch["part"], "leaf": batch["leaf"], "leaves": batch["leaves"],
             "ids": [[i for i, _ in f] for f in found], "values": [[v for _, v in f] for f in found],
         })
 
 
-def _join_leaves(path: str, group: pd.DataFrame) -> pd.DataFrame:
-    model = tokenizer(path)
-    ids: list[int] = []
-    for _, part in group.sort_values(["part", "leaf"]).groupby("part", sort=True):
-        leaves = [list(zip(map(int, i), v)) for i, v in zip(part["ids"], part["values"])]
-        ids += [i for i, _ in tree(partial(_tokens, model), leaves)]
-    return pd.DataFrame({"node": [group["node"].iloc[0]], "ids": [ids]})
+def _join_run(path: str, group: pd.DataFrame) -> pd.DataFrame:
+    """Neighbouring nodes of one stretch as one node of the next level."""
+    model, run = tokenizer(path), group.sort_values("leaf")
+    whole = tree(partial(_tokens, model), [list(zip(map(int, i), v)) for i, v in zip(run["ids"], run["values"])])
+    return pd.DataFrame({
+        "node": [run["node"].iloc[0]], "part": [run["part"].iloc[0]], "leaf": [run["run"].iloc[0]],
+        "ids": [[i for i, _ in whole]], "values": [[v for _, v in whole]],
+    })
 
 
-def encode_long(texts: DataFrame, path: str, unsplit: int = UNSPLIT) -> DataFrame:
-    """From distinct long texts (node, text): (node, ids). The leaves of a text are rows of their own."""
+def encode_long(texts: DataFrame, path: str, unsplit: int = UNSPLIT, fan: int = FAN) -> DataFrame:
+    """From distinct long texts (node, text): (node, ids). Leaves are rows of their own, joined level by level."""
     leaves = texts.mapInPandas(
-        partial(_to_leaves, path, unsplit), "node binary, part int, leaf int, special boolean, letters string"
-    )
-    encoded = leaves.repartition("node", "part", "leaf").mapInPandas(
-        partial(_encode_leaves, path), "node binary, part int, leaf int, ids array<int>, values array<string>"
+        partial(_to_leaves, path, unsplit), "node binary, part int, leaf int, leaves int, special boolean, letters string"
     )
-    # a group is one text
-    return encoded.groupBy("node").applyInPandas(partial(_join_leaves, path), "node binary, ids array<int>")
+    found = "node binary, part int, leaf int, ids array<int>, values array<string>"
+    encoded = settle(leaves.repartition("node", "part", "leaf").mapInPandas(
+        partial(_encode_leaves, path), found.replace("leaf int", "leaf int, leaves int")), "leaves")
+    nodes, left = encoded.where("leaves > 1").drop("leaves"), encoded.agg(F.max("leaves")).first()[0] or 1
+    while left > 1:
+        runs = nodes.withColumn("run", F.floor(F.col("leaf") / fan).cast("int"))
+        nodes, left = runs.groupBy("node", "part", "run").applyInPandas(partial(_join_run, path), found), -(-left // fan)
+    parts = encoded.where("leaves = 1").select("node", "part", "ids").unionByName(nodes.select("node", "part", "ids"))
+    # put side by side without Python; what a group holds is one text's ids, as the row of its text did
+    in_order = F.array_sort(F.collect_list(F.struct("part", "ids")))
+    return parts.groupBy("node").agg(F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("ids"))
 
 
 def _digest_long(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
