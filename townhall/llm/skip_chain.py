@@ -40,7 +40,8 @@ SEARCHED = 20 * SAMPLE_DOCS  # documents searched for the sample, about
 FEATURES = 1 << 13
 CERTAIN = 0.9
 ROUNDS = 50
-AGREE = 2.0  # expected log weight of a link between similar tokens; the sample moves it
+AGREE = 8.0  # expected log weight of a link between similar tokens; the sample moves it
+MOST_AGREE = 12.0
 LABELS = len(KINDS) + 1  # 0: nothing
 
 _SPACE = re.compile(r"\s")
@@ -82,10 +83,14 @@ def _features(text: str, start: int, end: int) -> np.ndarray:
 
 
 def _likeness_key(token: str) -> str:
-    """Equal for tokens that show the same thing: all digits of a number, else letters and digits."""
+    """Equal for tokens that show the same thing: the last seven digits of a number, which it keeps with or without
+    a prefix and however it is grouped; the local part of an address; else letters and digits."""
+    name, at, _ = token.rpartition("@")
+    if at and len(name := name.strip(_TRIM + "()").lower()) >= 4:
+        return name + "@"
     digits = "".join(c for c in token if c.isdigit())
     plain = "".join(c for c in token.lower() if c.isalnum() or c == "@")
-    return digits if len(digits) >= 4 and 2 * len(digits) >= len(plain) else plain
+    return digits[-7:] if len(digits) >= 4 and 2 * len(digits) >= len(plain) else plain
 
 
 def find_nodes(text: str, most: int | None = None) -> Nodes:
@@ -235,7 +240,7 @@ def train(texts: list[str], epochs: int = 4) -> Weights:
                 step(w.chain, fixed.sum(axis=0) - links.sum(axis=0), seen[1])
             if nodes.group.max() >= 0:
                 w.agree += 0.02 * (fixed_agreed - agreed + AGREE - w.agree)
-                np.clip(w.agree, 0.0, 6.0, out=w.agree)
+                np.clip(w.agree, 0.0, MOST_AGREE, out=w.agree)
     return w
 
 
