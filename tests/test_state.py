@@ -3,7 +3,10 @@
 import datetime as dt
 import glob
 import json
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +56,40 @@ def test_state_ends_after_the_delay(spark, tmp_path):
         (1, 40, False), (1, 50, False), (2, 60, False), (3, 65, True), (3, 70, False)]
 
 
+def test_hot_keys_and_copies_without_a_time(spark, tmp_path, monkeypatch):
+    """Keys count as hot from their second copy in a read; a missing key is a key, a missing time is never late."""
+    monkeypatch.setattr(corrections, "_HOT", 1)
+    path, at = f"{tmp_path}/in", jobs.Place(f"{tmp_path}/out", f"{tmp_path}/progress")
+    one = [(k % 3 or None, 1000 - k, None if k % 5 == 0 else START) for k in range(60)] + [(7, 5, None), (8, None, START)]
+    arrive(spark, path, at, one)
+    out = arrive(spark, path, at, [(1, 3, START), (7, 4, START), (7, 9, None), (None, 2, None)])
+    assert sorted((r.id or 0, r.row, r.correction) for r in out.collect()) == [
+        (0, 2, True), (0, 943, False), (1, 3, True), (1, 942, False), (2, 941, False), (7, 4, True), (7, 5, False)]
+
+
+def test_corrections_in_a_plain_session(tmp_path):
+    """No settings of ours, and workers that do not find this package."""
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from pyspark.sql import SparkSession, functions as F\n"
+        "spark = SparkSession.builder.master('local[2]').config(map={'spark.ui.enabled': 'false',"
+        " 'spark.sql.shuffle.partitions': '2', 'spark.checkpoint.dir': sys.argv[2]}).getOrCreate()\n"
+        "rows = spark.range(12).select(F.col('id').alias('event_id'), (F.col('id') % 4).alias('user_id'),"
+        " F.lit('view').alias('event_type'), F.timestamp_seconds(F.col('id') + 10**9).alias('ts'))\n"
+        "rows.coalesce(1).write.parquet(sys.argv[2] + '/events.parquet')\n"
+        "from townhall.plans.catalogue import CATALOGUE\n"
+        "print(sorted(map(tuple, CATALOGUE['stream_corrections'](spark, sys.argv[2]).collect())))\n"
+        "print(spark.conf.get('spark.sql.streaming.stateStore.providerClass'))\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"TZ": "America/New_York"}
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run(
+        [sys.executable, "-c", code, repo, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr[-2000:]
+    first, store = said.stdout.splitlines()[-2:]
+    assert first == "[(0, 0, 'view', 2), (1, 1, 'view', 1), (2, 2, 'view', 0), (3, 3, 'view', 2)]"
+    assert "RocksDB" not in store  # the session is left as it was
+
+
 # -- loads that count ------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from townhall.operators.typed import multi_channel_posts, single_community_posts
 from townhall.plans import dashboard, report
 from townhall.plans import tables as tb
 from townhall.schema import CAPTURE, CHANNEL_POST_COLUMNS
-from townhall.session import scratch_path, settle
+from townhall.session import scratch_path, settings, settle
 from townhall.sources import files
 from townhall.sources.store import PostStore
 from townhall.streaming import corrections, jobs, late
@@ -972,8 +972,10 @@ def stream_corrections(spark, sf):
     for part in (2, 1, 0):
         events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(path)
         arriving = spark.readStream.schema(events.schema).parquet(path)
-        passed = jobs.run_append(corrections.first_with_corrections(
-            arriving, "user_id", "event_id", "ts", F.col("event_id"), delay_ms=10**11, late="1000 days"), at)
+        rows = corrections.first_with_corrections(
+            arriving, "user_id", "event_id", "ts", F.col("event_id"), delay_ms=10**11, late="1000 days")
+        with settings(spark, corrections.STORE):
+            passed = jobs.run_append(rows, at)
     return passed.groupBy("user_id").agg(
         F.min("event_id").alias("event_id"), F.min_by("event_type", "event_id").alias("event_type"),
         F.count_if("correction").alias("corrections"))
