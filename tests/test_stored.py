@@ -116,6 +116,17 @@ def test_choices_read_their_slice_only(stored):
     assert cube.slice_id("channel", "type_label", "month") == 0 and cube.slice_id() == 7
 
 
+def test_slices_of_an_author_are_added_up_in_parts_of_bounded_size(posts, stored, monkeypatch):
+    monkeypatch.setattr(cube, "AUTHOR_ROWS", 100)
+    built = cube.build(posts)
+    text = plan(built.members)
+    assert "Expand" not in text and text.count("Exchange") == 1 and "hashpartitioning(author" in text
+    assert built.members.rdd.getNumPartitions() >= 5
+    for mine, kept in ((built.slices, stored.slices), (built.members, stored.members)):
+        rows = lambda df: sorted(map(str, df.select(*mine.columns).collect()))
+        assert rows(mine) == rows(kept)
+
+
 def test_cube_without_posts(posts):
     none = cube.build(posts.where("false"))
     assert cube.poster_frequency(none).first() == (0, 0, 0)

@@ -1,10 +1,11 @@
 """One cube for every choice of the report's filters.
 
-Posts are added up once to a row for each author within channel, type and month. ``GROUPING SETS`` over these
-give the figures of every slice, and "All" is the slice in which a column is rolled up; a slice is told
-apart by its ``grouping_id``, so a missing channel is a value like any other and not "All". Figures of several
-months are sums over slices. Who posts cannot be summed: ``members`` keeps the authors of the slices of one
-month, and authors of several months are counted from those, still without reading a post.
+Posts are added up once to a row for each author within channel, type and month, which is written. Every slice of
+an author is added up where the author's rows are, so these are moved once and not once a slice. "All" is the slice
+in which a column is rolled up; a slice is told apart by its id, as ``grouping_id`` gives it, so a missing channel is
+a value like any other and not "All". Figures of several months are sums over slices. Who posts cannot be summed:
+``members`` keeps the authors of the slices of one month, and authors of several months are counted from those, still
+without reading a post.
 
 Medians are not in the cube, as they do not add up.
 """
@@ -20,11 +21,12 @@ from townhall.functions import numbers, text as tx
 from townhall.functions.labels import QUESTION
 from townhall.operators.filters import PostFilter
 from townhall.operators.medians import attach
+from townhall.session import settle
 
 COLUMNS = ("channel", "type_label", "month")
 SUMS = ("posts", "ids", "total_views", "questions", "responded", "unanswered", "asked_open", "anonymous")
 AUTHORS = ("authors", "one_time", "repeat")
-_ALL = 2 ** len(COLUMNS) - 1
+AUTHOR_ROWS = 1 << 16  # rows of authors whose slices one task adds up, about; it holds each of them once a slice
 
 
 def slice_id(*kept: str) -> int:
@@ -60,13 +62,22 @@ def _sums() -> list[Column]:
     ]
 
 
+def _dealt(posts: DataFrame) -> DataFrame:
+    """Figures of each author within channel, type and month, all rows of an author in one part."""
+    # an author has at most a row for each option of the filters, however many posts
+    fine = settle(posts.groupBy(*COLUMNS, "author").agg(*_sums()), "authors")
+    return fine.repartition(max(1, -(-fine.count() // AUTHOR_ROWS)), "author")
+
+
 def build(posts: DataFrame) -> Cube:
-    """Both tables of the cube; write them, as they share what comes before."""
-    fine = posts.groupBy(*COLUMNS, "author").agg(*_sums())
-    sets = [[*kept, "author"] for n in range(len(COLUMNS) + 1) for kept in combinations(COLUMNS, n)]
-    by_author = fine.groupingSets(sets, *COLUMNS, "author").agg(
-        # the author is in every set, so its bit, the last, is never set
-        F.shiftright(F.grouping_id(*COLUMNS, "author"), 1).cast("int").alias("slice"),
+    """Both tables of the cube."""
+    sets = [kept for n in range(len(COLUMNS) + 1) for kept in combinations(COLUMNS, n)]
+    fine = _dealt(posts)
+    each = F.explode(F.array(*[
+        F.struct(F.lit(slice_id(*kept)).alias("slice"), *[
+            (F.col(c) if c in kept else F.lit(None).cast(fine.schema[c].dataType)).alias(c) for c in COLUMNS])
+        for kept in sets])).alias("at")
+    by_author = fine.select("author", *SUMS, each).select("at.*", "author", *SUMS).groupBy("slice", *COLUMNS, "author").agg(
         *[F.sum(c).alias(c) for c in SUMS])
     named = F.col("author").isNotNull()
     slices = by_author.groupBy("slice", *COLUMNS).agg(
