@@ -95,6 +95,21 @@ def test_json_array_files_stay_small_whatever_the_rows(spark, tmp_path, monkeypa
     files.write_json_arrays(same.where("false"), str(tmp_path / "none"))
 
 
+def test_a_file_that_holds_an_array_is_read_once(spark, tmp_path):
+    """Numbers wanted as text keep their spelling, and Spark does not go back to the file for each of them."""
+    records = ",\n".join(f'{{"id": {i}, "title": "a\\nb {i}", "view_count": {i}.50, "channel": {{"of": 1e5}}}}' for i in range(5000))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text(f"[{records}]")
+    (tmp_path / "in/b.json").write_text('[{"id": 9, "title": "cut off')
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    back = files.read_posts_json(spark, str(tmp_path / "in"), array=True).collect()
+    assert read() - before < 8 * (tmp_path / "in/a.json").stat().st_size
+    good = sorted((r.id, r.title, r.view_count, r.channel) for r in back if r.id is not None)
+    assert good == sorted((i, f"a\nb {i}", f"{i}.50", '{"of": 1e5}') for i in range(5000))
+    assert len(back) == 5001
+
+
 def test_links_in_all_quotings(spark):
     html = (
         '<a data-href="/wrong" href="/right">one</a><A HREF=\'/single?a=1&amp;b=2\'>two &amp; 2</A>'
