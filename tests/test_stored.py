@@ -188,6 +188,12 @@ def test_no_pair_above_the_threshold_is_pruned(spark, small):
         assert {b for b, r in every.items() if r.score > threshold} <= kept
     assert len(kept) <= len(every)
     assert len({r.bigram for r in terms.worth_scoring(singles, pairs, 30, 5000).collect()}) <= len(every) / 2
+    # the condition holds one score, whatever the corners: with four of them its code is not compiled
+    text = plan(terms.worth_scoring(singles, pairs, 30, 5000)).lower()
+    line = max(text.split("\n"), key=lambda x: x.count("ln(") + x.count("log("))
+    assert 0 < line.count("ln(") + line.count("log(") <= 8
+    rows = terms.worth_scoring(singles, pairs, 30, 5000)
+    assert rows.count() == rows.select("key_1", "key_2").distinct().count()
 
 
 def test_the_bound_holds_everywhere_in_its_ranges(spark):

@@ -205,8 +205,11 @@ def score_bound(both: Column, first: tuple[Column, Column], second: tuple[Column
     from there on, for each word whatever the other's count is: within two ranges it is largest in a corner. A sum of
     logarithms of this size is exact but for a share of the total, which is added.
     """
-    corners = [collocation_score(both, a, b, total) for a in first for b in second]
-    return F.greatest(*corners) + 1e-6 + total * 1e-12
+    return F.greatest(*[_at_most(both, a, b, total) for a in first for b in second])
+
+
+def _at_most(both: Column, first: Column, second: Column, total: Column) -> Column:
+    return collocation_score(both, first, second, total) + 1e-6 + total * 1e-12
 
 
 def _known(lookup: DataFrame, frequent: int = FREQUENT) -> tuple[DataFrame, Column]:
@@ -236,9 +239,15 @@ def worth_scoring(singles: DataFrame, pairs: DataFrame, threshold: float, freque
     def within(n: str) -> tuple[Column, Column]:
         return F.coalesce(F.col(n), both), F.coalesce(F.col(n), F.greatest("most", both))
 
+    columns = ("bigram", "n_bigram", "key_1", "key_2")
     unbounded = (F.length("key_1") > FREQUENT_LENGTH) | (F.length("key_2") > FREQUENT_LENGTH)
-    bound = score_bound(both, within("n_1"), within("n_2"), F.col("total"))
-    return known.where(unbounded | (bound > threshold)).select("bigram", "n_bigram", "key_1", "key_2")
+    # ``score_bound`` with a row for each corner, of which known words have one: four scores in one condition are more
+    # code than the JVM compiles, and take four times as long
+    corners = F.array_distinct(F.array(*[
+        F.struct(a.alias("first"), b.alias("second")) for a in within("n_1") for b in within("n_2")]))
+    each = known.select(*columns, "total", unbounded.alias("unbounded"), F.explode(corners).alias("at"))
+    bound = _at_most(both, F.col("at.first"), F.col("at.second"), F.col("total"))
+    return each.where(F.col("unbounded") | (bound > threshold)).select(*columns).distinct()
 
 
 def scored_bigrams(df: DataFrame, text: str, stopwords=()) -> DataFrame:
