@@ -96,6 +96,43 @@ def check_packing(rows, docs, model):
     return len(sequences), -(-total // 2048)
 
 
+class OnlyWords:
+    """A tokenizer whose normalizer and patterns must not be asked; counts what its model is given."""
+
+    def __init__(self, whole):
+        self.model, self.pre_tokenizer, self._bpe, self.asked = self, whole.pre_tokenizer, whole.model, []
+
+    def tokenize(self, word):
+        self.asked.append(word)
+        return self._bpe.tokenize(word)
+
+    def encode(self, *_, **__):
+        raise AssertionError("a plain text was given to the whole tokenizer")
+
+
+def test_the_model_is_given_each_word_of_plain_texts_once(monkeypatch):
+    whole = Tokenizer.from_file(WORDS)
+    words = OnlyWords(whole)
+    monkeypatch.setattr(packing, "tokenizer", lambda path: words)
+    coder = packing._Coder(WORDS)
+    plain = ["The word, the (word); it's sharp and 2026 %%%", "WORD!\tthe\r\nword's éÀÿ ß,ß it's12x", "", "'", " ''s ", "a1b22'd3"]
+    plain += ["".join(RNG.choice("aAzÀéÿßø'tsSre09.,!<|>- \n\t\r") for _ in range(60)).replace("<|", "<") for _ in range(300)]
+    for text in plain:
+        assert coder.ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    for word in ("the", "word", "and", "sharp", "%%%", "2"):
+        assert words.asked.count(word) == 1
+
+
+def test_remembered_words_are_bounded():
+    made = []
+    known = packing._Lately(lambda w: made.append(w) or w.encode(), 3)
+    for words in ("ab", "cda", "acd", "efgh", "abcdefgh"):
+        assert [known[w] for w in words] == [w.encode() for w in words]
+        known = known.turned()
+        assert len(known) <= 3
+    assert made[:4] == [*"abcd"]
+
+
 def test_packed_documents(texts):
     used, bound = check_packing(packing.packed_documents(texts, WORDS).collect(), texts.collect(), Tokenizer.from_file(WORDS))
     assert used <= bound + 2
