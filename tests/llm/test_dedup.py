@@ -2,12 +2,14 @@
 
 import collections
 import random
+import tracemalloc
 
 import brute
 import numpy as np
 import pytest
 
 from townhall.llm import components, repeats, suffix_sort, superminhash as sm
+from townhall.llm.frames import beside_text
 
 
 def by_repr(rows):
@@ -46,6 +48,20 @@ def test_repeated_windows_of_byte_strings():
         assert [w.tolist() for w in repeats.repeated_windows(parts, 5)] == want
 
 
+def test_sorting_holds_few_bytes_for_each_byte():
+    """A worker keeps what its largest shard took, so that bounds the workers of all later stages too."""
+    rng = random.Random(1)
+    words = [made_up(rng, 1) for _ in range(500)]
+    parts = [" ".join(rng.choice(words) for _ in range(80)).encode() for _ in range(500)]
+    tracemalloc.start()
+    try:
+        repeats.repeated_windows(parts, 256)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 50 * sum(map(len, parts))
+
+
 def made_up(rng, n):
     return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(n))
 
@@ -102,6 +118,18 @@ def test_short_passages_of_many_words(spark):
     assert all(passages[k % 6] not in left[k] for k in range(30)) and all(left[d] == t for d, t in rows[30:])
 
 
+def test_a_text_moves_once_and_other_columns_stay(spark):
+    """Columns are kept whatever their names; no copy of the text goes along beside it."""
+    text = "a passage that comes again " * 20
+    rows = [(k, text, f"r{k}", None, k % 2 == 0) for k in range(3)] + [(7, None, "x", "y", None), (8, "short", None, "z", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, rest string, there boolean")
+    left = repeats.drop_repeats(docs)
+    want = [(d, t if t != text else "", *more) for d, t, *more in rows]
+    assert left.schema == docs.schema and by_repr(map(tuple, left.collect())) == by_repr(want)
+    row = beside_text(docs, "doc_id", "text").schema["row"].dataType
+    assert row["rest"].dataType.names == ["doc_id", "row", "rest", "there"]
+
+
 def test_one_row_a_thousand_times(spark):
     rng = random.Random(9)
     text = made_up(rng, 400)

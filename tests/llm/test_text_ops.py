@@ -253,6 +253,12 @@ def test_masking(odd_docs, no_docs):
     assert sc.span_digest(no_docs).count() == 0 and sc.mask_personal_data(no_docs).count() == 0
 
 
+def test_spans_are_found_and_used_by_one_worker(odd_docs):
+    """A task that passes its rows through two Python functions in turn holds two workers."""
+    for out in (sc.mask_personal_data(odd_docs), sc.span_digest(odd_docs)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 # -- language --------------------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from townhall.llm.frames import id_and_text
+from townhall.llm.frames import beside_text, id_and_text, with_text
 from townhall.llm.pii_base import KINDS, MAYBE, base_spans, written
 
 SAMPLE_DOCS = 600  # bound of the training sample, in documents
@@ -344,8 +344,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return plain.mapInArrow(partial(_find, w), f"{kinds}, base {_SPAN}, added {_SPAN}")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _digest(w: Weights, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _find(w, batches):
         n, digests, spans = [[] for _ in KINDS], [], []
         for base, added in zip(batch.column("base").to_pylist(), batch.column("added").to_pylist()):
             own = [(KINDS.index(s["kind"]), s["start"], s["end"]) for s in base]
@@ -363,12 +363,12 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def span_digest(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, counts by kind and a digest of the patterns' spans, and all spans as text."""
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    found = personal_data(docs).select("doc_id", "base", "added")
-    return found.mapInArrow(_digest, f"doc_id long, {counts}, base_sha256 string, spans string")
+    plain = id_and_text(docs)
+    return plain.mapInArrow(partial(_digest, learn(docs)), f"doc_id long, {counts}, base_sha256 string, spans string")
 
 
-def _mask(text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _mask(w: Weights, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _find(w, batches):
         out = []
         for text, base, added in zip(*(batch.column(c).to_pylist() for c in ("text", "base", "added"))):
             parts, at = [], 0
@@ -384,9 +384,8 @@ def _mask(text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The table with every span replaced by its kind in angle brackets; a null text stays null."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kind = whole.schema["row"].dataType.simpleString()
-    found = personal_data(whole.select("row", f"row.`{id_col}`", f"row.`{text_col}`"), id_col, text_col, "row")
-    done = found.select("row", "text", "base", "added").mapInArrow(partial(_mask, text_col), f"row {kind}, masked string")
-    text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.col("masked"))
-    return done.select(*[(text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    flat = beside_text(docs, id_col, text_col)
+    kind = flat.schema["row"].dataType.simpleString()
+    plain = id_and_text(flat, id_col, text_col, "row").select("row", "text")
+    done = plain.mapInArrow(partial(_mask, learn(flat, id_col, text_col)), f"row {kind}, masked string")
+    return with_text(done, docs.columns, text_col, "masked")
