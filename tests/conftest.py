@@ -15,6 +15,7 @@ def spark():
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",  # plans name whole paths, however long the temporary folder's is
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
